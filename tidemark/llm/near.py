@@ -4,8 +4,8 @@ Sets are the distinct five-word shingles of a text (white-space words, lower cas
 shingle; a text without words has no set and links with nothing). Equal sets fold into one class first. Each class then
 walks down random paths: a node picks coordinates of a min-hash embedding with probability 1 / (threshold * t), so
 similar sets choose the same shared tokens, and its bucket splits by the value there. Buckets of up to BUCKET classes are
-compared whole (by their embeddings), larger ones split again; what is still larger after DEPTH splits is all but equal
-and stays together. Runs are repeated until a pair at the threshold is found with the target recall. Whatever the
+compared whole (by their embeddings), larger ones split again; the limit is eight times as large after each split, and
+what remains after DEPTH of them is compared whole as well, large buckets in tasks of two blocks. Runs are repeated until a pair at the threshold is found with the target recall. Whatever the
 buckets connect is then verified: each candidate group's shingle sets meet once, in tasks of at most two blocks, and all
 pairs in it are counted exactly, so no pair is emitted as a row.
 
@@ -27,15 +27,15 @@ from pyspark.sql import functions as F
 from .common import WordHash, binary, block_pairs, components, groups, local_roots, mix
 
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9995
-T, BUCKET, DEPTH, BLOCK = 64, 200, 3, 256
-#: Share of equal coordinates that makes a pair of a bucket a candidate: five standard deviations under THRESHOLD.
-LIKELY = THRESHOLD - 5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / T)
+T, BUCKET, DEPTH, BLOCK = 64, 256, 4, 256
+#: Share of equal coordinates that makes a pair of a bucket a candidate: four standard deviations under THRESHOLD.
+LIKELY = THRESHOLD - 4 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / T)
 _hash = WordHash()
 _step = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _odd = mix(np.arange(1, T + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def runs_for(recall: float, threshold: float, depth: int = DEPTH) -> int:
+def runs_for(recall: float, threshold: float, depth: int = 3) -> int:
     """Runs after which a pair at the threshold has met in a bucket of that depth with the given recall."""
     p = 1.0
     for _ in range(depth):  # a node has Poisson(1 / threshold) children, of which a pair shares a threshold's share
@@ -96,7 +96,7 @@ def _sketches(runs: int):
                     continue
                 low = embedding(s)
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()))
-                sigs.append((low >> np.uint64(56)).astype(np.uint8).tobytes())
+                sigs.append((mix(low) >> np.uint64(56)).astype(np.uint8).tobytes())  # of the smallest values themselves the high bits are all but equal
                 paths.append(_child(path, coord, low[coord]).view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(paths, pa.list_(pa.int64()))], schema=schema)
 
@@ -114,22 +114,33 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(child), b.column("rep").take(pa.array(row)), b.column("sig").take(pa.array(row))], ["path", "rep", "sig"])
 
 
+def agreement(sig: np.ndarray) -> np.ndarray:
+    """How many coordinates each pair of rows shares, some rows at a time."""
+    step = max(1, 16_000_000 // sig.size)
+    return np.concatenate([(sig[i : i + step, None, :] == sig[None, :, :]).sum(2, dtype=np.uint16) for i in range(0, len(sig), step)])
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of each small bucket by their embeddings: (member, smallest member that it may be linked to)."""
-    u, v = [], []
-    for g in groups(batches, "path"):
+    """All pairs of each task by their embeddings: (member, smallest member that it may be linked to)."""
+    edges: list[np.ndarray] = []
+    size = 0
+
+    def distinct() -> pa.RecordBatch:  # a pair meets in many buckets
+        e = np.unique(np.concatenate(edges), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], ["u", "v"])
+
+    for g in groups(batches, "task"):
         sig, rep = binary(g.column("sig")), g.column("rep").to_numpy()
-        same = (sig[:, None, :] == sig[None, :, :]).sum(2, dtype=np.uint16)
         order = np.argsort(rep)
-        root = order[local_roots((same >= LIKELY * T)[np.ix_(order, order)])]
+        root = order[local_roots((agreement(sig) >= LIKELY * T)[np.ix_(order, order)])]
         other = rep[order] != rep[root]
-        u.append(rep[order][other])
-        v.append(rep[root][other])
-        if len(u) > 5000:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], ["u", "v"])
-            u, v = [], []
-    if u:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], ["u", "v"])
+        edges.append(np.stack([rep[order][other], rep[root][other]], 1))
+        size += len(edges[-1])
+        if size > 500_000:
+            yield distinct()
+            edges, size = [], 0
+    if size:
+        yield distinct()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,15 +206,14 @@ def near_copies(docs: DataFrame, target_recall: float = TARGET_RECALL) -> DataFr
     level = classes.where("size(s.paths) > 0").select(F.explode("s.paths").alias("path"), "rep", F.col("s.sig").alias("sig"))
     edges = []
     for depth in range(1, DEPTH + 1):
+        limit = BUCKET * 8 ** (depth - 1)  # what stays large after a split is alike, and splits on to little avail
         many = level.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
         rows = level.join(many, "path")
-        small = rows.where(f"n <= {BUCKET}").select("path", "rep", "sig")
-        edges.append(small.repartition("path").sortWithinPartitions("path").mapInArrow(_compare, "u long, v long"))
-        large = rows.where(f"n > {BUCKET}").select("path", "rep", "sig")
-        if depth == DEPTH:
-            edges.append(large.groupBy("path").agg(F.min("rep").alias("v")).join(large, "path").select(F.col("rep").alias("u"), "v"))
-        else:
-            level = large.mapInArrow(_split, "path long, rep long, sig binary").distinct().checkpoint()
+        small = rows.where(f"n <= {limit}") if depth < DEPTH else rows
+        tasks = block_pairs(small, "path", "n", "rep", BUCKET if depth == 1 else 4 * BUCKET).select("task", "rep", "sig")
+        edges.append(tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_compare, "u long, v long"))
+        if depth < DEPTH:
+            level = rows.where(f"n > {limit}").select("path", "rep", "sig").mapInArrow(_split, "path long, rep long, sig binary").distinct().checkpoint()
             if level.isEmpty():
                 break
     found = edges[0]
