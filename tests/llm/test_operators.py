@@ -1,0 +1,269 @@
+"""The training-data operators against brute force, round trips and held-out figures; nulls, ties, empties and clashes."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pandas as pd
+import public_tokenizers as P
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import bpe, chat, common, lm, mixing, near, packing, quality, secrets, templates, toxicity, trie, vectors
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+RANKS = P.path("byte_bpe_multi_50k.tiktoken")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, copy string, rep string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    common.prepare(spark)
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null, empty and long texts, repeated rows, null ids and columns whose names the operators use themselves."""
+    common.prepare(spark)
+    long = " ".join(f"w{i % 977} x{i}" for i in range(30_000))
+    rows = [(1, None, "en", None), (2, "", None, "a"), (3, long, "en", "a"), (4, "same words here again and again", "en", "a"), (5, "same words here again and again", "en", "a"), (5, "same words here again and again", "en", "a"), (None, "one two three four five six", "en", "b"), (7, " \n\t ", "en", "b")]
+    return spark.createDataFrame([(*r, 0, "c", "r") for r in rows], DOCS)
+
+
+def empty(df):
+    return df.where("false")
+
+
+def shingled(text):
+    w = text.lower().split()
+    k = min(5, len(w))
+    return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if w else frozenset()
+
+
+def brute_near(rows):
+    sets = {i: shingled(t or "") for i, t in rows}
+    parent, links = {i: i for i in sets}, collections.Counter()
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                links[i] += 1
+                links[j] += 1
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return {i: (find(i), links[i]) for i in ids}
+
+
+def test_near_copies_equal_brute_force(docs):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert {r.doc_id: (r.class_id, r.n_links) for r in near.near_copies(docs).collect()} == brute_near(rows)
+
+
+def test_near_copies_of_a_large_group(spark):
+    """A group that fills several blocks, of texts that all differ, and a chain of neighbours."""
+    rng = random.Random(3)
+    base = [f"t{i}" for i in range(120)]
+    rows = []
+    for i in range(700):
+        w = base[:]
+        w[rng.randrange(120)] = f"q{i}"
+        rows.append((i, " ".join(w)))
+    want = brute_near(rows)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in near.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
+def test_near_copies_odd_rows(odd):
+    got = near.near_copies(odd).collect()
+    assert len(got) == 8 and {r.n_links for r in got if r.doc_id in (4, 5)} == {2} and {r.class_id for r in got if r.doc_id in (4, 5)} == {4}
+    assert all(r.n_links == 0 for r in got if r.doc_id in (1, 2, 7))
+    assert near.near_copies(empty(odd)).count() == 0
+    assert near.keep_one(odd).columns == odd.columns
+
+
+def test_mixing_counts_follow_the_rates(spark, odd):
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 15_000, "big").otherwise("small").alias("source"))
+    n = {r.source: r.n for r in mixing.mix(df, weights={"big": 1, "small": 1}).groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert abs(n["big"] - 10_000) < 400 and abs(n["small"] - 10_000) < 400
+    again = lambda: sorted((r.doc_id, r.copy, r.shuffle_key) for r in mixing.mix(df).collect())
+    assert again() == again()
+    assert mixing.mix(empty(odd)).count() == 0 and set(odd.columns) <= set(mixing.mix(odd).columns)
+
+
+def test_quality_features_and_labels(spark, docs, odd):
+    got = {r.doc_id: r for r in quality.quality(docs).collect()}
+    for r in docs.collect():
+        w = WORD.findall(r.text)
+        tri = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+        again = {k for i, x in enumerate(zip(w, w[1:], w[2:], strict=False)) if tri[x] > 1 for k in (i, i + 1, i + 2)}
+        lines = [x for x in r.text.split("\n") if WORD.search(x)]
+        q = got[r.doc_id]
+        assert (q.n_words, q.word_chars, q.n_symbols, q.n_dup_lines, q.n_repeat_words) == (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in r.text), len(lines) - len(set(lines)), len(again))
+        assert q.base_failed == (len(w) < 50 or 100 * len(again) > 50 * len(w)) and not (q.base_failed and q.kept)
+    rows = {(r.doc_id, r.base_failed) for r in quality.quality(odd).collect()}
+    assert (1, True) in rows and (3, False) in rows and quality.quality(empty(odd)).count() == 0
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    clean = [got[i].kept for i, q in labels.items() if q == 1 and not got[i].base_failed]
+    assert sum(clean) >= 0.98 * len(clean)
+
+
+def test_secrets_base_and_random(spark, docs, odd):
+    token = "".join(random.Random(7).choices(secrets.ALPHABET[:62], k=40))
+    df = spark.createDataFrame([(1, f"key {token} end password: hunter22 AKIA{'Q7' * 8} {'0af3' * 6}"), (2, "THERERESSENTIONINGHATHAND internationalisation"), (3, None)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in secrets.secrets(docs.select("doc_id", "text").where("doc_id > 10").union(df)).collect()}
+    text = df.first().text
+    found = {x.split(":")[0]: text[int(x.split(":")[1]) : int(x.split(":")[2])] for x in rows[1].spans.split(",")}
+    assert found == {"random": token, "assign": "password: hunter22", "access": f"AKIA{'Q7' * 8}", "hex": "0af3" * 6}
+    assert rows[2].spans == rows[3].spans == "" and rows[3].base_sha256 == hashlib.sha256(b"").hexdigest()
+    clean = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert "hunter22" not in clean[1] and clean[2] == df.collect()[1].text and clean[3] is None
+    assert secrets.secrets(empty(odd)).count() == 0 and secrets.redact(odd).count() == 8
+
+
+def test_byte_pairs_equal_the_library(spark, docs, odd):
+    import tiktoken
+
+    ranks = bpe.read_ranks(open(RANKS, "rb").read())
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = {r.doc_id: r for r in bpe.digests(docs, RANKS, P.PATTERN).collect()}
+    for r in docs.collect():
+        assert got[r.doc_id].ids_sha256 == hashlib.sha256(",".join(map(str, own.encode_ordinary(r.text))).encode()).hexdigest()
+        assert got[r.doc_id].decoded_sha256 == hashlib.sha256(r.text.encode()).hexdigest()
+    model, rng = bpe.SentencePieceBPE(open(RANKS, "rb").read(), P.PATTERN), random.Random(1)
+    parts = [" ", "  ", "\n", "\t", "a", "Zé", "'ll", "12", "!?", "\x1c", "\x85", "\xa0", "日本", "😀", "\x00", "don't", "<|endoftext|>"]
+    some = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(2000)]
+    assert list(model.encode(some)) == [own.encode_ordinary(x) for x in some]
+    assert bpe.digests(odd, RANKS, P.PATTERN).count() == 8 and bpe.encode(empty(odd), RANKS, P.PATTERN).count() == 0
+
+
+def test_template_language():
+    t = templates.compile_template("{# c #}{% if 1 == 2 %}no{% else %}{{ 'a' + 'b' | up }}{% endif %}{% for m in ms %}{% if loop.first and not m.x == 'q' %}<{% endif %}{% generation %}{{ m.x }}{% endgeneration %}{% if loop.last %}>{% endif %}{% endfor %}", {"up": str.upper})
+    assert templates.mark(t(ms=[{"x": "p"}, {"x": "r"}])) == ("aB<pr>", [(3, 4), (4, 5)])
+    assert templates.simplify(templates.parse("{% if 1 == 2 %}no{% else %}{{ 'a' + 'b' }}{% endif %}c"), {}) == [("text", "abc")]
+    for bad in ("{{ a( }}", "{% for x in y %}", "{{ a | gone }}", "{% endif %}"):
+        with pytest.raises(templates.TemplateError):
+            templates.compile_template(bad)
+
+
+def test_chat_reads_back(spark):
+    rows = [(1, 0, "user", "a\\b <|im_end|>"), (1, 1, "assistant", chat.CONTROL + "\\"), (1, 2, None, None), (2, None, "a\nb", "x"), (2, 5, "assistant", "ünï <"), (2, 5, "assistant", "ünï <")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").union(chat.control_conversation(spark).select("conv_id", "turn", "role", "text"))
+    got = {r.conv_id: r for r in chat.read_back(chat.render(df)).collect()}
+    for conv in (1, 2):
+        own = [r for r in rows if r[0] == conv]
+        loss = "".join(t for _, _, r, t in own if r == "assistant")
+        assert got[conv].n_turns == len(own) and got[conv].turns_sha256 == hashlib.sha256("".join(f"{r or ''}\n{t or ''}\n" for _, _, r, t in own).encode()).hexdigest()
+        assert (got[conv].loss_chars, got[conv].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert got[-1].loss_chars == len(chat.CONTROL) and chat.read_back(chat.render(df.where("false"))).count() == 0
+
+
+def test_elias_fano_and_search():
+    rng = np.random.default_rng(0)
+    for n, top in ((1, 0), (5, 1 << 59), (3000, 1 << 50), (3000, 2000)):
+        x = np.sort(rng.integers(0, top + 1, n)).astype(np.uint64)
+        assert (trie.EliasFano(x).all() == x).all()
+    pairs = sorted({(int(a), int(b)) for a, b in zip(rng.zipf(1.5, 4000) % 50, rng.integers(0, 3000, 4000), strict=True)})
+    c, s = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs], np.uint64)
+    level = trie.Level(c, s, np.arange(len(pairs)) % 255, 50)
+    assert (level.find(c, s) == np.arange(len(pairs))).all()
+    ask = [(a, b) for a in range(50) for b in range(0, 3000, 37)]
+    got = level.find(np.array([a for a, _ in ask]), np.array([b for _, b in ask], np.uint64))
+    place = {p: i for i, p in enumerate(pairs)}
+    assert got.tolist() == [place.get(p, -1) for p in ask]
+
+
+def test_language_model(docs, odd):
+    rows = {r.doc_id: r for r in lm.score(docs).collect()}
+    counts, words = collections.Counter(), {}
+    for r in docs.collect():
+        words[r.doc_id] = re.findall(rb"[^\x20\x09-\x0D]+", r.text.encode().lower()) + [None]
+        if zlib.crc32(str(r.doc_id).encode()) % 10:
+            counts.update(words[r.doc_id])
+    n, v = sum(counts.values()), len(counts)
+    for i, w in words.items():
+        base = sum(math.log10((counts[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
+        assert abs(rows[i].base_score - base) < 1e-6 and (rows[i].n_tokens, rows[i].n_known, rows[i].train_tokens) == (len(w), sum(counts[x] > 0 for x in w), n)
+    held = [r for r in rows.values() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) * 1.02
+    assert lm.score(odd).count() == 8 and lm.score(empty(odd)).count() == 0
+
+
+def test_vectors_recall_and_counts(spark):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((300, 64))
+    x = np.concatenate([base, base[:100] + 0.25 * rng.standard_normal((100, 64)), np.repeat(base[:1], 600, 0) + 0.02 * rng.standard_normal((600, 64))])
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(2000, None, 1), (2001, [0.0] * 64, 1), (2002, [float("nan")] + [1.0] * 63, 1), (2003, [None] + [1.0] * 63, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    u = np.array([r[1] for r in rows[: len(x)]], np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    want = ((u @ u.T) >= 0.9).sum(1) - 1
+    got = {r.vec_id: r for r in vectors.near_vectors(df).collect()}
+    n = np.array([got[i].n_links for i in range(len(x))])
+    assert len(got) == len(rows) and (n <= want).all() and n.sum() >= 0.98 * want.sum()
+    assert all(got[i].n_links == 0 and got[i].kept for i in range(2000, 2004)) and {got[i].component_id for i in range(400, 1000)} == {0}
+    assert vectors.near_vectors(df.where("false")).count() == 0
+    y = u[:200]
+    assert (vectors.upper_bounds(y, u) < (y @ u.T)).mean() < 1e-3
+
+
+def test_toxicity_held_out(spark, odd):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
+    assert ((rows.score >= 0) & (rows.score <= 1)).all() and (rows.predicted == rows.toxic).mean() >= 0.95
+    bad = rows[rows.predicted == 1].iloc[0]
+    assert re.fullmatch(r"\d+:\d+(,\d+:\d+)*", bad.spans)
+    assert toxicity.toxicity(odd, labels.where("false")).count() == 8 and toxicity.toxicity(empty(odd), labels).count() == 0
+
+
+def test_range_coder_round_trip_and_checksums():
+    rng = np.random.default_rng(1)
+    for n in (1, 4096, 4097, 60_000):
+        ids = (rng.zipf(1.2, n) % 50_257).astype(np.uint32)
+        ids[: n // 2] = np.resize(ids[:50], n // 2)
+        data = packing.write_file([5, None], [n - 1, 1], ids)
+        docs, lengths, got = packing.read_file(data)
+        assert docs == [5, None] and lengths.tolist() == [n - 1, 1] and (got == ids).all()
+    with pytest.raises(ValueError, match="damaged"):
+        packing.read_file(data[:-3] + bytes([data[-3] ^ 1]) + data[-2:])
+
+
+def test_token_files(docs, odd):
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    own, start = Tokenizer.from_file(path), 0
+    got = {r.doc_id: r for r in packing.packed(docs, path).collect()}
+    for r in docs.orderBy("doc_id").collect():
+        ids = [*own.encode(r.text, add_special_tokens=False).ids, 0]
+        assert tuple(got[r.doc_id]) == (r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert packing.packed(odd, path).count() == 8 and packing.packed(empty(odd), path).count() == 0
+
+
+def test_pipeline_against_brute_force(spark):
+    import corpus_pipeline as c
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {r.doc_id for r in quality.quality(docs).where("kept").collect()}
+    rows = [(r.doc_id, r.text) for r in docs.collect() if r.doc_id in kept]
+    left = {i for i, (k, _) in brute_near(rows).items() if i == k}
+    stage = docs
+    for _, f in c.STAGES[:2]:
+        stage = f(spark, stage, SF)
+        assert stage.columns == docs.columns
+    assert {r.doc_id for r in stage.collect()} == left
+    out = c.run(spark, SF).toPandas()
+    assert set(out.doc_id) <= left and (out.n_tokens == out.ids.map(len)).all() and isinstance(out, pd.DataFrame)

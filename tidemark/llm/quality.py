@@ -81,10 +81,10 @@ START = ((0.3, 0.2, 0.5), (0.01, 0.09, 0.9))
 PRIOR = 0.02
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> tuple[float, list[list[list[float]]]]:
+def fit(patterns: list[tuple[tuple[int, ...], int]], m: int, rounds: int = ROUNDS) -> tuple[float, list[list[list[float]]]]:
     """Share of good texts, and for each rule the chances of its votes by a bad and a good text (its accuracies), from the
-    counts of vote patterns. Rules are independent given the kind of text; abstaining is a vote like others."""
-    m, total = len(patterns[0][0]) if patterns else 0, sum(n for _, n in patterns)
+    counts of vote patterns by m rules. Rules are independent given the kind of text; abstaining is a vote like others."""
+    total = sum(n for _, n in patterns)
     weight = PRIOR * total + 1
     share, chance = 0.8, [[list(x) for x in START] for _ in range(m)]
     for _ in range(rounds):
@@ -107,7 +107,7 @@ def _odds(votes: tuple[int, ...], share: float, chance: list[list[list[float]]])
 def _fitted(votes: DataFrame, names: list[str]) -> Column:
     """The posterior as an expression on the vote columns."""
     counts = votes.groupBy(*names).agg(F.count("*").alias("n")).orderBy(*names).collect()
-    share, chance = fit([(tuple(r[k] for k in names), r["n"]) for r in counts])
+    share, chance = fit([(tuple(r[k] for k in names), r["n"]) for r in counts], len(names))
     odds = F.lit(math.log(share / (1 - share)))
     for k, c in zip(names, chance, strict=True):
         bad, none, good = (F.lit(math.log(g / b)) for b, g in zip(*c, strict=True))

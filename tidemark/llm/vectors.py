@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import block_pairs, components, groups, local_roots, mix
 
-THRESHOLD, TABLES, EPSILON, BLOCK, SEED = 0.9, 24, 3.5, 512, 5
+THRESHOLD, TABLES, EPSILON, BLOCK, SEED = 0.9, 24, 4.5, 512, 5
 
 
 def rotation(d: int, k: int) -> np.ndarray:
