@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from decimal import Decimal
 
 import duckdb
 import pandas as pd
@@ -128,5 +129,13 @@ def test_queries_match_their_sql(spark, name):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want, got = con.execute(queries.ORACLE[name]).df(), queries.QUERIES[name](spark, SF).toPandas()
     cols = sorted(want.columns)
-    key = lambda d: sorted(tuple("" if pd.isna(v) else str(float(v)) if isinstance(v, (int, float)) or hasattr(v, "as_tuple") else str(v)[:10] for v in r) for r in d[cols].itertuples(index=False))
+
+    def plain(v):
+        if pd.isna(v):
+            return ""
+        if isinstance(v, (int, float, Decimal)) or hasattr(v, "dtype") and v.dtype.kind in "ifu":
+            return f"{float(v):.4f}"
+        return str(v)[:10]
+
+    key = lambda d: sorted(tuple(map(plain, r)) for r in d[cols].astype(object).itertuples(index=False))
     assert cols == sorted(got.columns) and key(want) == key(got)
