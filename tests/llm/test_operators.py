@@ -128,7 +128,8 @@ def test_secrets_base_and_random(spark, docs, odd):
     found = {x.split(":")[0]: text[int(x.split(":")[1]) : int(x.split(":")[2])] for x in rows[1].spans.split(",")}
     assert found == {"random": token, "assign": "password: hunter22", "access": f"AKIA{'Q7' * 8}", "hex": "0af3" * 6}
     assert rows[2].spans == rows[3].spans == "" and rows[3].base_sha256 == hashlib.sha256(b"").hexdigest()
-    clean = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    corpus = docs.select("doc_id", "text").where("doc_id > 10").union(df)  # what is ordinary is learnt from the corpus
+    clean = {r.doc_id: r.text for r in secrets.redact(corpus).collect()}
     assert "hunter22" not in clean[1] and clean[2] == df.collect()[1].text and clean[3] is None
     assert secrets.secrets(empty(odd)).count() == 0 and secrets.redact(odd).count() == 8
 
