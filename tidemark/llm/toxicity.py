@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD_CACHE
 
-SAMPLE, BUCKETS, BEGINNINGS = 2000, 1 << 18, (3, 4, 5, 6)
+SAMPLE, BUCKETS, BEGINNINGS = 600, 1 << 18, (3, 4, 5, 6)
 EPOCHS, RATE, RIDGE = 60, 0.15, 1e-4
 SEEN, RATIO = 3, 12.0
 _letters = re.compile(r"[^\W\d_]+")
