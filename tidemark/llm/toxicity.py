@@ -20,6 +20,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +46,13 @@ def normal(word: str) -> str:
     return max(_letters.findall(word.lower()), key=len, default="")
 
 
+def bucket(feature: str) -> int:
+    return xxhash.xxh32_intdigest(feature) % BUCKETS
+
+
 def hashed(word: str) -> list[int]:
     w = normal(word)
-    keys = [f"w {w}", *[f"{k} {w[:k]}" for k in BEGINNINGS if len(w) >= k]] if w else ["none"]
-    return [xxhash.xxh32_intdigest(k) % BUCKETS for k in keys]
+    return [bucket(k) for k in ([f"w {w}", *[f"{k} {w[:k]}" for k in BEGINNINGS if len(w) >= k]] if w else ["none"])]
 
 
 @dataclass
@@ -59,16 +63,38 @@ class Field:
     final: tuple[float, ...]  # of the document score: bias, strongest token, sum, share
     base: float | None = None  # without both labels, this is every score
     known: dict = field(default_factory=dict)
+    begins: dict = field(default_factory=dict)
+
+    def begin(self, part: str) -> float:
+        if len(self.begins) > WORD_CACHE:
+            self.begins.clear()
+        self.begins[part] = x = float(self.weights[bucket(f"{len(part)} {part}")])
+        return x
+
+    def emission(self, word: str) -> float:
+        w = normal(word)
+        if not w:
+            return float(self.weights[bucket("none")])
+        x, begins = float(self.weights[bucket(f"w {w}")]), self.begins
+        for k in BEGINNINGS:
+            if len(w) < k:
+                break
+            part = begins.get(w[:k])
+            x += self.begin(w[:k]) if part is None else part
+        return x
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        if len(self.known) > WORD_CACHE:
-            self.known = {}
+        """The sum of each word's weights; those of words and of their beginnings are kept for the next use, bounded."""
         known = self.known
-        out = [known.get(w) for w in words]
-        for i, x in enumerate(out):
+        out = np.fromiter(map(known.get, words, repeat(math.nan)), float, len(words))
+        for i in np.flatnonzero(np.isnan(out)).tolist():
+            x = known.get(words[i])
             if x is None:
-                out[i] = known[words[i]] = float(self.weights[hashed(words[i])].sum())
-        return np.array(out)
+                if len(known) > WORD_CACHE:
+                    known.clear()
+                known[words[i]] = x = self.emission(words[i])
+            out[i] = x
+        return out
 
 
 def odds(lines: list[np.ndarray], step: np.ndarray, start: float) -> list[np.ndarray]:
