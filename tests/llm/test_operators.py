@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -231,7 +232,7 @@ def test_toxicity_held_out(spark, odd):
 
 def test_range_coder_round_trip_and_checksums():
     rng = np.random.default_rng(1)
-    for n in (1, 4096, 4097, 60_000):
+    for n in (1, 1024, 1025, 4096, 4097, 60_000):
         ids = (rng.zipf(1.2, n) % 50_257).astype(np.uint32)
         ids[: n // 2] = np.resize(ids[:50], n // 2)
         data = packing.write_file([5, None], [n - 1, 1], ids)
@@ -241,6 +242,19 @@ def test_range_coder_round_trip_and_checksums():
         packing.read_file(data[:-3] + bytes([data[-3] ^ 1]) + data[-2:])
 
 
+def test_chunks_around_white_space():
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    some = ["", " ", "  ", "\n", " \nfoo", "foo\n bar\n  baz", " a  b \n c ", "x\x1f y\x1e\x1ez  ", "a<|endoftext|> <|endoftext|>b <|endoftext|>", "a\u3000 b\xa0 c\x85 d", "q\n", " don't  \t we \n", "é ü\u0120 x"]
+    some.append("".join(some))
+    path, data = P.path("byte_bpe_50k.json"), Path(P.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
+    own, library = Tokenizer.from_file(path), packing.LibraryBPE(Path(path).read_bytes())
+    assert list(library.cut(some)) == [own.encode(x, add_special_tokens=False).ids for x in some]
+    want = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(data), special_tokens={})
+    assert list(bpe.SentencePieceBPE(data, P.PATTERN).encode(some)) == [want.encode_ordinary(x) for x in some]
+
+
 def test_token_files(docs, odd):
     from tokenizers import Tokenizer
 

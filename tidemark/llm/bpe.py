@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from .common import texts
 
 CACHE, CACHED_CHARS = 250_000, 64
-#: A space beside other white space: such texts aren't cut at spaces first.
+#: A space between two characters that aren't white space, as Python has it: more than the patterns' \\s, so that cuts are safe.
+LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: A space beside other white space: such texts aren't cut at each space.
 UNEVEN = re.compile(r"\s[ ]|[ ]\s|^[ ]|[ ]$")
 
 
@@ -81,9 +83,7 @@ class Cut:
     def chunks(self, text: str) -> list[str]:
         if not text:
             return []
-        if UNEVEN.search(text):
-            return [text]
-        first, *rest = text.split(" ")
+        first, *rest = LONE_SPACE.split(text) if UNEVEN.search(text) else text.split(" ")
         return [first, *[" " + x for x in rest]]
 
     def __call__(self, batch: list[str]) -> Iterator[list[int]]:
@@ -100,12 +100,13 @@ class Cut:
         if len(self.known) > CACHE:
             self.known = {}
         known = self.known
-        new = list({c for x in cut for c in x if c not in known})
-        now = dict(zip(new, self.encode(new), strict=True))
-        known.update((c, i) for c, i in now.items() if len(c) <= CACHED_CHARS)
-        long = {c: i for c, i in now.items() if len(c) > CACHED_CHARS}
+        new = list(set().union(*cut).difference(known))
+        known.update(zip(new, self.encode(new), strict=True))
         for x in cut:
-            yield list(chain.from_iterable([known[c] if c in known else long[c] for c in x]))
+            yield list(chain.from_iterable(map(known.__getitem__, x)))
+        for c in new:
+            if len(c) > CACHED_CHARS:
+                del known[c]
 
 
 class SentencePieceBPE:
