@@ -217,6 +217,10 @@ def test_vectors_recall_and_counts(spark):
     assert len(got) == len(rows) and (n <= want).all() and n.sum() >= 0.98 * want.sum()
     assert all(got[i].n_links == 0 and got[i].kept for i in range(2000, 2004)) and {got[i].component_id for i in range(400, 1000)} == {0}
     assert vectors.near_vectors(df.where("false")).count() == 0
+    double = vectors.near_vectors(df.withColumn("embedding", F.col("embedding").cast("array<double>"))).collect()
+    assert {r.vec_id: r for r in double} == got
+    wide = spark.createDataFrame([(i, v, 0) for i, v in enumerate([[1.0, 1e200] * 80, [1e-3, 1e197] * 80, [1.0, -1.0] * 80, [1.0], [-2.0], [3.0], []])], "vec_id long, embedding array<double>, label int")
+    assert [r.n_links for r in vectors.near_vectors(wide).orderBy("vec_id").collect()] == [1, 1, 0, 1, 0, 1, 0]
     y = u[:200]
     assert (vectors.upper_bounds(y, u) < (y @ u.T)).mean() < 1e-3
 

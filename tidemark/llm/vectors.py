@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from .common import block_pairs, components, groups, local_roots, mix
 
@@ -43,31 +44,23 @@ def _rotation(d: int, k: int) -> np.ndarray:
     return _rotations[d, k]
 
 
-def unit_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Which rows are usable and their unit vectors, by one width; rows of another width than the first usable aren't."""
-    rows = column.to_pylist()
-    usable = [bool(r) and None not in r and all(map(math.isfinite, r)) and any(r) for r in rows]
-    width = {len(r) for r, ok in zip(rows, usable, strict=True) if ok}
-    if not width:
-        return np.zeros(0, np.int64), np.zeros((0, 0))
-    assert len(width) == 1
-    at = np.flatnonzero(usable)
-    x = np.array([rows[i] for i in at], np.float64)
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Vectors of length 1 in double precision; none may be zero or not finite."""
+    x = x.astype(np.float64)
     x /= np.abs(x).max(1)[:, None]  # so that no square overflows
-    return at, x / np.linalg.norm(x, axis=1)[:, None]
+    return x / np.linalg.norm(x, axis=1)[:, None]
 
 
-def bucket_keys(x: np.ndarray, tables: int = TABLES) -> np.ndarray:
-    """A row of bucket keys for each vector."""
-    d, out = x.shape[1], np.zeros((len(x), tables), np.uint64)
+def places(x: np.ndarray, tables: int = TABLES) -> np.ndarray:
+    """For each vector and table, the signed places of its largest components by two rotations, as one number."""
+    d = x.shape[1]
+    out = np.zeros((len(x), tables), np.uint16 if d <= 128 else np.uint64)
     for t in range(tables):
-        key = np.full(len(x), mix(np.uint64([t * 1000003 + d]))[0])
         for k in (0, 1):
             y = x @ _rotation(d, 1 + 2 * t + k).T
             top = np.abs(y).argmax(1)
             place = top * 2 + (y[np.arange(len(x)), top] > 0)
-            key = mix(key ^ mix(place.astype(np.uint64) + np.uint64(1 + k)))
-        out[:, t] = key
+            out[:, t] = out[:, t] * out.dtype.type(2 * d) + place.astype(out.dtype)
     return out
 
 
@@ -86,32 +79,37 @@ def upper_bounds(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x @ _rotation(d, 0).T).astype(np.float32) @ o.T.astype(np.float32) / factor + error
 
 
+def _blobs(x: np.ndarray) -> pa.Array:
+    """The rows of a matrix as binary values."""
+    width = x.shape[1] * x.itemsize
+    offsets = np.arange(len(x) + 1, dtype=np.int64) * width
+    return pa.Array.from_buffers(pa.large_binary(), len(x), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(x).tobytes())]).cast(pa.binary())
+
+
 def _deal(tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes = b.column("embedding").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            for width in np.unique(sizes):
+            for width in np.unique(sizes[sizes > 0]):
                 part = b.filter(pa.array(sizes == width))
-                at, x = unit_rows(part.column("embedding"))
+                x = part.column("embedding").flatten().fill_null(math.nan).to_numpy(zero_copy_only=False).reshape(-1, width)
+                at = np.flatnonzero(np.isfinite(x).all(1) & x.any(1))
                 if not len(at):
                     continue
-                keys = bucket_keys(x, tables)
-                ids = part.column("vec_id").take(pa.array(at))
-                blobs, vectors = [k.tobytes() for k in keys], [v.tobytes() for v in x]
+                own = places(unit_rows(x[at]), tables)
+                ids, blobs, vectors = part.column("vec_id").take(pa.array(at)), _blobs(own), _blobs(x[at])
                 for t in range(tables):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[:, t].view(np.int64)), pa.array(np.full(len(at), t, np.int32)), ids, pa.array(blobs, pa.binary()), pa.array(vectors, pa.binary())],
-                        ["bucket", "nth", "vec_id", "keys", "vector"],
-                    )
+                    bucket = mix(own[:, t].astype(np.uint64) ^ mix(np.uint64([t * 1000003 + int(width)])))
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(np.full(len(at), t, np.int32)), ids, blobs, vectors], ["bucket", "nth", "vec_id", "places", "vector"])
 
     return run
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _links(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordBatch]:
     """Links of each member of a task that meet here first, and the smallest member that it reaches."""
     for g in groups(batches, "task"):
         g = g.combine_chunks()
-        x = np.frombuffer(b"".join(g.column("vector").to_pylist()), np.float64).reshape(len(g), -1)
+        x = unit_rows(np.frombuffer(b"".join(g.column("vector").to_pylist()), kind).reshape(len(g), -1))
         side, within = g.column("side").to_numpy(), g.column("lo")[0].as_py() == g.column("hi")[0].as_py()
         likely = upper_bounds(x, x) >= THRESHOLD
         likely |= likely.T
@@ -123,10 +121,10 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i, j = i[exact >= THRESHOLD], j[exact >= THRESHOLD]
         if not len(i):
             continue
-        keys, nth = np.frombuffer(b"".join(g.column("keys").to_pylist()), np.uint64).reshape(len(g), -1), g.column("nth")[0].as_py()
+        own, nth = np.frombuffer(b"".join(g.column("places").to_pylist()), np.uint16 if x.shape[1] <= 128 else np.uint64).reshape(len(g), -1), g.column("nth")[0].as_py()
         first = np.ones(len(i), bool)
         for t in range(nth):
-            first &= keys[i, t] != keys[j, t]
+            first &= own[i, t] != own[j, t]
         i, j = i[first], j[first]
         if not len(i):
             continue
@@ -143,12 +141,14 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near_vectors(df: DataFrame, tables: int = TABLES) -> DataFrame:
     """One row per row of df (vec_id, embedding): vec_id, n_links, component_id, kept."""
-    own = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    dealt = own.where("vec_id is not null").mapInArrow(_deal(tables), "bucket long, nth int, vec_id long, keys binary, vector binary")
+    single = df.schema["embedding"].dataType == ArrayType(FloatType(), df.schema["embedding"].dataType.containsNull)
+    kind = np.float32 if single else np.float64  # vectors travel as they are and are normalised, in double precision, where they are compared
+    own = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding"))
+    dealt = own.where("vec_id is not null").mapInArrow(_deal(tables), "bucket long, nth int, vec_id long, places binary, vector binary")
     many = dealt.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     rows = block_pairs(dealt.join(many, "bucket"), "bucket", "members", "vec_id", BLOCK)
-    slim = rows.select("task", "nth", "vec_id", "keys", "vector", "side", "lo", "hi")
-    links = slim.repartition("task").sortWithinPartitions("task").mapInArrow(_links, "vec_id long, links long, root long").checkpoint()
+    slim = rows.select("task", "nth", "vec_id", "places", "vector", "side", "lo", "hi")
+    links = slim.repartition("task").sortWithinPartitions("task").mapInArrow(lambda batches: _links(batches, kind), "vec_id long, links long, root long").checkpoint()
     found = components(links.select(F.col("vec_id").alias("u"), F.col("root").alias("v"))).withColumnRenamed("id", "vec_id")
     counted = links.groupBy("vec_id").agg(F.sum("links").alias("n_links")).join(found, "vec_id", "left")
     return (
