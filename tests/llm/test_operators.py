@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -203,6 +204,41 @@ def test_language_model(docs, odd):
     assert lm.score(odd).count() == 8 and lm.score(empty(odd)).count() == 0
 
 
+def test_language_model_deals_frequent_contexts(spark, monkeypatch):
+    """Shards follow the tokens, a context with most of the successors is spread over them, and scores equal brute force."""
+    rng = random.Random(5)
+    texts = {i: " ".join(f"the {rng.choice('abc')}{rng.randrange(400)}" for _ in range(rng.randrange(80))) for i in range(300)}
+    pairs, total, words = collections.Counter(), collections.Counter(), {}
+    for i, t in texts.items():
+        words[i] = [None, *t.split(), None]
+        if not lm.held_out(i):
+            pairs.update(itertools.pairwise(words[i]))
+            total.update(words[i][1:])
+    types = collections.Counter(h for h, _ in pairs)
+    n, v = sum(total.values()), len(total)
+
+    def p(h, w):
+        base = (total[w] + lm.ALPHA) / (n + lm.ALPHA * (v + 1))
+        one = lambda x: float(lm.value(lm.quantise(np.array([x])))[0])
+        pair = one((pairs[h, w] - lm.DISCOUNT) / total[h]) if pairs[h, w] else 0.0
+        return lm.WEIGHT * (pair + (one(lm.DISCOUNT * types[h] / total[h]) if total[h] else 1.0) * base) + (1 - lm.WEIGHT) * base
+
+    want = {i: sum(math.log10(p(h, w)) for h, w in itertools.pairwise(x)) for i, x in words.items()}
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 1500)
+    monkeypatch.setattr(lm, "CONTEXT_TOKENS", 200)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    blocks = docs.mapInArrow(lm._blocks, lm._BLOCKS).toPandas()
+    tokens = int(blocks.tokens.sum())
+    shards = -(-tokens // lm.SHARD_TOKENS)
+    assert shards > 4
+    dealt = lm._frequent(spark.createDataFrame(blocks), tokens, len(blocks), shards, lm.CONTEXT_TOKENS)
+    assert len(dealt.words) == 2 and dealt.total.max() == total["the"]  # "the" and the end
+    asked = sum(np.array([len(x) for x in lm.Block(r.docs, r.data, shards, dealt).pairs_of]) for r in blocks.itertuples())
+    assert asked.max() < 2 * asked.mean()
+    got = {r.doc_id: r.score for r in lm.score(docs).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-6 for i in want)
+
+
 def test_vectors_recall_and_counts(spark):
     rng = np.random.default_rng(4)
     base = rng.standard_normal((300, 64))
