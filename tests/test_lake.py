@@ -2,7 +2,9 @@
 
 import datetime as dt
 import json
+import re
 from decimal import Decimal
+from pathlib import Path
 
 import duckdb
 import pandas as pd
@@ -122,6 +124,44 @@ def test_stream_lands_replays_and_quarantines(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/errors")).first().raw_message == "{not json" and spark.read.parquet(str(tmp_path / "out/audit")).count() == 3
 
 
+def fixture_columns():
+    """Name and type of every business column by entity, from FIXTURES.md section 2."""
+    text = (Path(__file__).parents[1] / "FIXTURES.md").read_text().split("\n## ")[2]
+    for part in text.split("\n### ")[1:]:
+        rows = re.findall(r"^\| (bigint|int|string|date|decimal\(19,6\)) \| (.*) \|$", part, re.M)
+        yield part.split()[0], {c: t for t, names in rows for c in re.findall(r"`(\w+)!?`", names)}
+
+
+def as_events(raw, columns):
+    wire = lambda c, t: F.unix_date(c) if t == "date" else F.col(c).cast("string") if t.startswith("decimal") else F.col(c).cast("boolean") if c.startswith("is_") else F.col(c)
+    meta = {"__op": F.col("_op"), "__source_ts_ms": F.unix_millis("_source_commit_at"), "__source_lsn": F.col("_lsn"), "__deleted": F.col("_is_deleted").cast("boolean").cast("string")}
+    return raw.select(F.to_json(F.struct(*[wire(c, t).alias(c) for c, t in columns.items()], *[x.alias(n) for n, x in meta.items()])).alias("value"))
+
+
+def test_every_business_column_is_landed(spark):
+    fixtures = dict(fixture_columns())
+    assert fixtures.keys() == landing.REGISTRY.keys() and len(fixtures["loans"]) == 58
+    values = {"bigint": 1 << 40, "int": 1, "string": "é", "date": dt.date(1969, 12, 30), "decimal(19,6)": Decimal("1234567890.123456")}
+
+    def raw(name):
+        df = star.raw(spark, SF, name)
+        return df.withColumns({c: F.lit(values[t]).cast(t) for c, t in fixtures[name].items() if c not in df.columns})
+
+    def landed(name):
+        e = landing.REGISTRY[name]
+        return landing.typed_rows(landing.parse_events(as_events(raw(name), fixtures[name]), e), e, F.lit(dt.datetime(2026, 1, 1)))
+
+    for name, columns in fixtures.items():
+        got = landed(name).select(*columns)
+        assert {f.name: f.dataType.simpleString() for f in got.schema} == columns
+        want = raw(name).select(*columns)
+        assert want.count() > 0 and want.exceptAll(got).count() == 0 == got.exceptAll(want).count()
+    loans = Models(landed).stg_loans
+    want = Models(raw).stg_loans
+    same = [c for c in want.columns if not c.startswith(("cdc_", "source_"))]
+    assert loans.select("principal_repaid_ratio").where("principal_repaid_ratio > 0").count() > 0 and want.select(same).exceptAll(loans.select(same)).count() == 0
+
+
 @pytest.mark.parametrize("name", ["current_rows", "stg_loans", "fct_loan_transaction", "default_features", "portfolio_snapshot", "wire_landing", "reconciliation"])
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
