@@ -88,6 +88,26 @@ def test_near_copies_of_a_large_group(spark):
     assert got == want
 
 
+def test_near_copies_recall_of_the_last_level():
+    """Of pairs at the threshold, the target's share has a path in common after DEPTH splits and is likely enough there."""
+    rng, n = np.random.default_rng(11), 40_000
+    alike, values = rng.random((n, near.T)) < near.THRESHOLD, rng.integers(0, 256, (n, near.T))
+    roots = near._roots(near.runs_for(near.TARGET_RECALL, near.THRESHOLD))
+    first = [(np.flatnonzero(alike[:, i]), r, i) for r, i in roots]
+    pair = np.concatenate([p for p, _, _ in first])
+    path = np.concatenate([near._child(np.full(len(p), r, np.uint64), np.array(i), values[p, i]) for p, r, i in first])
+    for _ in range(near.DEPTH - 1):
+        parts = []
+        for s in range(0, len(path), 100_000):
+            row, i = np.nonzero(near._chosen(path[s : s + 100_000]))
+            both = alike[pair[s + row], i]
+            row, i = s + row[both], i[both]
+            parts.append((pair[row], near._child(path[row], i, values[pair[row], i])))
+        pair, path = (np.concatenate(x) for x in zip(*parts, strict=True))
+    found = np.intersect1d(pair, np.flatnonzero(alike.sum(1) >= near.LIKELY * near.T))
+    assert n - len(found) <= (1 - near.TARGET_RECALL) * n
+
+
 def test_near_copies_odd_rows(odd):
     got = near.near_copies(odd).collect()
     assert len(got) == 8 and {r.n_links for r in got if r.doc_id in (4, 5)} == {2} and {r.class_id for r in got if r.doc_id in (4, 5)} == {4}

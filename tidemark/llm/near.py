@@ -35,12 +35,23 @@ _step = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x
 _odd = mix(np.arange(1, T + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def runs_for(recall: float, threshold: float, depth: int = 3) -> int:
-    """Runs after which a pair at the threshold has met in a bucket of that depth with the given recall."""
-    p = 1.0
-    for _ in range(depth):  # a node has Poisson(1 / threshold) children, of which a pair shares a threshold's share
-        p = 1 - math.exp(-p)
-    return math.ceil(math.log(1 - recall) / math.log(1 - p))
+def runs_for(recall: float, threshold: float, depth: int = DEPTH) -> int:
+    """Runs after which a pair at the threshold has met in a bucket of that depth, and passed for LIKELY there, with the
+    given recall. How many of the T coordinates such a pair shares is a matter of chance, and pairs that share few are
+    found less often, so the recall is that of the mean over these numbers."""
+    share = [(n, math.comb(T, n) * threshold**n * (1 - threshold) ** (T - n)) for n in range(math.ceil(LIKELY * T), T + 1)]
+    met = []
+    for n, _ in share:
+        p = 1.0
+        for _ in range(depth):  # a node has Poisson(1 / threshold) children, of which the pair shares n in T
+            p = 1 - math.exp(-p * n / T / threshold)
+        met.append(p)
+    runs = 1
+    while sum(w * (1 - (1 - p) ** runs) for (_, w), p in zip(share, met, strict=True)) < recall:
+        if runs == 1000:
+            raise ValueError(f"no number of runs has a recall of {recall}")
+        runs += 1
+    return runs
 
 
 def shingles(text: str, n: int = WORDS) -> np.ndarray:
