@@ -162,6 +162,26 @@ def test_every_business_column_is_landed(spark):
     assert loans.select("principal_repaid_ratio").where("principal_repaid_ratio > 0").count() > 0 and want.select(same).exceptAll(loans.select(same)).count() == 0
 
 
+def test_pages_of_every_resource_are_landed(spark):
+    status = {"id": 300, "code": "s.active", "value": "Active", "active": True, "closed": False, "overpaid": False}
+    pages = {
+        "offices": ([{"id": 2, "name": " Head ", "nameDecorated": "..Head", "parentId": 1, "openingDate": [2009, 1, 5]}], {"office_id": 2, "name": "Head", "name_decorated": "..Head", "parent_id": 1, "opening_date": dt.date(2009, 1, 5), "external_id": None}),
+        "staff": ([{"id": 3, "displayName": "A, B", "officeId": 2, "isLoanOfficer": True, "isActive": False, "mobileNo": "", "joiningDate": "11 August 2026"}], {"staff_id": 3, "display_name": "A, B", "office_id": 2, "is_loan_officer": 1, "is_active": 0, "mobile_no": None, "joining_date": dt.date(2026, 8, 11)}),
+        "loan_products": ([{"id": 4, "shortName": "L", "currency": {"code": "KES", "decimalPlaces": 2}, "minPrincipal": 10.5, "repaymentFrequencyType": {"id": 2, "value": "Months"}, "interestType": "Flat", "closeDate": [2026, 2, 31]}], {"product_id": 4, "short_name": "L", "currency_code": "KES", "currency_decimal_places": 2, "min_principal": Decimal("10.5"), "repayment_frequency_type": "Months", "interest_type": "Flat", "close_date": None}),
+        "savings_products": ([{"id": 5, "nominalAnnualInterestRate": "3.25", "interestPostingPeriodType": {"value": "Monthly"}, "minRequiredOpeningBalance": 0}], {"product_id": 5, "nominal_annual_interest_rate": Decimal("3.25"), "interest_posting_period_type": "Monthly", "min_required_opening_balance": Decimal(0)}),
+        "clients": ({"pageItems": [{"id": 6, "status": status, "subStatus": {"id": 1}, "active": True, "timeline": {"submittedOnDate": [2025, 1, 3]}, "gender": {"id": 9, "value": "F"}, "legalForm": "PERSON", "emailAddress": "a@b.c"}]}, {"client_id": 6, "status_id": 300, "status_code": "s.active", "status_value": "Active", "sub_status_value": None, "is_active": 1, "submitted_on_date": dt.date(2025, 1, 3), "gender_value": "F", "legal_form_value": "PERSON", "email_address": "a@b.c"}),
+        "loans": ({"pageItems": [{"id": 7, "loanProductId": 4, "status": status, "timeline": {"expectedDisbursementDate": [2025, 1, 12], "actualMaturityDate": [2025, 9, 1]}, "termPeriodFrequencyType": {"value": "Months"}, "summary": {"principalPaid": 1.5, "penaltyChargesOutstanding": 2, "totalRepayment": 3}, "delinquent": {"pastDueDays": 0, "delinquentDays": 8, "delinquentAmount": 4}}]}, {"loan_id": 7, "product_id": 4, "status_id": 300, "is_closed": 0, "is_overpaid": 0, "disbursed_on_date": dt.date(2025, 1, 12), "closed_on_date": dt.date(2025, 9, 1), "term_frequency_type": "Months", "principal_paid": Decimal("1.5"), "penalty_charges_outstanding": Decimal(2), "total_repayment": Decimal(3), "delinquent_days": 8, "delinquent_amount": Decimal(4)}),
+        "loan_transactions": ([{"id": 8, "type": {"id": 2, "code": "t.repayment", "value": "Repayment"}, "date": [2025, 2, 3], "amount": 9.25, "feeChargesPortion": 1}], {"transaction_id": 8, "loan_id": 77, "type_id": 2, "type_code": "t.repayment", "type_value": "Repayment", "is_reversed": 0, "transaction_date": dt.date(2025, 2, 3), "amount": Decimal("9.25"), "fee_charges_portion": Decimal(1)}),
+        "savings_accounts": ({"id": 9, "savingsProductId": 5, "fieldOfficerId": 3, "status": status, "timeline": {"activatedOnDate": [2025, 3, 4]}, "summary": {"accountBalance": 5.5, "totalInterestPosted": 0.25}}, {"savings_id": 9, "product_id": 5, "field_officer_id": 3, "status_value": "Active", "is_active": 1, "activated_on_date": dt.date(2025, 3, 4), "account_balance": Decimal("5.5"), "total_interest_posted": Decimal("0.25")}),
+    }
+    assert pages.keys() == landing.REGISTRY.keys()
+    for name, (page, want) in pages.items():
+        e = landing.REGISTRY[name]
+        rows = landing.rest_rows(landing.unwrap(spark.createDataFrame([(77, json.dumps(page))], "parent_id long, value string")), e, "parent_id").collect()
+        assert len(rows) == 1 and set(rows[0].asDict()) == set(e.columns)
+        assert {c: rows[0][c] for c in want} == want, name
+
+
 @pytest.mark.parametrize("name", ["current_rows", "stg_loans", "fct_loan_transaction", "default_features", "portfolio_snapshot", "wire_landing", "reconciliation"])
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
