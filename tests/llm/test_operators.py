@@ -281,6 +281,26 @@ def test_vectors_recall_and_counts(spark):
     assert (vectors.upper_bounds(y, u) < (y @ u.T)).mean() < 1e-3
 
 
+def test_toxicity_trains_on_whole_lines_by_pair_chances():
+    rng = np.random.default_rng(2)
+    lines, step, start = [rng.normal(size=n) for n in (1, 6, 4, 6)], np.array([[0.0, -1.2], [0.3, 1.7]]), -0.5
+    pairs = [None] * len(lines)
+    toxicity.odds(lines, step, start, pairs)
+    for x, got in zip(lines, pairs, strict=True):
+        want, whole = np.zeros((2, len(x) - 1)), 0.0
+        for y in itertools.product((0, 1), repeat=len(x)):
+            chance = math.exp(start * y[0] + sum(a * b for a, b in zip(x, y, strict=True)) + sum(step[a, b] for a, b in itertools.pairwise(y)))
+            whole += chance
+            for t, (a, b) in enumerate(itertools.pairwise(y)):
+                want[a, t] += chance * b
+        assert got.shape == want.shape and np.allclose(got, want / whole)
+    pick = random.Random(8)
+    plain = lambda n: " ".join(pick.choice("abcdefgh") * 3 + pick.choice("klmnop") * 3 for _ in range(n))
+    docs = [(plain(450), 0) for _ in range(60)] + [(f"{plain(430)} zzyzx {plain(5)}", 1) for _ in range(60)]
+    made = toxicity.train(docs, 0.5)
+    assert made.emissions(["zzyzx"])[0] > 1 > made.emissions(["aaakkk"])[0]
+
+
 def test_toxicity_held_out(spark, odd):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").toPandas()

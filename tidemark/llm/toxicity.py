@@ -3,7 +3,7 @@
 Words of a line form a chain of two labels. A bounded sample of labelled texts (SAMPLE of each label, by hash of doc_id)
 gives token labels: words, and families of words with one beginning, that stand in many different surroundings in toxic
 texts and next to never in others. The field (hashed features of words and their beginnings, transitions, a start weight)
-is trained on lines of the sample by gradients from forward-backward; texts are then scored by the marginals of all their
+is trained on lines of the sample, long ones in pieces, by the gradients of its likelihood from forward-backward; texts are then scored by the marginals of all their
 tokens, which a logistic model turns into one score, and runs of likely tokens are the offending spans. Every text is
 scored whole, in the task that reads it; weights (one table of BUCKETS floats) go out with the tasks.
 
@@ -33,6 +33,8 @@ from .common import WORD_CACHE
 SAMPLE, BUCKETS, BEGINNINGS = 600, 1 << 18, (3, 4, 5, 6)
 EPOCHS, RATE, RIDGE = 60, 0.15, 1e-4
 SEEN, RATIO = 3, 12.0
+#: Words of a training line; longer lines are trained on in pieces.
+PIECE = 400
 _letters = re.compile(r"[^\W\d_]+")
 _word = re.compile(r"\S+")
 
@@ -97,9 +99,10 @@ class Field:
         return out
 
 
-def odds(lines: list[np.ndarray], step: np.ndarray, start: float) -> list[np.ndarray]:
+def odds(lines: list[np.ndarray], step: np.ndarray, start: float, pairs: list | None = None) -> list[np.ndarray]:
     """Log odds of the toxic label for each token of each line: forward and backward messages, all lines of like length at
-    a time."""
+    a time. pairs, if given, gets for each line and each token but its first the chances that it is toxic after a token
+    that isn't, and after one that is."""
     out: list = [None] * len(lines)
     order = sorted(range(len(lines)), key=lambda i: len(lines[i]))
     (oo, ot), (to, tt) = np.exp(step)
@@ -110,6 +113,8 @@ def odds(lines: list[np.ndarray], step: np.ndarray, start: float) -> list[np.nda
         if not n:
             for i in some:
                 out[i] = np.zeros(0)
+                if pairs is not None:
+                    pairs[i] = np.zeros((2, 0))
             continue
         g = np.ones((n, len(some)))
         for c, i in enumerate(some):
@@ -125,6 +130,11 @@ def odds(lines: list[np.ndarray], step: np.ndarray, start: float) -> list[np.nda
         both = np.log(ahead) + np.log(back)
         for c, i in enumerate(some):
             out[i] = both[: size[c], c]
+        if pairs is not None:
+            r, b = ahead[:-1], g[1:] * back[1:]
+            chance = np.stack([ot * b, r * tt * b]) / (oo + ot * b + r * (to + tt * b))
+            for c, i in enumerate(some):
+                pairs[i] = chance[:, : max(size[c] - 1, 0), c]
     return out
 
 
@@ -167,7 +177,8 @@ def train(docs: list[tuple[str, int]], share: float) -> Field:
     for text, label in docs:
         for words in _lines(text):
             y = np.array([label == 1 and is_toxic(normal(w)) for w in words])
-            (marked if y.any() else plain).append((words[:400], y[:400]))
+            for k in range(0, len(words), PIECE):
+                (marked if y[k : k + PIECE].any() else plain).append((words[k : k + PIECE], y[k : k + PIECE]))
     rng = np.random.default_rng(1)
     chosen = [plain[i] for i in rng.permutation(len(plain))[: 2 * len(marked) + 500]]
     lines = marked + chosen
@@ -185,13 +196,14 @@ def train(docs: list[tuple[str, int]], share: float) -> Field:
     m, v = np.zeros(len(used) + 3), np.zeros(len(used) + 3)
     for epoch in range(1, EPOCHS + 1):
         e = np.bincount(of, weights=w[flat], minlength=len(words))
-        p = 1 / (1 + np.exp(-np.clip(np.concatenate(odds(np.split(e, first[1:]), step, start)), -30, 30)))
-        # chances of pairs of labels, by the marginals' neighbours: exact up to the field's weak coupling
+        pairs: list = [None] * len(lines)
+        p = 1 / (1 + np.exp(-np.clip(np.concatenate(odds(np.split(e, first[1:]), step, start, pairs)), -30, 30)))
+        turned, stayed = np.concatenate(pairs, axis=1)
         gap = y - p
         grad = np.append(np.bincount(flat, weights=gap[of], minlength=len(used)) / len(lines) - RIDGE * w, np.zeros(3))
         grad[-3] = gap[first].mean()
-        grad[-2] = (y[inner] * (1 - y[inner - 1]) - p[inner] * (1 - p[inner - 1])).mean()
-        grad[-1] = (y[inner] * y[inner - 1] - p[inner] * p[inner - 1]).mean()
+        grad[-2] = (y[inner] * (1 - y[inner - 1]) - turned).mean()
+        grad[-1] = (y[inner] * y[inner - 1] - stayed).mean()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         move = RATE * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.99**epoch)) + 1e-8)
         w, start, step[0, 1], step[1, 1] = w + move[:-3], start + move[-3], step[0, 1] + move[-2], step[1, 1] + move[-1]
