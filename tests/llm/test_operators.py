@@ -281,19 +281,23 @@ def test_vectors_recall_and_counts(spark):
     assert (vectors.upper_bounds(y, u) < (y @ u.T)).mean() < 1e-3
 
 
-def test_toxicity_trains_on_whole_lines_by_pair_chances():
+def test_toxicity_trains_on_whole_lines_by_pair_chances(monkeypatch):
     rng = np.random.default_rng(2)
-    lines, step, start = [rng.normal(size=n) for n in (1, 6, 4, 6)], np.array([[0.0, -1.2], [0.3, 1.7]]), -0.5
-    pairs = [None] * len(lines)
-    toxicity.odds(lines, step, start, pairs)
-    for x, got in zip(lines, pairs, strict=True):
-        want, whole = np.zeros((2, len(x) - 1)), 0.0
-        for y in itertools.product((0, 1), repeat=len(x)):
-            chance = math.exp(start * y[0] + sum(a * b for a, b in zip(x, y, strict=True)) + sum(step[a, b] for a, b in itertools.pairwise(y)))
-            whole += chance
-            for t, (a, b) in enumerate(itertools.pairwise(y)):
-                want[a, t] += chance * b
-        assert got.shape == want.shape and np.allclose(got, want / whole)
+    lines, step, start = [rng.normal(size=n) for n in (1, 6, 4, 6, 9)], np.array([[0.0, -1.2], [0.3, 1.7]]), -0.5
+    sizes = np.array([len(x) for x in lines])
+    for cells in (1, 14, 1 << 18):
+        monkeypatch.setattr(toxicity, "CELLS", cells)
+        pairs = np.zeros((2, sizes.sum()))
+        one = toxicity.odds(np.concatenate(lines), sizes, step, start, pairs)
+        for x, got, own in zip(lines, np.split(pairs, np.cumsum(sizes)[:-1], 1), np.split(one, np.cumsum(sizes)[:-1]), strict=True):
+            want, toxic, whole = np.zeros((2, len(x))), np.zeros(len(x)), 0.0
+            for y in itertools.product((0, 1), repeat=len(x)):
+                chance = math.exp(start * y[0] + sum(a * b for a, b in zip(x, y, strict=True)) + sum(step[a, b] for a, b in itertools.pairwise(y)))
+                whole += chance
+                toxic += chance * np.array(y)
+                for t, (a, b) in enumerate(itertools.pairwise(y), 1):
+                    want[a, t] += chance * b
+            assert np.allclose(got, want / whole) and np.allclose(1 / (1 + np.exp(-own)), toxic / whole)
     pick = random.Random(8)
     plain = lambda n: " ".join(pick.choice("abcdefgh") * 3 + pick.choice("klmnop") * 3 for _ in range(n))
     docs = [(plain(450), 0) for _ in range(60)] + [(f"{plain(430)} zzyzx {plain(5)}", 1) for _ in range(60)]
@@ -301,6 +305,12 @@ def test_toxicity_trains_on_whole_lines_by_pair_chances():
     assert made.emissions(["zzyzx"])[0] > 1 > made.emissions(["aaakkk"])[0]
 
 
+def test_slices_hold_all_texts_in_order():
+    some = ["a" * n for n in (3, 0, 9, 30, 1, 1, 0, 8)]
+    cut = list(common.slices(some, 10))
+    assert [x for c in cut for x in c] == some and all(len(c) == 1 or sum(map(len, c)) <= 10 for c in cut) and list(common.slices([], 10)) == []
+
+
 def test_toxicity_held_out(spark, odd):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").toPandas()

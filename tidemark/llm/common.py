@@ -60,6 +60,18 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+def slices(docs: list[str], chars: int) -> Iterator[list[str]]:
+    """Consecutive texts of so many characters in all, or a single longer one."""
+    start, size = 0, 0
+    for k, x in enumerate(docs):
+        if size and size + len(x) > chars:
+            yield docs[start:k]
+            start, size = k, 0
+        size += len(x)
+    if start < len(docs):
+        yield docs[start:]
+
+
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Rows with equal consecutive keys, from batches of a partition that is sorted by the key."""
     held: list[pa.RecordBatch] = []

@@ -1,11 +1,13 @@
 """Operator 9: toxicity by a linear-chain conditional random field.
 
-Words of a line form a chain of two labels. A bounded sample of labelled texts (SAMPLE of each label, by hash of doc_id)
-gives token labels: words, and families of words with one beginning, that stand in many different surroundings in toxic
-texts and next to never in others. The field (hashed features of words and their beginnings, transitions, a start weight)
-is trained on lines of the sample, long ones in pieces, by the gradients of its likelihood from forward-backward; texts are then scored by the marginals of all their
-tokens, which a logistic model turns into one score, and runs of likely tokens are the offending spans. Every text is
-scored whole, in the task that reads it; weights (one table of BUCKETS floats) go out with the tasks.
+Words of a line form a chain of two labels. A bounded sample of labelled texts (SAMPLE of each label, by hash of doc_id,
+less those above SAMPLE_CHARS characters) gives token labels: words, and families of words with one beginning, that stand
+in many different surroundings in toxic texts and next to never in others. The field (hashed features of words and their
+beginnings, transitions, a start weight) is trained on the sample's lines with toxic tokens and PLAIN times as many
+others, long ones in pieces, by the gradients of its likelihood from forward-backward; texts are then scored by the
+marginals of all their tokens, which a logistic model turns into one score, and runs of likely tokens are the offending
+spans. Every text is scored whole, in the task that reads it, a slice of texts at a time; weights (one table of BUCKETS
+floats) go out with the tasks. Training is in the driver and costs the same whatever the corpus.
 
 Rows: null text has no words and gets the score of that; labels for no document or with a null label are not used;
 repeated rows get equal scores; texts of any length are scored whole; without any labels of both kinds the score is the
@@ -28,13 +30,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CACHE
+from .common import slices, texts
 
 SAMPLE, BUCKETS, BEGINNINGS = 600, 1 << 18, (3, 4, 5, 6)
 EPOCHS, RATE, RIDGE = 60, 0.15, 1e-4
 SEEN, RATIO = 3, 12.0
+#: Texts with more characters aren't taken into the sample, so that it is bounded in bytes too.
+SAMPLE_CHARS = 100_000
+#: Of the sample's lines without toxic tokens, the field learns from so many for each line with some, and so many more; the
+#: model of document scores learns from all. More of them only tell the field to expect less.
+PLAIN, PLAIN_LEAST = 2, 500
 #: Words of a training line; longer lines are trained on in pieces.
 PIECE = 400
+#: A task holds the words of so many characters, numbers of the messages, and known words at a time.
+SLICE_CHARS, CELLS, WORD_CACHE = 500_000, 1 << 18, 100_000
 _letters = re.compile(r"[^\W\d_]+")
 _word = re.compile(r"\S+")
 
@@ -99,42 +108,42 @@ class Field:
         return out
 
 
-def odds(lines: list[np.ndarray], step: np.ndarray, start: float, pairs: list | None = None) -> list[np.ndarray]:
-    """Log odds of the toxic label for each token of each line: forward and backward messages, all lines of like length at
-    a time. pairs, if given, gets for each line and each token but its first the chances that it is toxic after a token
-    that isn't, and after one that is."""
-    out: list = [None] * len(lines)
-    order = sorted(range(len(lines)), key=lambda i: len(lines[i]))
+def odds(e: np.ndarray, sizes: np.ndarray, step: np.ndarray, start: float, chances: np.ndarray | None = None) -> np.ndarray:
+    """Log odds of the toxic label for each token, from the emissions of lines that follow each other: forward and backward
+    messages, lines of like length at a time, CELLS numbers at most (but for a single longer line). chances, if given, gets
+    for each token but a line's first the chances that it is toxic after a token that isn't, and after one that is."""
+    g_all, out = np.exp(np.clip(e, -30, 30)), np.zeros(len(e))
+    first = np.cumsum(sizes) - sizes
+    order = np.argsort(-sizes, kind="stable")
     (oo, ot), (to, tt) = np.exp(step)
-    for k in range(0, len(order), 1024):
-        some = order[k : k + 1024]
-        size = np.array([len(lines[i]) for i in some])
-        n = int(size[-1])
-        if not n:
-            for i in some:
-                out[i] = np.zeros(0)
-                if pairs is not None:
-                    pairs[i] = np.zeros((2, 0))
-            continue
+    k = 0
+    while k < len(order) and (n := int(sizes[order[k]])):
+        some = order[k : k + max(1, CELLS // n)]
+        k += len(some)
+        size = sizes[some]
+        some, size = some[size > 0], size[size > 0]
+        lanes = np.searchsorted(-size, -np.arange(n), side="left")  # lines that have a token at this place
+        line = np.repeat(np.arange(len(some)), size)
+        t_of = np.arange(len(line)) - np.repeat(np.cumsum(size) - size, size)
+        place = first[some][line] + t_of
         g = np.ones((n, len(some)))
-        for c, i in enumerate(some):
-            g[: size[c], c] = np.exp(np.clip(lines[i], -30, 30))
+        g[t_of, line] = g_all[place]
         ahead, back = np.empty_like(g), np.ones_like(g)
         ahead[0] = math.exp(start) * g[0]
         for t in range(1, n):
-            r = ahead[t - 1]
-            ahead[t] = g[t] * (ot + r * tt) / (oo + r * to)
+            m = lanes[t]
+            r = ahead[t - 1, :m]
+            ahead[t, :m] = g[t, :m] * (ot + r * tt) / (oo + r * to)
         for t in range(n - 2, -1, -1):
-            b = g[t + 1] * back[t + 1]
-            back[t] = np.where(t + 1 < size, (to + tt * b) / (oo + ot * b), 1.0)
-        both = np.log(ahead) + np.log(back)
-        for c, i in enumerate(some):
-            out[i] = both[: size[c], c]
-        if pairs is not None:
-            r, b = ahead[:-1], g[1:] * back[1:]
-            chance = np.stack([ot * b, r * tt * b]) / (oo + ot * b + r * (to + tt * b))
-            for c, i in enumerate(some):
-                pairs[i] = chance[:, : max(size[c] - 1, 0), c]
+            m = lanes[t + 1]
+            b = g[t + 1, :m] * back[t + 1, :m]
+            back[t, :m] = (to + tt * b) / (oo + ot * b)
+        out[place] = np.log(ahead[t_of, line]) + np.log(back[t_of, line])
+        if chances is not None:
+            inner = t_of > 0
+            t, c = t_of[inner], line[inner]
+            r, b = ahead[t - 1, c], g[t, c] * back[t, c]
+            chances[:, place[inner]] = np.stack([ot * b, r * tt * b]) / (oo + ot * b + r * (to + tt * b))
     return out
 
 
@@ -168,9 +177,24 @@ def token_labels(docs: list[tuple[str, int]]) -> set[str]:
 
 
 def train(docs: list[tuple[str, int]], share: float) -> Field:
-    """The field from (text, label) pairs; share: of toxic labels where no sample was taken."""
+    """The field from (text, label) pairs, and the model of document scores; share: of toxic labels where no sample was
+    taken."""
     if len({label for _, label in docs}) < 2:
         return Field(np.zeros(BUCKETS, np.float32), np.zeros((2, 2)), 0.0, (0.0,) * 4, share)
+    made = train_field(docs)
+    x, label = np.array([text_summary(made, text) for text, _ in docs]), np.array([t for _, t in docs], float)
+    b = np.zeros(4)
+    for _ in range(30):  # Newton's steps of a ridge logistic regression
+        q = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
+        h = x.T @ (x * (q * (1 - q))[:, None]) + 0.5 * np.eye(4)
+        b = b + np.linalg.solve(h, x.T @ (label - q) - 0.5 * b * np.array([0, 1, 1, 1]))
+    sampled = label.mean()
+    b[0] += math.log(share / (1 - share)) - math.log(sampled / (1 - sampled))
+    made.final = tuple(b.tolist())
+    return made
+
+
+def train_field(docs: list[tuple[str, int]]) -> Field:
     toxic = token_labels(docs)
     is_toxic = lambda w: w in toxic or any(w[:k] + "*" in toxic for k in BEGINNINGS[1:])
     marked, plain = [], []
@@ -179,12 +203,15 @@ def train(docs: list[tuple[str, int]], share: float) -> Field:
             y = np.array([label == 1 and is_toxic(normal(w)) for w in words])
             for k in range(0, len(words), PIECE):
                 (marked if y[k : k + PIECE].any() else plain).append((words[k : k + PIECE], y[k : k + PIECE]))
-    rng = np.random.default_rng(1)
-    chosen = [plain[i] for i in rng.permutation(len(plain))[: 2 * len(marked) + 500]]
-    lines = marked + chosen
+    few = np.random.default_rng(1).permutation(len(plain))[: PLAIN * len(marked) + PLAIN_LEAST]
+    lines = marked + [plain[i] for i in few]
+    if not lines:
+        lines = [([""], np.zeros(1, bool))]
     words = [w for x, _ in lines for w in x]
-    feats = [hashed(w) for w in words]
-    flat, of = np.concatenate([np.array(f) for f in feats]), np.repeat(np.arange(len(words)), [len(f) for f in feats])
+    kinds = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    kind = np.fromiter(map(kinds.__getitem__, words), np.int64, len(words))
+    feats = [hashed(w) for w in kinds]
+    flat, of = np.concatenate([np.array(f) for f in feats]), np.repeat(np.arange(len(kinds)), [len(f) for f in feats])
     used, flat = np.unique(flat, return_inverse=True)
     y = np.concatenate([y for _, y in lines]).astype(float)
     size = np.array([len(x) for x, _ in lines])
@@ -195,12 +222,12 @@ def train(docs: list[tuple[str, int]], share: float) -> Field:
     w, step, start = np.zeros(len(used)), np.array([[0.0, -3.0], [0.0, -3.0]]), -3.0
     m, v = np.zeros(len(used) + 3), np.zeros(len(used) + 3)
     for epoch in range(1, EPOCHS + 1):
-        e = np.bincount(of, weights=w[flat], minlength=len(words))
-        pairs: list = [None] * len(lines)
-        p = 1 / (1 + np.exp(-np.clip(np.concatenate(odds(np.split(e, first[1:]), step, start, pairs)), -30, 30)))
-        turned, stayed = np.concatenate(pairs, axis=1)
+        e = np.bincount(of, weights=w[flat], minlength=len(kinds))[kind]
+        chances = np.zeros((2, len(words)))
+        p = 1 / (1 + np.exp(-np.clip(odds(e, size, step, start, chances), -30, 30)))
+        turned, stayed = chances[:, inner]
         gap = y - p
-        grad = np.append(np.bincount(flat, weights=gap[of], minlength=len(used)) / len(lines) - RIDGE * w, np.zeros(3))
+        grad = np.append(np.bincount(flat, weights=np.bincount(kind, weights=gap, minlength=len(kinds))[of], minlength=len(used)) / len(lines) - RIDGE * w, np.zeros(3))
         grad[-3] = gap[first].mean()
         grad[-2] = (y[inner] * (1 - y[inner - 1]) - turned).mean()
         grad[-1] = (y[inner] * y[inner - 1] - stayed).mean()
@@ -209,23 +236,19 @@ def train(docs: list[tuple[str, int]], share: float) -> Field:
         w, start, step[0, 1], step[1, 1] = w + move[:-3], start + move[-3], step[0, 1] + move[-2], step[1, 1] + move[-1]
     weights = np.zeros(BUCKETS, np.float32)
     weights[used] = w
-    made = Field(weights, step, start, (0.0,) * 4)
-    x = np.array([made_summary(made, text) for text, _ in docs])
-    label = np.array([t for _, t in docs], float)
-    b = np.zeros(4)
-    for _ in range(30):  # Newton's steps of a ridge logistic regression
-        q = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        h = x.T @ (x * (q * (1 - q))[:, None]) + 0.5 * np.eye(4)
-        b = b + np.linalg.solve(h, x.T @ (label - q) - 0.5 * b * np.array([0, 1, 1, 1]))
-    sampled = label.mean()
-    b[0] += math.log(share / (1 - share)) - math.log(sampled / (1 - sampled))
-    made.final = tuple(b.tolist())
-    return made
+    return Field(weights, step, start, (0.0,) * 4)
+
+
+def _flat(f: Field, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of all tokens of some texts, and how many each text has."""
+    lines = [_lines(x) for x in some]
+    sizes = np.array([len(y) for x in lines for y in x], np.int64)
+    counts = np.array([sum(map(len, x)) for x in lines], np.int64)
+    return odds(f.emissions([w for x in lines for y in x for w in y]), sizes, f.step, f.start), counts
 
 
-def made_summary(f: Field, text: str) -> list[float]:
-    parts = [f.emissions(w) for w in _lines(text)]
-    return summary(np.concatenate(odds(parts, f.step, f.start)) if parts else np.zeros(0))
+def text_summary(f: Field, text: str) -> list[float]:
+    return summary(_flat(f, [text])[0])
 
 
 _SCORE = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32()), ("spans", pa.string())])
@@ -247,20 +270,14 @@ def _apply(weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = weights.value
         for b in batches:
-            docs = [x or "" for x in b.column("text").to_pylist()]
-            lines = [_lines(x) for x in docs]
-            counts = [sum(map(len, x)) for x in lines]
-            e = f.emissions([w for x in lines for y in x for w in y])
-            sizes = [len(y) for x in lines for y in x]
-            parts = np.split(e, np.cumsum(sizes)[:-1]) if sizes else []
-            x = np.concatenate(odds(parts, f.step, f.start)) if parts else np.zeros(0)
-            ends = np.cumsum(counts, dtype=np.int64)
             score, found = [], []
-            for text, n, end in zip(docs, counts, ends.tolist(), strict=True):
-                own = x[end - n : end]
-                z = float(np.dot(summary(own), f.final))
-                score.append(f.base if f.base is not None else 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
-                found.append(spans(text, own > 0) if n and own.max() > 0 else "")
+            for docs in slices(texts(b), SLICE_CHARS):
+                x, counts = _flat(f, docs)
+                for text, n, end in zip(docs, counts.tolist(), np.cumsum(counts).tolist(), strict=True):
+                    own = x[end - n : end]
+                    z = float(np.dot(summary(own), f.final))
+                    score.append(f.base if f.base is not None else 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+                    found.append(spans(text, own > 0) if n and own.max() > 0 else "")
             ids = b.column("doc_id").to_pylist()
             cols = ids, [held_out(i) for i in ids], score, [int(s >= 0.5) for s in score], found
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _SCORE.types, strict=True)], schema=_SCORE)
@@ -279,7 +296,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
         part = usable.where(F.col("toxic") == kind).orderBy(first, "doc_id").limit(sample)
         few = part if few is None else few.union(part)
     few = few.dropDuplicates(["doc_id", "toxic"])
-    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").orderBy("doc_id", "text", "toxic").collect()
+    rows = docs.where(F.coalesce(F.char_length("text"), F.lit(0)) <= SAMPLE_CHARS).select("doc_id", "text").join(F.broadcast(few), "doc_id").orderBy("doc_id", "text", "toxic").collect()
     return train([(r["text"] or "", int(r["toxic"])) for r in rows], min(max(share, 1e-6), 1 - 1e-6) if counts else 0.0)
 
 
