@@ -13,13 +13,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark import queries
+from tidemark import queries, shared
 from tidemark.functions import parsing as p
 from tidemark.functions import scalars as s
-from tidemark.operators import asof, cdc, quality
-from tidemark.operators.tables import Table, replace_day
+from tidemark.operators import asof, cdc, load, quality
+from tidemark.operators.tables import Conflict, Table, replace_day
 from tidemark.plans.models import Models
-from tidemark.sources import landing, star
+from tidemark.sources import landing, seeds, star
 from tidemark.streaming import continuous
 
 SF = "/root/testdata/sf0.001"
@@ -95,16 +95,88 @@ def test_expectations_and_gate(spark):
     assert not quality.gate([("none", df.agg(F.max(F.lit(None).cast("double"))), "==", 0, True)]).first().passed
 
 
-def test_table_publishes_and_compacts(spark, tmp_path):
+def test_table_versions(spark, tmp_path):
     t = Table(spark, str(tmp_path / "t"))
-    t.publish(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), sort=["k"])
+    rows = lambda: {tuple(r) for r in t.read().collect()}
+    t.replace(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), sort=["k"], bloom="k")
     t.merge(spark.createDataFrame([(2, "c")], "k long, v string"), ["k"])
+    before = {x["path"] for x in t.pointer()["folders"]}
     t.append(spark.createDataFrame([(9, "z")], "k long, v string"))
-    assert {tuple(r) for r in t.read().collect()} == {(1, "a"), (2, "c"), (9, "z")}
+    assert rows() == {(1, "a"), (2, "c"), (9, "z")} and before < {x["path"] for x in t.pointer()["folders"]}
+    staged = t.stage(spark.createDataFrame([(0, "lost")], "k long, v string"))
+    with pytest.raises(Conflict):
+        t.publish(staged, "k long, v string", after=t.versions()[-2])  # another writer was first
+    assert t.versions() == [1, 2, 3] and rows() == {(1, "a"), (2, "c"), (9, "z")}
+    assert t.vacuum(keep=1) == 2 and t.versions() == [3] and len(rows()) == 3
     day = spark.createDataFrame([(dt.date(2020, 1, 1), 1)], "snapshot_date date, n int")
     assert replace_day(day, day.withColumn("n", F.lit(2))).collect() == [(dt.date(2020, 1, 1), 2)]
 
 
+def test_table_partitions_are_written_only_where_touched(spark, tmp_path):
+    t = Table(spark, str(tmp_path / "t"), "day")
+    day = lambda n: dt.date(2020, 1, n)
+    t.replace(spark.createDataFrame([(1, day(1)), (2, day(2)), (3, day(3)), (4, None)], "k long, day date"))
+    old = {x["part"]: x["path"] for x in t.pointer()["folders"]}
+    t.merge(spark.createDataFrame([(1, day(2), 0), (3, day(3), 1), (5, day(4), 0)], "k long, day date, gone int"), ["k"], "gone")
+    new = {x["part"]: x["path"] for x in t.pointer()["folders"]}
+    assert {tuple(r) for r in t.read().collect()} == {(1, day(2)), (2, day(2)), (4, None), (5, day(4))}
+    assert new["__HIVE_DEFAULT_PARTITION__"] == old["__HIVE_DEFAULT_PARTITION__"] and new["2020-01-02"] != old["2020-01-02"] and "2020-01-03" not in new
+    t.expire("day", 2, dt.datetime(2020, 1, 5, 12))
+    assert {tuple(r) for r in t.read().collect()} == {(5, day(4))}
+
+
+def test_lake_loads_are_atomic(spark, tmp_path):
+    lake, e = load.Lake(spark, str(tmp_path / "lake")), landing.REGISTRY["offices"]
+    frame = lambda rows: spark.createDataFrame([(i, None, name, None, None, None, None, None) for i, name in rows], ", ".join(["office_id long", "parent_id long", *[f"{c} string" for c in ("name", "name_decorated", "external_id", "parent_name", "hierarchy")], "opening_date date"])).select(*e.columns)
+    at = [dt.datetime(2026, 1, n) for n in range(1, 9)]
+    assert lake.load(e, frame([(1, "a"), (2, "b")]), at[0]) == load.Outcome("offices", "success", 2, 2)
+    assert lake.load(e, frame([(1, "a"), (2, "b")]), at[1]) == load.Outcome("offices", "success", 2, 0, 0, 2) and lake.table("offices").versions() == [1]
+    assert lake.load(e, frame([(1, "z"), (2, "b"), (3, "c")]), at[2], dry_run=True).status == "skipped" and lake.table("offices").versions() == [1]
+    assert lake.load(e, frame([(1, "z"), (2, "b"), (3, "c")]), at[2]) == load.Outcome("offices", "success", 3, 1, 1, 1)
+    row = {r.office_id: r for r in lake.table("offices").read().collect()}
+    assert (row[1]["name"], row[1]._ingested_at, row[1]._updated_at, row[2]._updated_at) == ("z", at[0], at[2], at[0])
+    failed = lake.load(e, frame([(1, "q"), (None, "x"), (-5, "y")]), at[3])
+    assert failed.status == "failed" and "reject ratio" in failed.error and lake.table("offices").versions() == [1, 2]
+    empty = lake.load(e, frame([(1, "q")]).where("false"), at[4])
+    assert empty.status == "failed" and "has_head_office" in empty.error
+    twice = lake.load(e, frame([(1, "q"), (1, "r")]), at[5])
+    assert twice.status == "failed" and "office_id_unique" in twice.error
+    mark = lake.table("watermarks").read().first()
+    assert (mark.last_cursor, mark.last_row_count, mark.total_rows_loaded, mark.last_success_at) == ("3", 3, 7, at[2])
+    assert [r.status for r in lake.table("runs").read().orderBy("started_at", "status").collect()] == ["success", "success", "skipped", "success", "failed", "failed", "failed"]
+    gone = lambda name: frame([(None, "x")]) if name == "offices" else spark.range(1).selectExpr("no_such_column")
+    assert [o.status for o in lake.load_all(gone, at[6], ["offices"], fail_fast=True)] == ["failed"]
+    order = lake.load_all(lambda name: frame([(1, "a")]), at[7], ["offices", "staff"])
+    assert [(o.entity, o.status) for o in order] == [("offices", "success"), ("staff", "failed")]
+
+
+def test_watermark_keeps_its_cursor(spark):
+    one = spark.createDataFrame([(3,), (5,)], "k long")
+    first = cdc.watermark(None, one, "e", "k", dt.datetime(2020, 1, 1))
+    none = cdc.watermark(first, one.where("false"), "e", "k", dt.datetime(2020, 1, 2)).first()
+    assert (none.last_cursor, none.last_row_count, none.total_rows_loaded) == ("5", 0, 2)
+
+
+def test_gate_counts_errors_as_failures(spark):
+    df = spark.createDataFrame([(1,), (1,)], "k long")
+    got = {r.check_name: r for r in quality.gate_of([(df, [("there", F.count("*"), ">", 0, True), ("gone", F.sum("no_such_column"), "==", 0, True), ("none", F.max(F.lit(None).cast("long")), "==", 0, False)])]).collect()}
+    assert got["there"].passed and not got["gone"].passed and "no_such_column" in got["gone"].error and not got["none"].passed and got["none"].error is None
+
+
+def test_seed_types(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("bucket_order,bucket_name\n1,Current\n")
+    assert seeds.read_csv(spark, str(tmp_path / "s.csv"), "bucket_order int, bucket_name string").first() == (1, "Current")
+    (tmp_path / "t.csv").write_text("bucket_order,bucket_name\nx,Current\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        seeds.read_csv(spark, str(tmp_path / "t.csv"), "bucket_order int, bucket_name string").collect()
+
+
+def test_shared_folder_is_never_a_machine_of_a_cluster(spark, monkeypatch):
+    assert shared.folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    df = shared.written(spark.range(3).toDF("k"))
+    assert df.count() == 3 and df.inputFiles()[0].startswith("file:" + shared.folder(spark))
+
+
 def test_stream_lands_replays_and_quarantines(spark, tmp_path):
     e = landing.REGISTRY["loans"]
     lines = [
@@ -114,14 +186,22 @@ def test_stream_lands_replays_and_quarantines(spark, tmp_path):
     ]
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text("\n".join([*map(json.dumps, lines), "{not json"]))
-    for number in range(2):  # the second run replays the batch under a new checkpoint
-        q = continuous.land(continuous.from_files(spark, str(tmp_path / "in")), e, str(tmp_path / "out"), str(tmp_path / f"c{number}"), {"availableNow": True}).start()
+
+    def run(checkpoint):
+        q = continuous.land(continuous.from_files(spark, str(tmp_path / "in")), e, str(tmp_path / "out"), str(tmp_path / checkpoint), {"availableNow": True}).start()
         q.awaitTermination(120)
-    typed = spark.read.parquet(str(tmp_path / "out/typed"))
-    assert typed.count() == 3 and cdc.current_rows(typed.drop("batch"), "loan_id").count() == 0
+        return spark.read.parquet(str(tmp_path / "out/typed"))
+
+    run("c")
+    for f in (tmp_path / "c" / "commits").iterdir():
+        f.unlink()  # as if the run had died before it could say that the batch was done
+    typed = run("c")
+    assert typed.count() == 3 and cdc.current_rows(typed.drop("batch", "stream"), "loan_id").count() == 0
     first = typed.where("_op = 'u' and principal is not null").first()
     assert str(first.principal) == "250000.000000" and first.submitted_on_date == dt.date(1969, 12, 29) and first.is_active == 1
     assert spark.read.parquet(str(tmp_path / "out/errors")).first().raw_message == "{not json" and spark.read.parquet(str(tmp_path / "out/audit")).count() == 3
+    again = run("another")  # a stream of its own: nothing of the first is overwritten, and the collapse sees no difference
+    assert again.count() == 6 and cdc.current_rows(again.drop("batch", "stream"), "loan_id").count() == 0
 
 
 def fixture_columns():
@@ -182,7 +262,7 @@ def test_pages_of_every_resource_are_landed(spark):
         assert {c: rows[0][c] for c in want} == want, name
 
 
-@pytest.mark.parametrize("name", ["current_rows", "stg_loans", "fct_loan_transaction", "default_features", "portfolio_snapshot", "wire_landing", "reconciliation"])
+@pytest.mark.parametrize("name", ["current_rows", "stg_loans", "fct_loan_transaction", "default_features", "portfolio_snapshot", "wire_landing", "reconciliation", "wire_round_trip", "atomic_load", "merged_by_month", "balance_sanity", "leakage_planted", "scoring_features"])
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
     for t in ("region", "nation", "customer", "supplier", "orders", "lineitem", "events"):

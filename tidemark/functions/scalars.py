@@ -29,8 +29,10 @@ def ratio(n: Column | str, d: Column | str) -> Column:
 
 
 def surrogate_key(*columns: str) -> Column:
-    """A 64-bit hash of the columns as text, joined by | with <null> for NULL."""
-    return F.xxhash64(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in columns]))
+    """A 60-bit hash of the columns as text, joined by | with <null> for NULL: the first digits of its MD5, which other
+    engines can compute as well."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in columns])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def band(x: Column, bands: list[tuple[int, str]], rest: str, missing: str | None = None) -> Column:

@@ -16,28 +16,30 @@ ORDER = ("_version", "_lsn", "_tx_id")
 META = ("_op", "_source_commit_at", "_cdc_read_at", "_version", "_lsn", "_tx_id", "_is_deleted", "_landed_at")
 
 
-def _order(df: DataFrame) -> Column:
-    """Equal versions fall back on the log position, then on the whole row, so that ties have one result."""
+def order(df: DataFrame) -> Column:
+    """Equal versions fall back on the log position, then on a hash of the whole row, so that ties have one result. The
+    order is a few numbers: an aggregate that keeps it doesn't keep a second copy of the row."""
     rest = [c for c, t in sorted(df.dtypes) if c not in ORDER and not t.startswith(("map", "variant"))]
-    return F.struct(*[F.col(c) for c in ORDER if c in df.columns], *[F.col(c) for c in rest])
+    return F.struct(*[F.col(c) for c in ORDER if c in df.columns], F.xxhash64(*rest).alias("_hash"))
 
 
 def current_rows(df: DataFrame, *keys: str) -> DataFrame:
     """The newest whole row of each key, unless it is a delete. max_by aggregates before the shuffle: one row of each key
     leaves a task, so a key with very many versions is no hot spot."""
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in df.columns if c not in keys]), _order(df)).alias("_row"))
+    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in df.columns if c not in keys]), order(df)).alias("_row"))
     return newest.select(*keys, "_row.*").where("_is_deleted = 0").select(*df.columns)
 
 
 def latest_by_key(df: DataFrame, keys: list[str], columns: list[str], skip_nulls: bool = False, where: Column | None = None) -> DataFrame:
     """The columns at each key's newest version, with is_deleted, cdc_commit_at and cdc_version; deletes stay, marked.
 
-    skip_nulls: each column by itself takes its newest value that isn't NULL."""
+    skip_nulls: each column by itself takes its newest value that isn't NULL; otherwise all come from one row."""
     df = df if where is None else df.where(where)
-    order = _order(df)
-    pick = (lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), order))) if skip_nulls else (lambda c: F.max_by(c, order))
-    named = {**{c: c for c in columns}, "_is_deleted": "is_deleted", "_source_commit_at": "cdc_commit_at"}
-    return df.groupBy(*keys).agg(*[pick(c).alias(n) for c, n in named.items()], F.max("_version").alias("cdc_version"))
+    by, named = order(df), {**{c: c for c in columns}, "_is_deleted": "is_deleted", "_source_commit_at": "cdc_commit_at"}
+    version = F.max("_version").alias("cdc_version")
+    if skip_nulls:
+        return df.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), by)).alias(n) for c, n in named.items()], version)
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c).alias(n) for c, n in named.items()]), by).alias("_row"), version).select(*keys, "_row.*", "cdc_version")
 
 
 def incremental_filter(df: DataFrame, target: DataFrame | None, column: str, target_column: str, hours: int = 48) -> DataFrame:
@@ -66,9 +68,12 @@ def classify_changes(target: DataFrame, batch: DataFrame, keys: list[str], colum
     return batch.join(old, keys, "left").withColumn("change", state).drop("_old", "_there")
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: list[str], columns: list[str], now: dt.datetime, touched: str = "_updated_at") -> DataFrame:
-    """Target after the batch: `touched` moves only on rows that differ; the rest of an unchanged row stays as it was."""
+def upsert(target: DataFrame, batch: DataFrame, keys: list[str], columns: list[str], now: dt.datetime, touched: str = "_updated_at", kept: str | None = None) -> DataFrame:
+    """Target after the batch: `touched` moves only on rows that differ, an unchanged row stays as it was, and `kept` (when
+    a row first came) stays on all that were there."""
     change = classify_changes(target, batch, keys, columns).where("change <> 'unchanged'").drop("change").withColumn(touched, F.lit(now).cast("timestamp"))
+    if kept:
+        change = change.join(target.select(*keys, F.col(kept).alias("_kept")), keys, "left").withColumn(kept, F.coalesce("_kept", kept)).drop("_kept")
     return merge_by_key(target, change, keys)
 
 

@@ -38,7 +38,7 @@ def reconciliation(tables: dict[str, DataFrame], keys: dict[str, str], collapsed
         k, df = keys[name], tables[name]
         if not collapsed:
             return df.agg(F.countDistinct(k).alias("distinct_keys"), F.countDistinct(F.when(F.col("_is_deleted") == 0, F.col(k))).alias("live_keys"))
-        newest = df.groupBy(k).agg(F.max_by("_is_deleted", cdc._order(df)).alias("deleted"))
+        newest = df.groupBy(k).agg(F.max_by("_is_deleted", cdc.order(df)).alias("deleted"))
         return newest.agg(F.count("*").alias("distinct_keys"), F.count_if(F.col("deleted") == 0).alias("live_keys"))
 
     return cdc.surrogate_union({n: one(n) for n in tables}, "entity")
@@ -67,15 +67,25 @@ def last_success(runs: DataFrame, run_ts, max_age_seconds: int) -> DataFrame:
     return ok.withColumn("fresh", _age(run_ts, "last_success_at") <= max_age_seconds)
 
 
+def newest_invocation(results: DataFrame) -> DataFrame:
+    """The rows of the invocation that ran last (ties by its id): one id, found first, is a literal of the scan's filter."""
+    newest = results.orderBy(F.col("executed_at").desc(), "invocation_id").select("invocation_id").first()
+    return results.where(F.col("invocation_id") == newest[0]) if newest else results.where("false")
+
+
 def latest_tests(results: DataFrame) -> DataFrame:
     """Of the newest invocation, passes, warnings and failures by layer."""
-    newest = results.orderBy(F.col("executed_at").desc(), "invocation_id").limit(1).select("invocation_id")
     has = lambda *x: F.count_if(F.col("status").isin(*x))
-    return results.join(newest, "invocation_id", "left_semi").groupBy("layer").agg(
+    return newest_invocation(results).groupBy("layer").agg(
         has("pass", "success").alias("passed"), has("warn").alias("warned"), has("fail", "error").alias("failed"), F.round(F.sum("execution_time"), 2).alias("total_seconds"), F.max("executed_at").alias("executed_at")
     )
 
 
+def model_runtimes(runs: DataFrame) -> DataFrame:
+    """model_name and execution_time of the newest invocation."""
+    return newest_invocation(runs).select("model_name", "execution_time")
+
+
 def rejects(df: DataFrame, run_ts, hours: int = 24) -> DataFrame:
     return df.where(_age(run_ts, "rejected_at") < hours * 3600).groupBy("entity", "rule").agg(F.count("*").alias("rejects")).orderBy(F.col("rejects").desc(), "entity", "rule")
 
@@ -91,7 +101,3 @@ def rolling_counts(audit: DataFrame, width: str = "5 minutes") -> DataFrame:
     if audit.isStreaming:
         audit = audit.withWatermark("source_commit_at", "48 hours")
     return audit.groupBy(F.window("source_commit_at", width).alias("w"), "source_table", "op").agg(F.count("*").alias("events")).select(F.col("w.start").alias("window_start"), "source_table", "op", "events")
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +27,9 @@ class Expectation:
 def split_rejects(df: DataFrame, key: str, business: list[str], entity: str) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and rejects with entity, source_key, rule and the row as JSON."""
     rule = (
-        F.when(F.col(key).isNull(), "primary_key_null")
-        .when(F.col(key) < 0, "primary_key_negative")
-        .when(reduce(operator.and_, [F.col(c).isNull() for c in business]), "all_columns_null")
+        F.when(F.col(key).isNull(), "primary_key_not_null")
+        .when(F.col(key) < 0, "primary_key_positive")
+        .when(reduce(operator.and_, [F.col(c).isNull() for c in business]), "record_not_empty")
     )
     marked = df.withColumn("_rule", rule)
     bad = marked.where("_rule is not null").select(F.lit(entity).alias("entity"), F.col(key).cast("string").alias("source_key"), F.col("_rule").alias("rule"), F.to_json(F.struct(*df.columns)).alias("payload"))
@@ -96,29 +97,43 @@ def test_counts(tests: dict[str, DataFrame]) -> DataFrame:
 
 
 def ledger_off(fct_loan: DataFrame, tolerance: float = 1.0) -> DataFrame:
-    return fct_loan.where(F.abs("repayment_reconciliation_delta") > tolerance).where("repayment_count > 0")
+    """Disbursed loans with repayments whose own total isn't that of their ledger."""
+    off = fct_loan.where(F.abs(F.col("repayment_reconciliation_delta").cast("double")) > tolerance).where("disbursed_on_date is not null and repayment_count > 0")
+    return off.select("loan_id", "total_repayment", "ledger_total_repaid", "repayment_reconciliation_delta")
 
 
 def leaking(features: DataFrame) -> DataFrame:
-    """Rows whose features look at their own day or later."""
-    return features.where("feat_days_since_prior_loan <= 0 or feat_days_since_prior_repayment < 0 or feat_prior_loan_count < 0 or (feat_is_first_time_borrower = 1 and feat_prior_loan_count > 0)")
+    """Rows with a prior feature of their own day or later, or that disagree on whether there is a prior loan."""
+    late = (F.col("feat_days_since_prior_loan") <= 0) | (F.col("feat_days_since_prior_repayment") <= 0)
+    first, prior = F.col("feat_is_first_time_borrower"), F.col("feat_prior_loan_count")
+    bad = features.where(late | ((first == 1) & (prior > 0)) | ((first == 0) & (prior == 0)))
+    names = "loan_id observation_date feat_days_since_prior_loan feat_days_since_prior_repayment feat_is_first_time_borrower feat_prior_loan_count".split()
+    return bad.select(*names, F.lit("leakage: prior feature is not strictly before observation_date").alias("failure_reason"))
 
 
 def future_dated(facts: DataFrame, as_of, slack: int = 2) -> DataFrame:
-    return facts.where(F.col("transaction_date") > F.date_add(F.lit(as_of), slack))
+    late = facts.where(F.col("transaction_date") > F.date_add(F.lit(as_of), slack))
+    return late.select("transaction_id", "loan_id", "transaction_date", F.datediff("transaction_date", F.lit(as_of)).alias("days_in_future"))
 
 
 def bucket_mismatch(fct_loan: DataFrame) -> DataFrame:
-    return fct_loan.where(F.col("par_bucket") != s.par_bucket("days_past_due"))
+    return fct_loan.select("loan_id", "days_past_due", "par_bucket", s.par_bucket("days_past_due").alias("expected_bucket")).where("par_bucket <> expected_bucket")
+
+
+#: What is wrong with a balance, in the order in which it is looked for.
+BALANCES = {
+    "outstanding principal exceeds disbursed": "principal_outstanding > principal_disbursed + 1",
+    "negative balance": "principal_outstanding < 0 or total_outstanding < 0 or total_overdue < 0",
+    "overdue exceeds total outstanding": "total_overdue > total_outstanding + 1",
+    "loan is both active and closed": "is_active = 1 and is_closed = 1",
+}
 
 
 def balance_reasons(fct_loan: DataFrame) -> DataFrame:
-    """Loans whose balances can't be, with why."""
-    reason = (
-        F.when(F.col("total_outstanding") < 0, "negative_total_outstanding").when(F.col("principal_outstanding") < 0, "negative_principal_outstanding")
-        .when(F.col("total_overdue") > F.col("total_outstanding") + 1, "overdue_exceeds_outstanding").when((F.col("is_closed") == 1) & (F.col("total_outstanding") > 1), "closed_with_balance")
-    )
-    return fct_loan.withColumn("reason", reason).where("reason is not null")
+    """Disbursed loans whose balances can't be, with the first reason that holds."""
+    reason = F.coalesce(*[F.when(F.expr(rule), F.lit(name)) for name, rule in BALANCES.items()])
+    names = "loan_id principal_disbursed principal_outstanding total_outstanding total_overdue is_active is_closed".split()
+    return fct_loan.where("disbursed_on_date is not null").select(*names, reason.alias("failure_reason")).where("failure_reason is not null")
 
 
 _COMPARE: dict[str, Callable] = {">": operator.gt, ">=": operator.ge, "==": operator.eq, "<=": operator.le, "<": operator.lt}
@@ -134,6 +149,61 @@ def gate(checks: list[tuple[str, DataFrame, str, float, bool]]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def gate_of(parts: list[tuple[DataFrame, list[tuple[str, Column, str, float, bool]]]]) -> DataFrame:
+    """The gate's rows for (table, checks) pairs, where each check has an aggregate: one pass over each table answers all of
+    its checks. An aggregate that names a missing column fails by itself, with the error."""
+
+    def rows(df: DataFrame, checks: list[tuple[str, Column, str, float, bool]]) -> DataFrame:
+        values, errors = [], {}
+        for k, (name, value, *_) in enumerate(checks):
+            try:
+                df.agg(value).schema  # noqa: B018 - planned, not run
+                values.append(value.cast("double").alias(f"c{k}"))
+            except PySparkException as e:
+                errors[name] = str(e).split("\n")[0][:2000]
+                values.append(F.first(F.lit(None).cast("double")).alias(f"c{k}"))
+
+        def result(k: int, name: str, how: str, threshold: float, blocking: bool) -> Column:
+            value = F.col(f"c{k}")
+            ok = F.coalesce(_COMPARE[how](value, F.lit(float(threshold))), F.lit(False))
+            return F.struct(F.lit(name).alias("check_name"), value.alias("value"), ok.alias("passed"), F.lit(blocking).alias("blocking"), F.lit(errors.get(name)).cast("string").alias("error"))
+
+        return df.agg(*values).select(F.inline(F.array(*[result(k, n, how, t, b) for k, (n, _, how, t, b) in enumerate(checks)])))
+
+    return reduce(DataFrame.unionByName, [rows(df, checks) for df, checks in parts])
+
+
+def failing_rows(tests: dict[str, DataFrame], path: str) -> DataFrame:
+    """Writes the failing rows of each test under its name, those of earlier runs replaced, and gives test_name and failures
+    as counted in what was written. Tests without failures leave an empty table."""
+    for name, df in tests.items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+    session = next(iter(tests.values())).sparkSession
+    return test_counts({name: session.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in tests.items()})
+
+
+def layer_of(name: Column) -> Column:
+    """The layer of a node: by a layer's own name in its path, then by prefix; tests of no layer are "tests"."""
+    out = F.lit(None).cast("string")
+    for layer in ("staging", "intermediate", "marts", "ml"):
+        out = F.coalesce(out, F.when(name.contains(f".{layer}.") | name.startswith(f"test.{layer}"), layer))
+    for prefix, layer in (("stg_", "staging"), ("int_", "intermediate")):
+        out = F.coalesce(out, F.when(name.contains(prefix), layer))
+    return F.coalesce(out, F.when(name.startswith("test."), "tests"), F.lit("other"))
+
+
+def split_results(results: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Test rows and model rows of a run's results (invocation_id, run_id, executed_at, node_id, status, execution_time,
+    failures, materialization, rows_affected, message), as the two history tables have them."""
+    name = F.element_at(F.split("node_id", "[.]"), -1)
+    common = results.withColumns({"layer": layer_of(F.col("node_id")), "name": name, "execution_time": F.round("execution_time", 4), "message": F.substring(F.coalesce("message", F.lit("")), 1, 2000)})
+    failures, is_test = F.coalesce(F.col("failures"), F.lit(0)), F.col("node_id").startswith("test.")
+    head, tail = ["invocation_id", "run_id", "executed_at", "node_id"], ["execution_time", "message"]
+    tests = common.where(is_test).select(*head, F.col("name").alias("test_name"), F.col("name").alias("model_name"), "layer", "status", F.when(failures > 0, "error").otherwise("ok").alias("severity"), failures.alias("failures"), *tail)
+    models = common.where(~is_test).select(*head, F.col("name").alias("model_name"), "layer", F.coalesce("materialization", F.lit("")).alias("materialization"), "status", F.coalesce("rows_affected", F.lit(0)).alias("rows_affected"), *tail)
+    return tests, models
+
+
 def freshness(tables: dict[str, DataFrame], run_ts, column: str, warn_hours: float, error_hours: float) -> DataFrame:
     age = (F.unix_seconds(F.lit(run_ts).cast("timestamp")) - F.unix_seconds("newest")) / 3600.0
     newest = reduce(DataFrame.unionByName, [df.agg(F.max(column).alias("newest")).select(F.lit(k).alias("table_name"), "newest") for k, df in tables.items()])

@@ -36,15 +36,25 @@ def total(x: str) -> Column:
     return F.sum(x).cast("decimal(38,6)")
 
 
+def mean(x: str, where: Column | None = None) -> Column:
+    """Of exact amounts: the sum is exact, and only the last step a double, so that the order of rows doesn't matter."""
+    c = F.col(x) if where is None else F.when(where, F.col(x))
+    return F.try_divide(F.sum(c).cast("double"), F.count(c))
+
+
 def zero(*names: str, prefix: str = "") -> list[Column]:
     return [F.coalesce(F.col(prefix + n), F.lit(0)).alias(n) for n in names]
 
 
 class Models:
-    def __init__(self, raw: Callable[[str], DataFrame], settings: Settings | None = None, keep: Callable[[DataFrame], DataFrame] = lambda df: df):
-        self.raw, self.set, self.keep = raw, settings or Settings(), keep
+    def __init__(self, raw: Callable[[str], DataFrame], settings: Settings | None = None, keep: Callable[[DataFrame, str], DataFrame] | None = None, kept: tuple[str, ...] = ("stg_loans", "stg_loan_transactions")):
+        """keep writes a stage and reads it again; kept: the stages that it is used for."""
+        self.raw, self.set, self._keep, self.kept = raw, settings or Settings(), keep, kept
         self.today = F.lit(self.set.as_of)
 
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        return self._keep(df, name) if self._keep and name in self.kept else df
+
     def _current(self, entity: str, key: str, name: str) -> DataFrame:
         df = cdc.current_rows(self.raw(entity), key)
         return df.withColumns({name: s.surrogate_key(key), "cdc_commit_at": F.col("_source_commit_at"), "cdc_version": F.col("_version")}).drop(*cdc.META)
@@ -80,7 +90,8 @@ class Models:
                     "days_since_disbursement": self._days("disbursed_on_date"),
                     "term_days": F.datediff("expected_maturity_date", "disbursed_on_date"),
                 }
-            )
+            ),
+            "stg_loans",
         )
 
     def ledger(self, raw: DataFrame) -> DataFrame:
@@ -101,7 +112,7 @@ class Models:
 
     @cached_property
     def stg_loan_transactions(self) -> DataFrame:
-        return self.keep(self.ledger(self.raw("loan_transactions")).where("is_deleted = 0").drop("is_deleted"))
+        return self.keep(self.ledger(self.raw("loan_transactions")).where("is_deleted = 0").drop("is_deleted"), "stg_loan_transactions")
 
     def stg_loan_transactions_incremental(self, target: DataFrame | None) -> DataFrame:
         """The target after what was committed since its newest commit less the lookback; keys deleted there go."""
@@ -151,7 +162,7 @@ class Models:
             *[sum_if(c, paid).alias(n) for c, n in (("amount", "total_repaid"), ("principal_portion", "principal_repaid"), ("interest_portion", "interest_repaid"), ("fee_charges_portion", "fees_repaid"), ("penalty_charges_portion", "penalties_repaid"))],
             F.min(day(paid)).alias("first_repayment_date"),
             F.max(day(paid)).alias("last_repayment_date"),
-            F.avg(amount.cast("double")).alias("avg_repayment_amount"),
+            mean("amount", paid).alias("avg_repayment_amount"),
             F.stddev_pop(amount.cast("double")).alias("stddev_repayment_amount"),
             F.median(amount.cast("double")).alias("median_repayment_amount"),
             F.max(amount).alias("max_repayment_amount"),
@@ -171,7 +182,8 @@ class Models:
         return self.keep(
             by_loan.join(gaps, "loan_id", "left").withColumns(
                 {"days_since_last_activity": self._days("last_activity_date"), "repayment_regularity_cv": s.ratio("stddev_days_between_repayments", "avg_days_between_repayments")}
-            )
+            ),
+            "loan_repayment_behaviour",
         )
 
     @cached_property
@@ -193,7 +205,7 @@ class Models:
             F.min("disbursed_on_date").alias("first_disbursement_date"),
             F.max("disbursed_on_date").alias("latest_disbursement_date"),
             F.max("closed_on_date").alias("latest_closure_date"),
-            F.avg(F.col("principal").cast("double")).alias("avg_loan_principal"),
+            mean("principal").alias("avg_loan_principal"),
             F.max("principal").alias("max_loan_principal"),
             F.size(F.collect_set("product_id")).cast("long").alias("distinct_products_used"),
         )
@@ -222,7 +234,8 @@ class Models:
                     "is_repeat_borrower": s.flag(F.col("total_loans") > 1),
                     "prior_loan_count": F.greatest(F.col("total_loans") - 1, F.lit(0)),
                 }
-            )
+            ),
+            "client_portfolio",
         )
 
     @cached_property
@@ -260,7 +273,7 @@ class Models:
             sum_if("total_overdue", active).alias("total_overdue"),
             total("principal_disbursed").alias("lifetime_disbursed"),
             total("principal_written_off").alias("lifetime_written_off"),
-            F.avg(F.col("principal").cast("double")).alias("avg_principal"),
+            mean("principal").alias("avg_principal"),
             F.median(F.col("principal").cast("double")).alias("median_principal"),
             F.avg(F.col("days_past_due").cast("double")).alias("avg_days_past_due"),
         )
@@ -357,7 +370,7 @@ class Models:
             F.count("*").alias("loans_total"), count_if(active).alias("loans_active"), count_if(F.col("is_closed") == 1).alias("loans_closed"), count_if(F.col("is_written_off") == 1).alias("loans_written_off"), count_if(late(0)).alias("loans_delinquent"),
             count_if(late(30)).alias("loans_par30"), count_if(late(90)).alias("loans_par90"), F.countDistinct("client_id").alias("distinct_borrowers"),
             *[sum_if(c, active).alias(c) for c in ("principal_outstanding", "interest_outstanding", "total_outstanding", "total_overdue")], sum_if("total_outstanding", late(30)).alias("par30_amount"), sum_if("total_outstanding", late(90)).alias("par90_amount"),
-            total("principal_disbursed").alias("cumulative_disbursed"), total("principal_written_off").alias("cumulative_written_off"), F.avg(F.when(active, F.col("principal").cast("double"))).alias("avg_active_principal"),
+            total("principal_disbursed").alias("cumulative_disbursed"), total("principal_written_off").alias("cumulative_written_off"), mean("principal", active).alias("avg_active_principal"),
             F.max(F.when(active, F.col("days_past_due"))).alias("max_days_past_due"), F.avg(F.when(active, F.col("days_past_due").cast("double"))).alias("avg_days_past_due"),
         )
         df = df.withColumns({"snapshot_date": self.today, "par30_ratio": s.ratio("par30_amount", "total_outstanding"), "par90_ratio": s.ratio("par90_amount", "total_outstanding"), "write_off_ratio": s.ratio("cumulative_written_off", "cumulative_disbursed")})
@@ -374,7 +387,7 @@ class Models:
         )
         loans = self.stg_loans.where("disbursed_on_date is not null").groupBy(F.trunc("disbursed_on_date", "month").alias("month_start"), "office_id", "product_id")
         vintages = loans.agg(
-            F.count("*").alias("loans_originated"), total("principal_disbursed").alias("principal_originated"), F.countDistinct("client_id").alias("borrowers_served"), F.avg(F.col("principal").cast("double")).alias("avg_origination_principal"),
+            F.count("*").alias("loans_originated"), total("principal_disbursed").alias("principal_originated"), F.countDistinct("client_id").alias("borrowers_served"), mean("principal").alias("avg_origination_principal"),
             F.avg(F.datediff("approved_on_date", "submitted_on_date").cast("double")).alias("avg_days_to_approval"), F.avg(F.datediff("disbursed_on_date", "approved_on_date").cast("double")).alias("avg_days_to_disbursement"),
             count_if(F.col("is_in_default") == 1).alias("vintage_loans_in_default"), count_if(F.col("is_written_off") == 1).alias("vintage_loans_written_off"),
         )

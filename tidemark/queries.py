@@ -2,41 +2,52 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import oracle
+from tidemark import oracle, shared
 from tidemark.columns import COLUMNS
 from tidemark.functions import scalars as s
-from tidemark.operators import cdc, monitor, quality
+from tidemark.operators import cdc, load, monitor, quality
+from tidemark.operators.tables import Table
 from tidemark.plans.models import Models
-from tidemark.sources import landing, star
+from tidemark.sources import landing, seeds, star
+from tidemark.streaming import continuous
 
 KINDS = {"d": "double", "l": "bigint", "i": "int", "s": "string", "t": "date", "b": "boolean"}
 AUDIT_RUN = dt.datetime(2024, 1, 31)
 
 
 def tidy(df: DataFrame, name: str) -> DataFrame:
-    """The query's columns in their kinds."""
-    spec = [x.split(":") for x in COLUMNS[name].split()]
-    return df.select(*[(F.col(c).cast("double").cast("decimal(28,6)").cast("double") if k == "d" else F.col(c).cast(KINDS[k])).alias(c) for c, k in spec])
+    """The query's columns in their kinds. Doubles are exact quotients of exact sums and stay as they are; only those that
+    depend on the order of additions (kind a) are rounded."""
+
+    def one(c: str, k: str) -> Column:
+        if k == "a":
+            return F.col(c).cast("double").cast("decimal(28,6)").cast("double")
+        return F.unix_micros(F.col(c).cast("timestamp")) if k == "m" else F.col(c).cast(KINDS[k])
+
+    return df.select(*[one(*x.split(":")).alias(x.split(":")[0]) for x in COLUMNS[name].split()])
 
 
 def pinned(name: str) -> str:
-    spec = [x.split(":") for x in COLUMNS[name].split()]
-    out = [f"CAST(CAST(CAST({c} AS DOUBLE) AS DECIMAL(28,6)) AS DOUBLE) AS {c}" if k == "d" else f"CAST({c} AS {'VARCHAR' if k == 's' else KINDS[k].upper()}) AS {c}" for c, k in spec]
+    sql = {"a": "CAST(CAST(CAST({c} AS DOUBLE) AS DECIMAL(28,6)) AS DOUBLE)", "m": "CAST(epoch_us({c}) AS BIGINT)", "s": "CAST({c} AS VARCHAR)"}
+    out = [f"{sql.get(k, 'CAST({c} AS ' + KINDS.get(k, '').upper() + ')').format(c=c)} AS {c}" for c, k in (x.split(":") for x in COLUMNS[name].split())]
     return f"SELECT {', '.join(out)} FROM ({oracle.ORACLE[name]}) q"
 
 
 class Source:
-    """The raw entities and models of one directory."""
+    """The raw entities and models of one directory. `shared` are the models with stages that several others read written
+    to the shared folder once; `models` has them in each plan, for queries that read each stage once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
         self.models = Models(lambda e: star.raw(spark, sf_dir, e))
+        self.shared = Models(lambda e: star.raw(spark, sf_dir, e), keep=shared.written)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -78,42 +89,162 @@ def change_detection(x: Source) -> DataFrame:
     return cdc.classify_changes(old, new, ["c_custkey"], new.columns).groupBy("change").agg(F.count("*").alias("n"))
 
 
-def expectations(x: Source) -> DataFrame:
+def _checked(x: Source) -> DataFrame:
     e = quality.Expectation
     checks = [e("pk_not_null", "not_null", ("loan_id",)), e("pk_unique", "unique", ("loan_id",)), e("amounts_non_negative", "non_negative", ("principal", "total_overdue")), e("rate_in_range", "range", ("annual_interest_rate",), "warn", 0, 20), e("has_rows", "row_count_min")]
     return quality.expectations(x.raw("loans"), checks)
 
 
-def schema_tests(x: Source) -> DataFrame:
-    m = x.models
-    return quality.test_counts(
-        {
-            "loan_id_not_null": quality.not_null(m.fct_loan, "loan_id"), "loan_id_unique": quality.unique(m.fct_loan, "loan_id"), "par_bucket_accepted": quality.accepted(m.fct_loan, "par_bucket", ["Current", "PAR 1-30"]),
-            "client_relationship": quality.relationships(m.fct_loan, "client_id", m.dim_client, "client_id"),
-        }
-    )
+def _schema_tests(x: Source) -> dict[str, DataFrame]:
+    fct = shared.written(x.shared.fct_loan.select("loan_id", "par_bucket", "client_id"), "fct_loan")
+    return {
+        "loan_id_not_null": quality.not_null(fct, "loan_id"), "loan_id_unique": quality.unique(fct, "loan_id"), "par_bucket_accepted": quality.accepted(fct, "par_bucket", ["Current", "PAR 1-30"]),
+        "client_relationship": quality.relationships(fct, "client_id", x.shared.stg_clients, "client_id"),
+    }
+
+
+def failures_stored(x: Source) -> DataFrame:
+    return quality.failing_rows(_schema_tests(x), shared.scratch(x.spark, "failures"))
 
 
 def quality_gate(x: Source) -> DataFrame:
-    m, less = x.models, lambda c: F.count("*") - F.countDistinct(c)
-    return quality.gate(
+    """Each table is built once, with the columns that are looked at, and one pass over it answers all its checks."""
+    m, less, n = x.shared, lambda c: F.count("*") - F.countDistinct(c), F.count("*")
+    errors = landing.poison(landing.parse_events(wire_events(x), landing.REGISTRY["savings_accounts"]), "savings_accounts", F.lit(AUDIT_RUN)).where(F.col("observed_at") > F.lit(AUDIT_RUN - dt.timedelta(days=1)))
+    return quality.gate_of(
         [
-            ("marts_not_empty", m.fct_loan.agg(F.count("*")), ">", 0, True), ("no_duplicate_loans", m.fct_loan.agg(less("loan_id")), "==", 0, True), ("no_duplicate_transactions", m.fct_loan_transaction.agg(less("transaction_id")), "==", 0, True),
-            ("no_negative_outstanding", m.fct_loan.agg(F.count_if(F.col("total_outstanding") < 0)), "==", 0, True), ("ml_label_leakage", m.default_features.agg(F.count_if(F.col("feat_days_since_prior_loan") <= 0)), "==", 0, True),
-            ("dimension_coverage", m.fct_loan.agg(F.count_if(F.col("client_segment").isNull() | (F.col("client_segment") == ""))), "==", 0, False),
+            (m.fct_loan, [("marts_not_empty", n, ">", 0, True), ("no_duplicate_loans", less("loan_id"), "==", 0, True), ("no_negative_outstanding", F.count_if(F.col("total_outstanding") < 0), "==", 0, True), ("dimension_coverage", F.count_if(F.col("client_segment").isNull() | (F.col("client_segment") == "")), "==", 0, False)]),
+            (m.fct_loan_transaction, [("no_duplicate_transactions", less("transaction_id"), "==", 0, True)]), (m.default_features, [("ml_label_leakage", F.count_if(F.col("feat_days_since_prior_loan") <= 0), "==", 0, True)]), (errors, [("cdc_parse_errors", n, "==", 0, False)]),
         ]
     )
 
 
+def leakage_planted(x: Source) -> DataFrame:
+    """The leakage rule on features with leaks put in."""
+    on = lambda k: F.col("loan_id") % k == 0
+    f = x.shared.default_features.withColumns(
+        {
+            "feat_days_since_prior_loan": F.when(on(50), 0).otherwise(F.col("feat_days_since_prior_loan")), "feat_days_since_prior_repayment": F.when(on(41), 0).otherwise(F.col("feat_days_since_prior_repayment")),
+            "feat_is_first_time_borrower": F.when(on(70), 1 - F.col("feat_is_first_time_borrower")).otherwise(F.col("feat_is_first_time_borrower")),
+        }
+    )
+    return quality.leaking(f)
+
+
+def balance_sanity(x: Source) -> DataFrame:
+    """The balance rules on loans with wrong balances put in."""
+    put = lambda c, n, v: F.when(F.col("loan_id") % 90 == n, v).otherwise(F.col(c))
+    f = x.shared.fct_loan.withColumns(
+        {
+            "principal_outstanding": put("principal_outstanding", 1, -F.col("principal_outstanding")), "total_overdue": put("total_overdue", 2, F.col("total_overdue") + 2 * F.col("total_outstanding") + 5),
+            "is_closed": put("is_closed", 3, F.col("is_active")), "principal_disbursed": put("principal_disbursed", 4, F.lit(0).cast("decimal(38,6)")),
+        }
+    )
+    return quality.balance_reasons(f)
+
+
+def row_rejects(x: Source) -> DataFrame:
+    """Row rules on loans of which some have no key, a negative one, or nothing but the key."""
+    k, key = F.col("loan_id"), F.col("loan_id") % 60
+    some = x.raw("loans").where("_version = 2").select("loan_id", "client_id", "account_no", "principal").withColumn("n", k)
+    empty = lambda c: F.when(key != 3, F.col(c)).alias(c)
+    rows = some.select(F.when(key == 1, None).when(key == 2, -k).otherwise(k).alias("loan_id"), empty("client_id"), empty("account_no"), empty("principal"))
+    good, bad = quality.split_rejects(rows, "loan_id", ["client_id", "account_no", "principal"], "loans")
+    return bad.select("entity", "source_key", "rule").unionByName(good.agg(F.lit("loans").alias("entity"), F.count("*").cast("string").alias("source_key")).withColumn("rule", F.lit("valid rows")))
+
+
 def row_delta(x: Source) -> DataFrame:
     some = {k: x.raw(k) for k in ("clients", "loans")}
     return monitor.row_delta({"clients": x.table("customer"), "loans": x.table("orders")}, monitor.reconciliation(some, star.KEYS))
 
 
+def caught_up(x: Source) -> DataFrame:
+    return monitor.caught_up(row_delta(x), monitor.cdc_freshness(x.audit(), AUDIT_RUN, 720), tolerance=100)
+
+
+def source_freshness(x: Source) -> DataFrame:
+    return quality.freshness(x.raws(), dt.datetime(2001, 11, 5), "_landed_at", 24.0, 24.0 * 365 * 31)
+
+
+def runs(x: Source) -> DataFrame:
+    """Events as runs: an entity, when it finished and how."""
+    status = F.when(F.col("event_type") == "error", "failed").otherwise("success")
+    return x.table("events").select(F.concat(F.lit("e"), F.col("user_id").cast("string")).alias("entity"), F.col("ts").cast("timestamp").alias("finished_at"), status.alias("status"))
+
+
+def results(x: Source) -> DataFrame:
+    """Events as results of tests and models, a day's being one invocation."""
+    kind = F.element_at(F.array(*map(F.lit, ("test.p.staging.t_", "model.p.marts.fct_", "model.p.stg_", "test.p.t_", "model.p.x_"))), (F.col("event_id") % 5 + 1).cast("int"))
+    status = F.element_at(F.array(*map(F.lit, ("pass", "success", "warn", "fail", "error"))), (F.col("user_id") % 5 + 1).cast("int"))
+    return x.table("events").select(
+        F.date_format("ts", "yyyy-MM-dd").alias("invocation_id"), F.lit("r").alias("run_id"), F.date_trunc("day", F.col("ts").cast("timestamp")).alias("executed_at"), F.concat(kind, F.col("event_id").cast("string")).alias("node_id"), status.alias("status"),
+        (F.col("event_id") % 100 / 4).alias("execution_time"), (F.col("user_id") % 3).alias("failures"), F.lit(None).cast("string").alias("materialization"), F.col("event_id").alias("rows_affected"), F.col("props").alias("message"),
+    )
+
+
+def results_by_layer(x: Source) -> DataFrame:
+    """Both history tables of all runs, counted by layer, status and severity."""
+    tests, models = quality.split_results(results(x))
+    count = lambda df, kind: df.groupBy("layer", "status", *[c for c in ("severity",) if c in df.columns]).agg(F.count("*").alias("n"), F.sum("execution_time").alias("seconds")).select(F.lit(kind).alias("kind"), "layer", "status", *[F.col("severity") if "severity" in df.columns else F.lit("").alias("severity")], "n", "seconds")
+    return count(tests, "test").unionByName(count(models, "model"))
+
+
+def recent_rejects(x: Source) -> DataFrame:
+    r = x.table("events").select(F.col("event_type").alias("entity"), F.concat(F.lit("rule"), (F.col("user_id") % 3).cast("string")).alias("rule"), F.col("ts").cast("timestamp").alias("rejected_at"))
+    return monitor.rejects(r, AUDIT_RUN)
+
+
+def provisions(x: Source) -> DataFrame:
+    """What is provided for by band of days past due and group of loan statuses: both lookups joined to the loans."""
+    status, bands = seeds.loan_status(x.spark), seeds.par_buckets(x.spark)
+    days = F.greatest(F.col("days_past_due"), F.lit(0))
+    loans = x.models.stg_loans.join(F.broadcast(status.select("status_id", "status_group")), "status_id", "left")  # 10 rows
+    joined = loans.join(F.broadcast(bands), (days >= F.col("min_days")) & (days <= F.col("max_days")), "left")  # 6 rows
+    return joined.groupBy("bucket_order", "bucket_name", "status_group").agg(F.count("*").alias("loans"), F.sum((F.col("total_outstanding").cast("decimal(19,6)") * F.col("provision_rate").cast("decimal(4,2)")).cast("decimal(38,8)")).cast("decimal(38,8)").alias("provision"))
+
+
+def backfill_guard(x: Source) -> DataFrame:
+    """Rows before and after a rebuild of three tables, one of which lost some."""
+    before = {k: x.table(k) for k in ("customer", "orders", "supplier")}
+    return cdc.shrunk(before, {**before, "orders": before["orders"].where("o_orderkey % 10 <> 0")})
+
+
+def retained(x: Source) -> DataFrame:
+    """Events by day as a table with partitions: two appends, then what is older than ten days goes, day folders unread."""
+    events = x.table("events").withColumns({"ts": F.col("ts").cast("timestamp"), "day": F.to_date("ts")})
+    t = Table(x.spark, shared.scratch(x.spark, "events"), "day")
+    t.replace(events.where("event_id % 2 = 0"))
+    t.append(events.where("event_id % 2 = 1"))
+    t.expire("day", 10, AUDIT_RUN)
+    return t.read().groupBy("day").agg(F.count("*").alias("events"))
+
+
+def merged_by_month(x: Source) -> DataFrame:
+    """The ledger as a table with months: built behind, then brought up to date; months without changes aren't written."""
+    raw, m = x.raw("loan_transactions"), x.models
+    t = Table(x.spark, shared.scratch(x.spark, "ledger"), "transaction_month_start")
+    t.replace(m.ledger(raw.where("_source_commit_at < timestamp'1998-01-01'")).where("is_deleted = 0").drop("is_deleted"))
+    touched = raw.where("_source_commit_at >= timestamp'1998-01-01'").select("transaction_id").distinct()
+    t.merge(shared.written(m.ledger(raw.join(touched, "transaction_id", "left_semi")), "batch"), ["transaction_id"], "is_deleted")
+    return t.read()
+
+
+def compacted(x: Source) -> DataFrame:
+    t = Table(x.spark, shared.scratch(x.spark, "clients"))
+    t.replace(x.raw("clients").where("_version = 1"))
+    t.append(x.raw("clients").where("_version = 2"))
+    t.compact(["client_id"])
+    return t.read()
+
+
+def table_files(x: Source) -> DataFrame:
+    """Rows of each table by its files; how many files there are and their size depend on the writer, not on the data."""
+    return monitor.file_statistics({k: x.table(k) for k in ("customer", "orders", "supplier", "lineitem")}).select("table_name", "rows")
+
+
 def dim_date(x: Source) -> DataFrame:
+    """From the first to the last order's day."""
     low, high = x.table("orders").agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
-    import dataclasses
-
     return Models(x.raw, dataclasses.replace(x.models.set, spine_start=low, spine_end=high)).dim_date(x.spark)
 
 
@@ -132,6 +263,21 @@ def wire_landing(x: Source) -> DataFrame:
     return landing.typed_rows(landing.parse_events(wire_events(x), e), e, F.lit(AUDIT_RUN)).select("savings_id", "account_balance", "activated_on_date", "is_active", "_op", "_version", "_is_deleted")
 
 
+def wire_round_trip(x: Source) -> DataFrame:
+    """All eight entities as messages and landed again: how many rows, and whether all their columns are what they were."""
+
+    def one(name: str) -> DataFrame:
+        e, raw = landing.REGISTRY[name], x.raw(name)
+        back = landing.typed_rows(landing.parse_events(landing.as_events(raw, e), e), e, F.lit(AUDIT_RUN))
+        types = dict(back.dtypes)
+        columns = [F.col(c).cast(types[c]) for c in [*e.columns, "_source_commit_at", "_lsn", "_is_deleted"] if c in raw.columns]
+        total = lambda df, side: df.select(F.pmod(F.xxhash64(*columns), F.lit(1 << 31)).alias("h")).agg(F.count("*").alias("n"), F.sum("h").alias("h")).withColumn("side", F.lit(side))
+        both = total(raw, 0).unionByName(total(back, 1))
+        return both.agg(F.max("n").alias("rows"), (F.count_distinct("n", "h") == 1).alias("same"))
+
+    return cdc.surrogate_union({n: one(n) for n in landing.REGISTRY})
+
+
 def wire_quarantine(x: Source) -> DataFrame:
     e = landing.REGISTRY["savings_accounts"]
     return landing.poison(landing.parse_events(wire_events(x), e), e.name, F.lit(AUDIT_RUN)).groupBy("topic", "error").agg(F.count("*").alias("messages"))
@@ -148,6 +294,56 @@ def rest_landing(x: Source) -> DataFrame:
     return landing.rest_loans(landing.unwrap(pages)).select("loan_id", "client_id", "status_id", "status_value", "is_active", "submitted_on_date", "disbursed_on_date", "principal")
 
 
+def _clients(x: Source, balance: Column) -> DataFrame:
+    """Customers as pages' client rows."""
+    c = F.col("c_custkey")
+    own = {"client_id": c, "office_id": F.lit(1).cast("long"), "account_no": F.col("c_name"), "external_id": balance.cast("string")}
+    columns = landing.REGISTRY["clients"].columns
+    kinds = {"id": "long", "int": "int", "flag": "int", "text": "string", "date": "date", "money": "decimal(19,6)"}
+    return x.table("customer").select(*[own.get(n, F.lit(None)).cast(kinds[k]).alias(n) for n, k in columns.items()], c.alias("_nth"))
+
+
+def atomic_load(x: Source) -> DataFrame:
+    """Run records of five loads of clients: all new; the same again; with changed balances, new keys twice and some
+    rejects; a dry run; and one that fails for its rejects, after which the table is as it was."""
+    lake, e, at = load.Lake(x.spark, shared.scratch(x.spark, "lake")), landing.REGISTRY["clients"], AUDIT_RUN
+    first, c = _clients(x, F.col("c_acctbal")), F.col("client_id")
+    some = first.where(c % 7 != 0)
+    changed = first.withColumn("external_id", F.when(c % 5 == 0, F.lit("changed")).otherwise(F.col("external_id")))
+    twice = changed.where(c % 7 == 0).withColumns({"external_id": F.lit("older"), "_nth": F.lit(-1).cast("long")})
+    bad = lambda df, k: df.withColumn("client_id", F.when(c % k == 3, -c).otherwise(c))
+    batches = [("1 new", some, False), ("2 same", some, False), ("3 changed", bad(changed, 100).unionByName(twice), False), ("4 dry", first, True), ("5 rejected", bad(first, 10), False)]
+    for k, (name, rows, dry) in enumerate(batches):
+        lake.load(e, rows, at + dt.timedelta(hours=k), name, "_nth", dry)
+    marks, final = lake.table("watermarks").read(), lake.table("clients").read()
+    runs = lake.table("runs").read().select("batch_id", "status", "rows_read", "rows_inserted", "rows_updated", "rows_unchanged", "rows_rejected")
+    whole = final.agg(F.count("*").alias("rows_inserted"), F.count_if(F.col("external_id") == "changed").alias("rows_updated"), F.count_if(F.col("_updated_at") == F.col("_ingested_at")).alias("rows_unchanged"))
+    total = marks.select(F.lit("table").alias("batch_id"), F.col("last_cursor").alias("status"), F.col("total_rows_loaded").alias("rows_read")).crossJoin(whole)  # one row each
+    return runs.unionByName(total.withColumn("rows_rejected", F.lit(0).cast("long")))
+
+
+def load_order(x: Source) -> DataFrame:
+    """Offices, staff and clients loaded as one batch, of which staff fails; the others land all the same."""
+    lake = load.Lake(x.spark, shared.scratch(x.spark, "lake"))
+    columns = lambda n: x.raw(n).select(*[(F.col(c) if c in x.raw(n).columns else F.lit(None)).cast({"id": "long", "int": "int", "flag": "int", "text": "string", "date": "date", "money": "decimal(19,6)"}[k]).alias(c) for c, k in landing.REGISTRY[n].columns.items()], F.col("_version").alias("_nth"))
+    source = {"offices": columns("offices"), "staff": columns("staff").withColumn("staff_id", F.lit(None).cast("long")), "clients": columns("clients")}
+    lake.load_all(source.__getitem__, AUDIT_RUN, source, arrival="_nth")
+    return lake.table("runs").read().select("entity", "status", "rows_read", "rows_inserted", "rows_rejected")
+
+
+def stream_replay(x: Source) -> DataFrame:
+    """Change events as a stream of files, landed twice under two checkpoints, and collapsed: what arrives again changes
+    nothing."""
+    at, e = shared.scratch(x.spark, "stream"), landing.REGISTRY["savings_accounts"]
+    wire_events(x).write.text(f"{at}/in")
+    for k in (1, 2):
+        q = continuous.land(continuous.from_files(x.spark, f"{at}/in"), e, f"{at}/out", f"{at}/checkpoint-{k}", {"availableNow": True}).start()
+        q.awaitTermination()
+    typed = x.spark.read.parquet(f"{at}/out/typed")
+    now = cdc.current_rows(typed.drop("stream", "batch", "_landed_at"), e.key)
+    return now.select("savings_id", "account_balance", "activated_on_date", "is_active", "_op", "_version")
+
+
 def par_by_branch(x: Source) -> DataFrame:
     d = x.models.dim_office.where("total_outstanding > 0")
     return d.select("office_name", "total_loans", F.round(s.ratio(F.col("total_overdue") * 100, F.col("total_outstanding")), 2).alias("par_percent")).orderBy(F.col("par_percent").desc())
@@ -162,13 +358,20 @@ BUILD: dict[str, Callable[[Source], DataFrame]] = {
     "latest_by_key": latest_by_key, "incremental_window": incremental_window, "merge_by_key": merge_by_key, "change_detection": change_detection,
     "dedup_last_wins": lambda x: cdc.last_wins(x.table("events"), ["user_id", "event_type"], "event_id"),
     "watermark": lambda x: cdc.watermark(None, x.raw("loans"), "loans", "loan_id", AUDIT_RUN),
-    **{n: (lambda x, n=n: getattr(x.models, n)) for n in "stg_clients stg_loans stg_loan_transactions stg_offices stg_staff stg_loan_products stg_savings_products stg_savings_accounts loan_repayment_behaviour client_portfolio dim_client dim_office dim_staff dim_loan_product fct_loan fct_loan_transaction fct_savings_account portfolio_snapshot loan_performance_monthly default_features scoring_features".split()},
-    "expectations": expectations, "schema_tests": schema_tests,
-    "ledger_reconciles": lambda x: quality.ledger_off(x.models.fct_loan),
-    "leakage": lambda x: quality.leaking(x.models.default_features),
-    "future_dated": lambda x: quality.future_dated(x.models.fct_loan_transaction, x.models.set.as_of, 2 - 60),
-    "balance_sanity": lambda x: quality.balance_reasons(x.models.fct_loan),
-    "quality_gate": quality_gate,
+    **{n: (lambda x, n=n: getattr(x.models, n)) for n in "stg_clients stg_loans stg_loan_transactions stg_offices stg_staff stg_loan_products stg_savings_products stg_savings_accounts client_portfolio dim_client dim_office dim_staff dim_loan_product fct_loan_transaction fct_savings_account portfolio_snapshot".split()},
+    **{n: (lambda x, n=n: getattr(x.shared, n)) for n in "loan_repayment_behaviour fct_loan loan_performance_monthly default_features scoring_features".split()},
+    "expectations": _checked, "expectation_summary": lambda x: quality.summary(_checked(x)), "schema_tests": lambda x: quality.test_counts(_schema_tests(x)), "failures_stored": failures_stored, "row_rejects": row_rejects,
+    "ledger_reconciles": lambda x: quality.ledger_off(x.shared.fct_loan),
+    "leakage": lambda x: quality.leaking(x.shared.default_features), "leakage_planted": leakage_planted,
+    "future_dated": lambda x: quality.future_dated(x.models.fct_loan_transaction, x.models.set.as_of),
+    "dated_after": lambda x: quality.future_dated(x.models.fct_loan_transaction, x.models.set.as_of, 2 - 60),
+    "bucket_agrees": lambda x: quality.bucket_mismatch(x.shared.fct_loan.withColumn("par_bucket", F.when(F.col("loan_id") % 41 == 0, "Current").otherwise(F.col("par_bucket")))),
+    "balance_sanity": balance_sanity,
+    "quality_gate": quality_gate, "source_freshness": source_freshness, "caught_up": caught_up,
+    "last_success": lambda x: monitor.last_success(runs(x), AUDIT_RUN, 86400),
+    "latest_tests": lambda x: monitor.latest_tests(quality.split_results(results(x))[0]), "model_runtimes": lambda x: monitor.model_runtimes(quality.split_results(results(x))[1]), "results_by_layer": results_by_layer,
+    "recent_rejects": recent_rejects, "provisions": provisions, "backfill_guard": backfill_guard, "retained": retained, "merged_by_month": merged_by_month, "compacted": compacted, "table_files": table_files,
+    "wire_round_trip": wire_round_trip, "atomic_load": atomic_load, "load_order": load_order, "stream_replay": stream_replay,
     "cdc_freshness": lambda x: monitor.cdc_freshness(x.audit(), AUDIT_RUN, 720),
     "rolling_counts": lambda x: monitor.rolling_counts(x.audit()).withColumn("window_start", F.unix_seconds("window_start")),
     "raw_health": lambda x: monitor.raw_health(x.raws(), AUDIT_RUN),
