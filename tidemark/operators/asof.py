@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,8 +55,8 @@ def prior_loans_by_join(loans: DataFrame) -> DataFrame:
     return now.join(before, pair).groupBy(F.col("now.loan_id").alias("loan_id")).agg(F.count("*").alias("prior_loan_count"), F.max("before.disbursed_on_date").alias("prior_last_disbursement_date"))
 
 
-def gap_statistics(df: DataFrame, key: str, day: str, tie: list[str]) -> DataFrame:
-    """Mean, deviation and maximum of the days between neighbouring rows of a key; a key's first row has no gap."""
-    w = Window.partitionBy(key).orderBy(day, *tie)
-    gaps = df.select(key, F.datediff(F.col(day), F.lag(day).over(w)).alias("gap")).where("gap is not null and gap >= 0")
-    return gaps.groupBy(key).agg(F.avg("gap").alias("avg_days_between_repayments"), F.stddev_pop("gap").alias("stddev_days_between_repayments"), F.max("gap").alias("max_days_between_repayments"))
+def gaps(key: str, day: str, tie: list[str], where: Column) -> Column:
+    """Days since the key's last row before this one, among rows that `where` holds for; its first such row has no gap."""
+    before = Window.partitionBy(key).orderBy(day, *tie).rowsBetween(Window.unboundedPreceding, -1)
+    gap = F.datediff(F.col(day), F.last(F.when(where, F.col(day)), ignorenulls=True).over(before))
+    return F.when(where & (gap >= 0), gap)

@@ -23,11 +23,17 @@ def order(df: DataFrame) -> Column:
     return F.struct(*[F.col(c) for c in ORDER if c in df.columns], F.xxhash64(*rest).alias("_hash"))
 
 
+def newest(df: DataFrame, *keys: str) -> DataFrame:
+    """The newest row of each key. Spark keeps one row of a key in each task before the shuffle (a group limit), so a key
+    with very many versions is no hot spot; the tie is hashed there too and doesn't hinder the pruning of columns."""
+    rest = [c for c, t in sorted(df.dtypes) if c not in ORDER and not t.startswith(("map", "variant"))]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in ORDER if c in df.columns], F.col("_tie").desc())
+    return df.withColumn("_tie", F.xxhash64(*rest)).withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_tie", "_nth")
+
+
 def current_rows(df: DataFrame, *keys: str) -> DataFrame:
-    """The newest whole row of each key, unless it is a delete. max_by aggregates before the shuffle: one row of each key
-    leaves a task, so a key with very many versions is no hot spot."""
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in df.columns if c not in keys]), order(df)).alias("_row"))
-    return newest.select(*keys, "_row.*").where("_is_deleted = 0").select(*df.columns)
+    """The newest whole row of each key, unless it is a delete."""
+    return newest(df, *keys).where("_is_deleted = 0")
 
 
 def latest_by_key(df: DataFrame, keys: list[str], columns: list[str], skip_nulls: bool = False, where: Column | None = None) -> DataFrame:
@@ -35,11 +41,11 @@ def latest_by_key(df: DataFrame, keys: list[str], columns: list[str], skip_nulls
 
     skip_nulls: each column by itself takes its newest value that isn't NULL; otherwise all come from one row."""
     df = df if where is None else df.where(where)
-    by, named = order(df), {**{c: c for c in columns}, "_is_deleted": "is_deleted", "_source_commit_at": "cdc_commit_at"}
-    version = F.max("_version").alias("cdc_version")
+    named = {**{c: c for c in columns}, "_is_deleted": "is_deleted", "_source_commit_at": "cdc_commit_at"}
     if skip_nulls:
-        return df.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), by)).alias(n) for c, n in named.items()], version)
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c).alias(n) for c, n in named.items()]), by).alias("_row"), version).select(*keys, "_row.*", "cdc_version")
+        by = order(df)
+        return df.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), by)).alias(n) for c, n in named.items()], F.max("_version").alias("cdc_version"))
+    return newest(df, *keys).select(*keys, *[F.col(c).alias(n) for c, n in named.items()], F.col("_version").alias("cdc_version"))
 
 
 def incremental_filter(df: DataFrame, target: DataFrame | None, column: str, target_column: str, hours: int = 48) -> DataFrame:

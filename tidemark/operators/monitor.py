@@ -38,8 +38,7 @@ def reconciliation(tables: dict[str, DataFrame], keys: dict[str, str], collapsed
         k, df = keys[name], tables[name]
         if not collapsed:
             return df.agg(F.countDistinct(k).alias("distinct_keys"), F.countDistinct(F.when(F.col("_is_deleted") == 0, F.col(k))).alias("live_keys"))
-        newest = df.groupBy(k).agg(F.max_by("_is_deleted", cdc.order(df)).alias("deleted"))
-        return newest.agg(F.count("*").alias("distinct_keys"), F.count_if(F.col("deleted") == 0).alias("live_keys"))
+        return cdc.newest(df, k).agg(F.count("*").alias("distinct_keys"), F.count_if(F.col("_is_deleted") == 0).alias("live_keys"))
 
     return cdc.surrogate_union({n: one(n) for n in tables}, "entity")
 

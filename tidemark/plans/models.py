@@ -47,7 +47,7 @@ def zero(*names: str, prefix: str = "") -> list[Column]:
 
 
 class Models:
-    def __init__(self, raw: Callable[[str], DataFrame], settings: Settings | None = None, keep: Callable[[DataFrame, str], DataFrame] | None = None, kept: tuple[str, ...] = ("stg_loans", "stg_loan_transactions")):
+    def __init__(self, raw: Callable[[str], DataFrame], settings: Settings | None = None, keep: Callable[[DataFrame, str], DataFrame] | None = None, kept: tuple[str, ...] = ("stg_loans",)):
         """keep writes a stage and reads it again; kept: the stages that it is used for."""
         self.raw, self.set, self._keep, self.kept = raw, settings or Settings(), keep, kept
         self.today = F.lit(self.set.as_of)
@@ -149,14 +149,14 @@ class Models:
 
     @cached_property
     def loan_repayment_behaviour(self) -> DataFrame:
-        """One pass by loan over the ledger, and one over the gaps between repayments: a loan is there if any transaction is,
-        so that full joins of separate rollups would only give the same keys."""
-        t = self.stg_loan_transactions
+        """One pass by loan over the ledger, gaps between repayments included, on one shuffle: a loan is there if any
+        transaction is, so that full joins of separate rollups would only give the same keys."""
         kind = lambda k: F.col("transaction_category") == k
         counts = F.col("is_countable") == 1
         paid, lent = kind("repayment") & counts, kind("disbursement") & counts
         amount = F.when(paid, F.col("amount"))
         day = lambda c: F.when(c, F.col("transaction_date"))
+        t = self.stg_loan_transactions.withColumn("_gap", asof.gaps("loan_id", "transaction_date", ["transaction_id"], paid))
         by_loan = t.groupBy("loan_id").agg(
             count_if(paid).alias("repayment_count"),
             *[sum_if(c, paid).alias(n) for c, n in (("amount", "total_repaid"), ("principal_portion", "principal_repaid"), ("interest_portion", "interest_repaid"), ("fee_charges_portion", "fees_repaid"), ("penalty_charges_portion", "penalties_repaid"))],
@@ -177,10 +177,12 @@ class Models:
             count_if(kind("recovery_repayment")).alias("recovery_count"),
             F.count("*").alias("total_transaction_count"),
             F.max("transaction_date").alias("last_activity_date"),
+            F.avg("_gap").alias("avg_days_between_repayments"),
+            F.stddev_pop("_gap").alias("stddev_days_between_repayments"),
+            F.max("_gap").alias("max_days_between_repayments"),
         )
-        gaps = asof.gap_statistics(t.where(paid), "loan_id", "transaction_date", ["transaction_id"])
         return self.keep(
-            by_loan.join(gaps, "loan_id", "left").withColumns(
+            by_loan.withColumns(
                 {"days_since_last_activity": self._days("last_activity_date"), "repayment_regularity_cv": s.ratio("stddev_days_between_repayments", "avg_days_between_repayments")}
             ),
             "loan_repayment_behaviour",
