@@ -13,9 +13,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import shared
+
 ROOT = str(Path(__file__).resolve().parents[2])
-#: Only used where the session names no spark.checkpoint.dir (tests, a laptop).
-FALLBACK_DIR = "/tmp/checkpoints"
 WORD_CACHE = 300_000
 M1, M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -27,7 +27,7 @@ def prepare(spark: SparkSession) -> None:
     if ROOT not in here.split(os.pathsep):
         sc.environment["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, here) if x)
     if not spark.conf.get("spark.checkpoint.dir", None) and sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(f"{FALLBACK_DIR}/{uuid.uuid4().hex}")
+        sc.setCheckpointDir(f"{shared.folder(spark)}/{uuid.uuid4().hex}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,14 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one like it that no column of df has (case doesn't tell names apart)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(docs: list[str], chars: int) -> Iterator[list[str]]:
     """Consecutive texts of so many characters in all, or a single longer one."""
     start, size = 0, 0

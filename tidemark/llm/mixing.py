@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 ALPHA, SEED = 0.5, "mix-1"
 #: A table of sources up to this many rows is broadcast; beyond it the join is Spark's own choice, with skew splitting.
 BROADCAST_SOURCES = 10_000
@@ -21,9 +23,10 @@ BROADCAST_SOURCES = 10_000
 TAIL = 12
 
 
-def mean_rates(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = ALPHA, rows: int | None = None) -> DataFrame:
-    """source, n, mean_rate. Without weights, a source weighs n ** alpha. rows: the wanted total, by default as many."""
-    n = docs.groupBy("source").agg(F.count("*").alias("n"))
+def mean_rates(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = ALPHA, rows: int | None = None) -> tuple[DataFrame, int]:
+    """source, n and mean_rate, and how many sources there are. Without weights, a source weighs n ** alpha. rows: the
+    wanted total, by default as many. The counts are one pass over docs, kept as a checkpoint."""
+    n = docs.groupBy("source").agg(F.count("*").alias("n")).checkpoint()
     if weights is None:
         w = F.pow(F.col("n").cast("double"), F.lit(alpha))
     else:
@@ -31,16 +34,17 @@ def mean_rates(docs: DataFrame, weights: dict[str, float] | None = None, alpha:
         for k, v in weights.items():
             w = F.when(F.col("source") == k, F.lit(float(v))).otherwise(w)
     n = n.select("source", "n", w.alias("w"))
-    total, weight = n.agg(F.sum("n"), F.sum(F.round("w", 9).cast("decimal(28,9)"))).first()
+    total, weight, sources = n.agg(F.sum("n"), F.sum(F.round("w", 9).cast("decimal(28,9)")), F.count("*")).first()
     total, weight = rows or total or 0, float(weight or 1) or 1.0
-    return n.select("source", "n", (F.col("w") / F.lit(weight) * F.lit(float(total)) / F.col("n")).alias("mean_rate"))
+    return n.select("source", "n", (F.col("w") / F.lit(weight) * F.lit(float(total)) / F.col("n")).alias("mean_rate")), sources
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = ALPHA, rows: int | None = None, seed: str = SEED) -> DataFrame:
     """The columns of docs (doc_id, source, ...), copy (from 1), mean_rate and shuffle_key, in shuffled order."""
     docs = docs.drop("copy", "mean_rate", "shuffle_key")
-    rates = mean_rates(docs, weights, alpha, rows)
-    few = rates.agg(F.count("*")).first()[0] <= BROADCAST_SOURCES
+    rates, sources = mean_rates(docs, weights, alpha, rows)
+    source_, cdf_, n_ = (free_name(docs, x) for x in ("_source", "_cdf", "_n"))
+    few = sources <= BROADCAST_SOURCES
     terms = F.sequence(F.lit(1), F.ceil(F.col("mean_rate") + TAIL * F.sqrt("mean_rate") + 20).cast("int"))
     start = F.struct((-F.col("mean_rate")).alias("log"), F.array(F.exp(-F.col("mean_rate"))).alias("cdf"))
 
@@ -49,13 +53,13 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float =
         return F.struct(log.alias("log"), F.concat(acc["cdf"], F.array(F.element_at(acc["cdf"], -1) + F.exp(log))).alias("cdf"))
 
     cdf = F.when(F.col("mean_rate") > 0, F.aggregate(terms, start, term)["cdf"]).otherwise(F.array(F.lit(2.0)))
-    rates = rates.select(F.col("source").alias("_source"), "mean_rate", cdf.alias("_cdf"))
+    rates = rates.select(F.col("source").alias(source_), "mean_rate", cdf.alias(cdf_))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     hashed = lambda *x, n: F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), *x).cast("binary")), 1, n), 16, 10).cast("long")
     uniform = hashed(key, n=13) / F.lit(float(1 << 52))
-    joined = docs.join(F.broadcast(rates) if few else rates, docs["source"].eqNullSafe(rates["_source"]))
-    counted = joined.withColumn("_n", F.size(F.filter("_cdf", lambda c: c <= uniform))).where("_n > 0")
-    out = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_source", "_cdf", "_n")
+    joined = docs.join(F.broadcast(rates) if few else rates, docs["source"].eqNullSafe(rates[source_]))
+    counted = joined.withColumn(n_, F.size(F.filter(cdf_, lambda c: c <= uniform))).where(F.col(n_) > 0)
+    out = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(n_)))).drop(source_, cdf_, n_)
     out = out.withColumn("shuffle_key", hashed(key, F.col("copy").cast("string"), n=15))
     return out.repartition("shuffle_key").sortWithinPartitions("shuffle_key", "doc_id")
 

@@ -21,10 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHash, binary, block_pairs, components, groups, local_roots, mix
+from .common import WordHash, binary, block_pairs, components, free_name, groups, local_roots, mix
 
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9995
 T, BUCKET, DEPTH, BLOCK = 64, 256, 4, 256
@@ -253,8 +253,12 @@ def near_copies(docs: DataFrame, target_recall: float = TARGET_RECALL) -> DataFr
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The row with the smallest doc_id of each class, with all its columns. Rows without words or doc_id stay."""
+    """The row with the smallest doc_id of each class, with all its columns. Rows without words or doc_id stay; of rows
+    that share a doc_id and (but for case) a text, one stays; texts that share a doc_id and differ are no copies."""
     classed = near_copies(docs)
     kept = classed.where("doc_id = class_id").select("doc_id").distinct()
-    ids = docs.join(kept, "doc_id", "left_semi")
-    return ids.unionByName(docs.where("doc_id is null"))
+    hash_, nth_ = free_name(docs, "_hash"), free_name(docs, "_nth")
+    same = Window.partitionBy("doc_id", hash_).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c, t in docs.dtypes if not t.startswith(("map", "variant"))]))
+    ids = docs.join(kept, "doc_id", "left_semi").withColumn(hash_, F.xxhash64(F.lower(F.coalesce("text", F.lit("")))))
+    one = ids.withColumn(nth_, F.row_number().over(same)).where(F.col(nth_) == 1).select(*docs.columns)
+    return one.unionByName(docs.where("doc_id is null"))

@@ -141,40 +141,50 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) if isinstance(c, list) else c for c, t in zip(cols, _schema.types, strict=True)], schema=_schema)
 
 
+def _units(x: float) -> int:
+    """Logarithms in whole millionths: sums are exact, so that a score is one number wherever it is computed."""
+    return round(x * 1_000_000)
+
+
+_CHOICE = _units(math.log10(len(ENCODINGS)))
+
+
 @dataclass(frozen=True)
 class Rule:
-    """Log10 frequencies of the ALPHABET's characters in the corpus, and the least score of each length class."""
+    """Log10 frequencies (in millionths) of the ALPHABET's characters in the corpus, and the least score of each length class."""
 
-    log_q: tuple[float, ...]
+    log_q: tuple[int, ...]
     least: tuple[int, ...]
 
     def score(self, token: str, size: int) -> int:
         """Tenths of log10 of the likelihood ratio, less the choice among encodings."""
         token = token.lower() if token == token.upper() else token  # capitals throughout are ordinary text too
-        ratio = -len(token) * math.log10(size) - sum(self.log_q[_code[ord(c)]] for c in token) - math.log10(len(ENCODINGS))
-        return max(0, min(1000, math.floor(10 * ratio)))
+        ratio = -len(token) * _units(math.log10(size)) - sum(self.log_q[_code[ord(c)]] for c in token) - _CHOICE
+        return max(0, min(1000, ratio // 100_000))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_scan, _ddl).checkpoint()
 
 
-def _log_q(scanned: DataFrame) -> tuple[float, ...]:
+def _log_q(scanned: DataFrame) -> tuple[int, ...]:
     rows = scanned.where("characters is not null").select(F.posexplode("characters").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect()
     n = np.ones(66)
     for r in rows:
         n[r["k"]] += r["n"]
-    return tuple(np.log10(n / n.sum()).tolist())
+    return tuple(map(_units, np.log10(n / n.sum()).tolist()))
 
 
-def _scores(log_q: tuple[float, ...]) -> Column:
-    table = F.create_map(*[x for c, q in zip(ALPHABET, log_q, strict=True) for x in (F.lit(c), F.lit(q))])
+def _scores(log_q: tuple[int, ...]) -> Column:
+    """Rule.score as an expression on the candidates."""
+    table = F.create_map(*[x for c, q in zip(ALPHABET, log_q, strict=True) for x in (F.lit(c), F.lit(q).cast("long"))])
+    sizes = F.create_map(*[x for k in sorted({k for _, k in _sets}) for x in (F.lit(k), F.lit(_units(math.log10(k))).cast("long"))])
 
     def score(c: Column) -> Column:
         plain = F.when(c["token"] == F.upper(c["token"]), F.lower(c["token"])).otherwise(c["token"])
-        natural = F.aggregate(F.filter(F.split(plain, ""), lambda x: x != ""), F.lit(0.0), lambda a, x: a + table[x])
-        ratio = -F.char_length(c["token"]) * F.log10(c["size"]) - natural - F.lit(math.log10(len(ENCODINGS)))
-        return F.greatest(F.lit(0), F.least(F.lit(1000), F.floor(10 * ratio).cast("int")))
+        natural = F.aggregate(F.filter(F.split(plain, ""), lambda x: x != ""), F.lit(0).cast("long"), lambda a, x: a + table[x])
+        ratio = -F.char_length(c["token"]) * sizes[c["size"]] - natural - F.lit(_CHOICE)
+        return F.greatest(F.lit(0), F.least(F.lit(1000), F.floor(ratio / 100_000).cast("int")))
 
     return F.transform("candidates", lambda c: F.struct(c["start"], c["end"], c["length"], score(c).alias("score")))
 
