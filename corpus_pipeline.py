@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark import shared
 from tidemark.llm import bpe, mixing, near, quality, secrets
-from tidemark.llm.common import FALLBACK_DIR, prepare, table
+from tidemark.llm.common import prepare, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -46,8 +45,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows. Each stage's result is written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    folder = spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR
-    at = f"{folder}/pipeline-{uuid.uuid4().hex}"
+    at = shared.scratch(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{at}/{k}-{name}")
         docs = spark.read.parquet(f"{at}/{k}-{name}")
