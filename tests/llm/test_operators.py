@@ -277,8 +277,27 @@ def test_vectors_recall_and_counts(spark):
     assert {r.vec_id: r for r in double} == got
     wide = spark.createDataFrame([(i, v, 0) for i, v in enumerate([[1.0, 1e200] * 80, [1e-3, 1e197] * 80, [1.0, -1.0] * 80, [1.0], [-2.0], [3.0], []])], "vec_id long, embedding array<double>, label int")
     assert [r.n_links for r in vectors.near_vectors(wide).orderBy("vec_id").collect()] == [1, 1, 0, 1, 0, 1, 0]
-    y = u[:200]
-    assert (vectors.upper_bounds(y, u) < (y @ u.T)).mean() < 1e-3
+    y = vectors.Codes.of(u)
+    again = vectors.Codes.read([bytes(x) for x in y.blobs()], 64)
+    assert (again.upper_bounds(again) < (u @ u.T)).mean() < 1e-3
+    same = [(i, [1.0, 2.0, i / 9000]) for i in (5, 5, 7)]
+    rows = [(5, [1.0, 2.0]), (5, [2.0, 4.0]), (7, [1.0, 2.0]), (5, [-1.0, 9.0]), (None, [1.0, 2.0]), (None, [-3.0, 1.0]), (None, None), (1, [0.0, -0.0])]
+    got = sorted((tuple(r) for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()), key=str)
+    assert got == sorted([(5, 3, 5, True), (5, 3, 5, True), (7, 3, 5, False), (5, 0, 5, True), (None, 3, 5, False), (None, 0, None, True), (None, 0, None, True), (1, 0, 1, True)], key=str)
+    assert {r.n_links for r in vectors.near_vectors(spark.createDataFrame(same, "vec_id long, embedding array<float>")).collect()} == {2}
+
+
+@pytest.mark.parametrize(("d", "least"), [(64, 0.98), (256, 0.97), (768, 0.93)])
+def test_vectors_recall_at_the_threshold(d, least):
+    """Of pairs with a cosine of just 0.9, those that meet in a table and have a bound that reaches the threshold."""
+    rng = np.random.default_rng(d)
+    x, y = (vectors.unit_rows(rng.standard_normal((400, d))) for _ in range(2))
+    y = vectors.unit_rows(y - (x * y).sum(1)[:, None] * x)
+    y = 0.9 * x + math.sqrt(1 - 0.81) * y
+    met = (vectors.places(x) == vectors.places(y)).any(1)
+    cx, cy = vectors.Codes.of(x), vectors.Codes.of(y)
+    bound = np.maximum(np.diag(cx.upper_bounds(cy)), np.diag(cy.upper_bounds(cx))) >= 0.9
+    assert (met & bound).mean() >= least
 
 
 def test_toxicity_trains_on_whole_lines_by_pair_chances(monkeypatch):
