@@ -16,13 +16,15 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import slices, texts
 
-CACHE, CACHED_CHARS = 250_000, 64
+CACHE, CACHED_CHARS = 150_000, 64
 #: A space between two characters that aren't white space, as Python has it: more than the patterns' \\s, so that cuts are safe.
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: A space beside other white space: such texts aren't cut at each space.
@@ -74,39 +76,59 @@ class Cut:
     """Encodes texts by chunks that start at single spaces, each encoded once while the cache holds it.
 
     Between two characters that aren't white space, a single space always starts a pre-token of a pattern of the form
-    ` ?\\p{L}+|...|\\s+(?!\\S)|\\s+`, so the ids of a text are those of its chunks in turn.
+    ` ?\\p{L}+|...|\\s+(?!\\S)|\\s+`, so the ids of a text are those of its chunks in turn. What was used since the cache last
+    filled up stays when it does again, so frequent chunks are encoded once.
     """
 
     def __init__(self, encode: Callable[[list[str]], Iterable[tuple[int, ...]]]):
-        self.encode, self.known = encode, {}
+        self.encode = encode
+        self.young: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
 
-    def chunks(self, text: str) -> list[str]:
-        if not text:
-            return []
-        first, *rest = LONE_SPACE.split(text) if UNEVEN.search(text) else text.split(" ")
-        return [first, *[" " + x for x in rest]]
-
-    def __call__(self, batch: list[str]) -> Iterator[list[int]]:
+    def __call__(self, batch: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text. Works on a few texts at a time, so that memory holds one slice's new chunks."""
-        start, size = 0, 0
-        for k, x in enumerate(batch):
-            size += len(x)
-            if size > 2_000_000 or k == len(batch) - 1:
-                yield from self._slice(batch[start : k + 1])
-                start, size = k + 1, 0
-
-    def _slice(self, batch: list[str]) -> Iterator[list[int]]:
-        cut = [self.chunks(x) for x in batch]
-        if len(self.known) > CACHE:
-            self.known = {}
-        known = self.known
-        new = list(set().union(*cut).difference(known))
-        known.update(zip(new, self.encode(new), strict=True))
-        for x in cut:
-            yield list(chain.from_iterable(map(known.__getitem__, x)))
-        for c in new:
-            if len(c) > CACHED_CHARS:
-                del known[c]
+        for some in slices(batch, 2_000_000):
+            yield from self._slice(some)
+
+    def _ids(self, chunks: list[str]) -> list[tuple[int, ...]]:
+        """Of distinct chunks."""
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        out = list(map(young.get, chunks))
+        for k in [k for k, x in enumerate(out) if x is None]:
+            if (x := old.get(chunks[k])) is not None:
+                out[k] = young[chunks[k]] = x
+        new = [k for k, x in enumerate(out) if x is None]
+        for k, x in zip(new, self.encode([chunks[k] for k in new]), strict=True):
+            out[k] = x
+            if len(chunks[k]) <= CACHED_CHARS:
+                young[chunks[k]] = x
+        return out
+
+    def _slice(self, batch: list[str]) -> Iterator[np.ndarray]:
+        uneven = [k for k, x in enumerate(batch) if UNEVEN.search(x)]
+        known = set(uneven)
+        order = [k for k in range(len(batch)) if k not in known] + uneven
+        even = pc.split_pattern(pa.array([batch[k] for k in order[: len(order) - len(uneven)]], pa.string()), " ")
+        others = [LONE_SPACE.split(batch[k]) for k in uneven]
+        words = pa.chunked_array([even.flatten(), pa.array(list(chain.from_iterable(others)), pa.string())]).combine_chunks().dictionary_encode()
+        sizes = np.concatenate([even.value_lengths().to_numpy(zero_copy_only=False), [len(x) for x in others]]).astype(np.int64)
+        kind = words.indices.to_numpy().astype(np.int64) * 2
+        ends = np.cumsum(sizes)
+        kind[ends - sizes] += 1  # a text's first chunk has no space before it
+        kinds, of = np.unique(kind, return_inverse=True)
+        names = words.dictionary.to_pylist()
+        ids = self._ids([names[k >> 1] if k & 1 else " " + names[k >> 1] for k in kinds.tolist()])
+        length = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(length.sum()))
+        begin, n = (np.cumsum(length) - length)[of], length[of]
+        after = np.cumsum(n)
+        flat = flat[np.repeat(begin - (after - n), n) + np.arange(int(n.sum()))]
+        out: list = [None] * len(batch)
+        for k, x in zip(order, np.split(flat, after[ends - 1][:-1]), strict=True):
+            out[k] = x
+        yield from out
 
 
 class SentencePieceBPE:
@@ -135,7 +157,7 @@ class SentencePieceBPE:
             flat[p] = tuple(i - 1 for i in ids)
         return [tuple(chain.from_iterable(flat[p] for p in x)) for x in pieces]
 
-    def encode(self, batch: list[str]) -> Iterator[list[int]]:
+    def encode(self, batch: list[str]) -> Iterator[np.ndarray]:
         return self.cut(batch)
 
     def decode(self, ids: list[int]) -> bytes:
@@ -174,7 +196,8 @@ def digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     arrow = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
     sha = lambda x: hashlib.sha256(x).hexdigest()
 
-    def row(bpe: SentencePieceBPE, ids: list[int]) -> tuple:
+    def row(bpe: SentencePieceBPE, ids: np.ndarray) -> tuple:
+        ids = ids.tolist()
         return len(ids), sha(",".join(map(str, ids)).encode()), sha(bpe.decode(ids))
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
