@@ -168,7 +168,7 @@ def test_byte_pairs_equal_the_library(spark, docs, odd):
     model, rng = bpe.SentencePieceBPE(open(RANKS, "rb").read(), P.PATTERN), random.Random(1)
     parts = [" ", "  ", "\n", "\t", "a", "Zé", "'ll", "12", "!?", "\x1c", "\x85", "\xa0", "日本", "😀", "\x00", "don't", "<|endoftext|>"]
     some = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(2000)]
-    assert list(model.encode(some)) == [own.encode_ordinary(x) for x in some]
+    assert [x.tolist() for x in model.encode(some)] == [own.encode_ordinary(x) for x in some]
     assert bpe.digests(odd, RANKS, P.PATTERN).count() == 8 and bpe.encode(empty(odd), RANKS, P.PATTERN).count() == 0
 
 
@@ -197,7 +197,13 @@ def test_elias_fano_and_search():
     rng = np.random.default_rng(0)
     for n, top in ((1, 0), (5, 1 << 59), (3000, 1 << 50), (3000, 2000)):
         x = np.sort(rng.integers(0, top + 1, n)).astype(np.uint64)
-        assert (trie.EliasFano(x).all() == x).all()
+        ef = trie.EliasFano(x)
+        at = rng.permutation(n)
+        assert (ef.get(at) == x[at]).all()
+        bits = np.unpackbits(np.asarray(ef.high).view(np.uint8), bitorder="little")[: ef.bits]
+        for one in (0, 1):
+            want = np.flatnonzero(bits == one)
+            assert (ef.select(np.arange(len(want)), one) == want).all()
     pairs = sorted({(int(a), int(b)) for a, b in zip(rng.zipf(1.5, 4000) % 50, rng.integers(0, 3000, 4000), strict=True)})
     c, s = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs], np.uint64)
     level = trie.Level(c, s, np.arange(len(pairs)) % 255, 50)
@@ -205,6 +211,7 @@ def test_elias_fano_and_search():
     ask = [(a, b) for a in range(50) for b in range(0, 3000, 37)]
     got = level.find(np.array([a for a, _ in ask]), np.array([b for _, b in ask], np.uint64))
     place = {p: i for i, p in enumerate(pairs)}
+    assert level.find(np.array([49, 0]), np.array([(1 << 40) - 1, 0], np.uint64)).tolist() == [-1, place.get((0, 0), -1)]
     assert got.tolist() == [place.get(p, -1) for p in ask]
 
 
@@ -220,7 +227,7 @@ def test_language_model(docs, odd):
         base = sum(math.log10((counts[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
         assert abs(rows[i].base_score - base) < 1e-6 and (rows[i].n_tokens, rows[i].n_known, rows[i].train_tokens) == (len(w), sum(counts[x] > 0 for x in w), n)
     held = [r for r in rows.values() if r.held_out]
-    assert sum(r.score for r in held) > sum(r.base_score for r in held) * 1.02
+    assert sum(r.score for r in held) > 0.9 * sum(r.base_score for r in held)  # both are below 0
     assert lm.score(odd).count() == 8 and lm.score(empty(odd)).count() == 0
 
 
@@ -359,9 +366,9 @@ def test_chunks_around_white_space():
     some.append("".join(some))
     path, data = P.path("byte_bpe_50k.json"), Path(P.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
     own, library = Tokenizer.from_file(path), packing.LibraryBPE(Path(path).read_bytes())
-    assert list(library.cut(some)) == [own.encode(x, add_special_tokens=False).ids for x in some]
+    assert [x.tolist() for x in library.cut(some)] == [own.encode(x, add_special_tokens=False).ids for x in some]
     want = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(data), special_tokens={})
-    assert list(bpe.SentencePieceBPE(data, P.PATTERN).encode(some)) == [want.encode_ordinary(x) for x in some]
+    assert [x.tolist() for x in bpe.SentencePieceBPE(data, P.PATTERN).encode(some)] == [want.encode_ordinary(x) for x in some]
 
 
 def test_token_files(docs, odd):
