@@ -114,6 +114,10 @@ def test_near_copies_odd_rows(odd):
     assert all(r.n_links == 0 for r in got if r.doc_id in (1, 2, 7))
     assert near.near_copies(empty(odd)).count() == 0
     assert near.keep_one(odd).columns == odd.columns
+    kept = near.keep_one(odd).collect()
+    assert sorted((r.doc_id for r in kept), key=str) == [1, 2, 3, 4, 7, None]
+    twice = odd.where("doc_id = 4").unionByName(odd.where("doc_id >= 4")).withColumn("_hash", F.lit(1)).withColumn("_NTH", F.lit("x"))
+    assert sorted(r.doc_id for r in near.keep_one(twice).collect()) == [4, 7] and near.keep_one(twice).columns == twice.columns
 
 
 def test_mixing_counts_follow_the_rates(spark, odd):
@@ -122,6 +126,9 @@ def test_mixing_counts_follow_the_rates(spark, odd):
     assert abs(n["big"] - 10_000) < 400 and abs(n["small"] - 10_000) < 400
     again = lambda: sorted((r.doc_id, r.copy, r.shuffle_key) for r in mixing.mix(df).collect())
     assert again() == again()
+    clash = df.withColumns({"_cdf": F.lit(1), "_SOURCE": F.lit("s"), "_n": F.lit(2), "Copy": F.lit(9), "mean_rate": F.lit(0)})
+    both = lambda x: sorted((r.doc_id, r.copy, r.shuffle_key) for r in mixing.mix(x).select("doc_id", "copy", "shuffle_key").collect())
+    assert both(clash) == both(df) and {"_cdf", "_SOURCE", "_n"} <= set(mixing.mix(clash).columns)
     assert mixing.mix(empty(odd)).count() == 0 and set(odd.columns) <= set(mixing.mix(odd).columns)
 
 
@@ -156,6 +163,45 @@ def test_secrets_base_and_random(spark, docs, odd):
     assert secrets.secrets(empty(odd)).count() == 0 and secrets.redact(odd).count() == 8
 
 
+def test_secrets_finds_planted_tokens_and_little_else(spark, docs):
+    """Tokens of several encodings and lengths in the documents and among long words: found, and next to nothing else."""
+    rng, words = random.Random(12), ["internationalisation", "counterrevolutionaries", "THERMODYNAMICALLY", "under_score_names_are_words", "characteristically"]
+    alphabets = {"base62": secrets.ALPHABET[:62], "base64": secrets.ALPHABET[:64], "HEX": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"}
+    rows, planted = [], {}
+    for k, r in enumerate(docs.orderBy("doc_id").collect()):
+        text = f"{r.text} {rng.choice(words)}"
+        if k % 3 == 0:
+            n = rng.choice([32, 40, 64])
+            planted[r.doc_id] = f"random:{len(text) + 1}:{len(text) + 1 + n}"
+            text += " " + "".join(rng.choices(alphabets[rng.choice(list(alphabets))], k=n)) + " " + rng.choice(words)
+        rows.append((r.doc_id, text))
+    got = {r.doc_id: r.spans for r in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = sum(s in got[i].split(",") for i, s in planted.items())
+    more = sum(len([x for x in got[i].split(",") if x.startswith("random")]) for i in got) - hit
+    assert hit >= 0.9 * len(planted) and more <= 0.05 * hit
+
+
+def test_secrets_base_spans_of_all_documents(spark):
+    """Against patterns written anew from their definition."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assign = re.compile("(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+    kinds = [("assign", assign, lambda m: len(m.group(2)) >= 6), ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m.group()) >= 20), ("hex", re.compile("[0-9a-f]+"), lambda m: len(m.group()) >= 24)]
+    got = {r.doc_id: r for r in secrets.secrets(docs).collect()}
+    assert sum(r.n_assign + r.n_access + r.n_hex for r in got.values()) > 0
+    for r in docs.collect():
+        spans = sorted((m.start(), k, m.end()) for k, (_, p, good) in enumerate(kinds) for m in p.finditer(r.text) if good(m))
+        text = ",".join(f"{kinds[k][0]}:{s}:{e}" for s, k, e in spans)
+        assert got[r.doc_id].base_sha256 == hashlib.sha256(text.encode()).hexdigest() and [got[r.doc_id][f"n_{n}"] for n, _, _ in kinds] == [sum(k == j for _, k, _ in spans) for j in range(3)]
+
+
+def test_secret_score_is_one_number(spark):
+    rule = secrets.Rule(tuple(-1_000_000 - 17_311 * k for k in range(66)), (0,) * 7)
+    rng = random.Random(3)
+    some = [("".join(rng.choices(secrets.ALPHABET, k=rng.randrange(16, 80))), k) for k in (16, 36, 62, 66) for _ in range(50)] + [("ABCDEFGHIJKLMNOPQ", 36)]
+    df = spark.createDataFrame([([{"start": 0, "end": 1, "size": k, "length": 0, "token": t}],) for t, k in some], "candidates array<struct<start:int,end:int,size:int,length:int,token:string>>")
+    assert [r[0][0].score for r in df.select(secrets._scores(rule.log_q)).collect()] == [rule.score(t, k) for t, k in some]
+
+
 def test_byte_pairs_equal_the_library(spark, docs, odd):
     import tiktoken
 

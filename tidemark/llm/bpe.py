@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import slices, texts
 
-CACHE, CACHED_CHARS = 150_000, 64
+CACHE, CACHED_CHARS = 100_000, 64
 #: A space between two characters that aren't white space, as Python has it: more than the patterns' \\s, so that cuts are safe.
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: A space beside other white space: such texts aren't cut at each space.
@@ -87,7 +87,7 @@ class Cut:
 
     def __call__(self, batch: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text. Works on a few texts at a time, so that memory holds one slice's new chunks."""
-        for some in slices(batch, 2_000_000):
+        for some in slices(batch, 1_000_000):
             yield from self._slice(some)
 
     def _ids(self, chunks: list[str]) -> list[tuple[int, ...]]:
