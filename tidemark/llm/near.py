@@ -5,8 +5,8 @@ shingle; a text without words has no set and links with nothing). Equal sets fol
 walks down random paths: a node picks coordinates of a min-hash embedding with probability 1 / (threshold * t), so
 similar sets choose the same shared tokens, and its bucket splits by the value there. Buckets of up to BUCKET classes are
 compared whole (by their embeddings), larger ones split again; the limit is eight times as large after each split, and
-what remains after DEPTH of them is compared whole as well, large buckets in tasks of two blocks. Runs are repeated until a pair at the threshold is found with the target recall. Whatever the
-buckets connect is then verified: each candidate group's shingle sets meet once, in tasks of at most two blocks, and all
+what remains after DEPTH of them is compared whole as well, large buckets in tasks of two blocks. Runs are repeated until
+a pair at the threshold is found with the target recall. Whatever the buckets connect is then verified: each candidate group's shingle sets meet once, in tasks of at most two blocks, and all
 pairs in it are counted exactly, so no pair is emitted as a row.
 
 Rows: null text counts as empty; rows with null doc_id link only with equal texts; repeated rows are copies; doc_id
@@ -28,6 +28,8 @@ from .common import WordHash, binary, block_pairs, components, free_name, groups
 
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9995
 T, BUCKET, DEPTH, BLOCK = 64, 256, 4, 256
+#: A path with more than this part of a level's rows is hot; there are fewer than HOT_PATHS of them at any size.
+HOT_PATHS = 2000
 #: Share of equal coordinates that makes a pair of a bucket a candidate: four standard deviations under THRESHOLD.
 LIKELY = THRESHOLD - 4 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / T)
 _hash = WordHash()
@@ -125,6 +127,15 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(child), b.column("rep").take(pa.array(row)), b.column("sig").take(pa.array(row))], ["path", "rep", "sig"])
 
 
+def _sized(level: DataFrame) -> DataFrame:
+    """The rows (path, rep, sig) whose path has others too, and n, how many it has. Rows of hot paths stay where they are,
+    since so few counts are broadcast; the others are shuffled by their path, and no task gets many of one."""
+    many = level.groupBy("path").agg(F.count("*").alias("n")).where("n > 1").checkpoint()
+    share = level.count() / HOT_PATHS
+    hot, others = F.broadcast(many.where(F.col("n") > share)), many.where(F.col("n") <= share)
+    return level.join(hot, "path").unionByName(level.join(hot, "path", "left_anti").join(others, "path"))
+
+
 def agreement(sig: np.ndarray) -> np.ndarray:
     """How many coordinates each pair of rows shares, some rows at a time."""
     step = max(1, 16_000_000 // sig.size)
@@ -218,8 +229,7 @@ def near_copies(docs: DataFrame, target_recall: float = TARGET_RECALL) -> DataFr
     edges = []
     for depth in range(1, DEPTH + 1):
         limit = BUCKET * 8 ** (depth - 1)  # what stays large after a split is alike, and splits on to little avail
-        many = level.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-        rows = level.join(many, "path")
+        rows = _sized(level)
         small = rows.where(f"n <= {limit}") if depth < DEPTH else rows
         tasks = block_pairs(small, "path", "n", "rep", BUCKET if depth == 1 else 4 * BUCKET).select("task", "rep", "sig")
         edges.append(tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_compare, "u long, v long"))
