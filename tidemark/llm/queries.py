@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, lm, mixing, near, packing, quality, secrets, toxicity, vectors
+from . import bpe, chat, copies, lm, mixing, near, negatives, packing, quality, repair, secrets, toxicity, vectors
 from .common import table
 
 
@@ -58,5 +58,20 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat, op2_near_copies, op3_lm_scores, op4_mix_sources, op5_secrets, op6_quality, op7_near_vectors, op8_bpe, op9_toxicity, op10_token_files)}
-ORACLE = {"op4_mix_sources": mixing.SQL}
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies.exact_copies(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_chat, op2_near_copies, op3_lm_scores, op4_mix_sources, op5_secrets, op6_quality, op7_near_vectors, op8_bpe, op9_toxicity, op10_token_files, op11_repair, op12_exact_copies, op13_hard_negatives)
+}
+ORACLE = {"op4_mix_sources": mixing.SQL, "op12_exact_copies": copies.SQL, "op13_hard_negatives": negatives.SQL}
