@@ -1,13 +1,16 @@
 """Atomic loads of entities: a batch lands whole or not at all, and every attempt leaves a run record.
 
-The steps are plans over the batch: rejects, last row of a key, expectations in one pass, change detection by payload hash.
-Everything is written unseen first; then pointers are published, the entity's own last, so that a run that fails or dies
-leaves the tables as they were.
+A run is committed as running before anything else. Its rows, rejects, expectations, watermark and the end of its record are
+staged and become visible by one commit; a failure leaves nothing but a failed run, a killed driver a running one.
+
+Entity tables are laid out in buckets by a hash of the key, and rows carry the hash of their payload. A batch is compared
+with key, hash and first arrival of its own buckets, in one join, and only buckets with changes are written anew.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
@@ -17,17 +20,21 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Settings
 from tidemark.operators import cdc, quality
-from tidemark.operators.tables import Table
+from tidemark.operators.commits import Change, Log, LogTable
+from tidemark.operators.tables import Conflict
 from tidemark.sources.landing import REGISTRY, Entity
 
 RUN = "run_id string, batch_id string, entity string, started_at timestamp, finished_at timestamp, status string, rows_read long, rows_inserted long, rows_updated long, rows_unchanged long, rows_rejected long, error_message string"
 ORDER = tuple(n for n in ("offices", "staff", "loan_products", "savings_products", "clients", "loans", "savings_accounts", "loan_transactions") if n in REGISTRY)
+HASH, CONTROL = "_row_hash", ("runs", "rejects", "expectations")
+#: A batch that meets another writer's change of its buckets is merged again so often.
+ATTEMPTS = 5
 
 
 @dataclass(frozen=True)
 class Outcome:
     entity: str
-    status: str  # success, skipped (a dry run) or failed
+    status: str  # running, success, skipped (a dry run) or failed
     read: int = 0
     inserted: int = 0
     updated: int = 0
@@ -36,69 +43,147 @@ class Outcome:
     error: str | None = None
 
 
+@dataclass(frozen=True)
+class Batch:
+    """A batch as written: accepted rows (the last of each key), rejects, results of expectations; how many there are."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    checks: DataFrame | None
+    read: int
+    rejected: int
+
+
 class Lake:
-    """The entity tables of one folder, with the control tables runs, rejects, expectations and watermarks beside them."""
+    """The entity tables of one folder, with the control tables runs, rejects, expectations and watermarks beside them, all
+    under one commit log. bucket_rows: of a bucket of an entity table, about."""
+
+    def __init__(self, spark: SparkSession, path: str, settings: Settings | None = None, bucket_rows: int = 1 << 20):
+        self.spark, self.path, self.set, self.bucket_rows = spark, path.rstrip("/"), settings or Settings(), bucket_rows
+        self.log = Log(spark, path)
 
-    def __init__(self, spark: SparkSession, path: str, settings: Settings | None = None):
-        self.spark, self.path, self.set = spark, path.rstrip("/"), settings or Settings()
+    def table(self, name: str) -> LogTable:
+        return self.log.table(name)
 
-    def table(self, name: str) -> Table:
-        return Table(self.spark, f"{self.path}/{name}")
+    def _staged_run(self, out: Outcome, run: str, batch: str, started: dt.datetime, finished: dt.datetime | None) -> list[dict]:
+        row = (run, batch, out.entity, started, finished, out.status, out.read, out.inserted, out.updated, out.unchanged, out.rejected, out.error and out.error[:2000])
+        folders = self.table("runs").stage(self.spark.createDataFrame([row], RUN).coalesce(1))
+        return [{**x, "open": True} for x in folders] if finished is None else folders
 
-    def _record(self, out: Outcome, run: str, batch: str, began: dt.datetime, now: dt.datetime) -> None:
-        row = (run, batch, out.entity, began, now, out.status, out.read, out.inserted, out.updated, out.unchanged, out.rejected, (out.error or "")[:2000] or None)
-        self.table("runs").append(self.spark.createDataFrame([row], RUN).coalesce(1))
+    def load(self, entity: Entity, rows: DataFrame, now: dt.datetime, batch: str | None = None, arrival: str | None = None, dry_run: bool = False) -> Outcome:
+        """Loads rows of an entity as of `now`. arrival: the column by which the last of equal keys wins; without it, repeated
+        keys fail the batch where the entity expects unique ones."""
+        run, batch, began = uuid.uuid4().hex, batch or uuid.uuid4().hex, time.monotonic()
+        opened = self._staged_run(Outcome(entity.name, "running"), run, batch, now, None)
+        self.log.commit({"runs": Change(RUN, opened)}, f"begin {run}")
+
+        def ended(out: Outcome) -> dict[str, Change]:
+            folders = self._staged_run(out, run, batch, now, now + dt.timedelta(seconds=time.monotonic() - began))
+            return {"runs": Change(RUN, folders, gone={x["path"] for x in opened})}
 
-    def load(self, entity: Entity, rows: DataFrame, now: dt.datetime, batch: str = "", arrival: str | None = None, dry_run: bool = False) -> Outcome:
-        """rows: the entity's columns as landed, and `arrival`, which says what came last where a key comes twice. Fails,
-        with nothing landed, above the settings' share of rejects or on an expectation of severity error."""
-        run, batch = uuid.uuid4().hex, batch or uuid.uuid4().hex
         try:
-            out = self._load(entity, rows, now, batch, arrival, dry_run)
+            ready = self._prepare(entity, rows, f"{self.path}/batches/{run}", arrival)
+            if dry_run:
+                out = Outcome(entity.name, "skipped", read=ready.read, rejected=ready.rejected)
+                self.log.commit(ended(out), f"end {run}")
+            else:
+                for attempt in range(ATTEMPTS):
+                    try:
+                        out, changes = self._merged(entity, ready, now, batch, f"{self.path}/batches/{run}/{attempt}")
+                        self.log.commit(changes | ended(out), f"end {run}")
+                        break
+                    except Conflict:
+                        if attempt == ATTEMPTS - 1:
+                            raise
         except Exception as e:  # whatever it was, the attempt is on record and the caller goes on
             out = Outcome(entity.name, "failed", error=str(e).strip() or type(e).__name__)
-        self._record(out, run, batch, now, now)
+            self.log.commit(ended(out), f"end {run}")
+        self.log.store.delete(f"{self.path}/batches/{run}")
+        self.log.tidy(CONTROL)
         return out
 
-    def _load(self, entity: Entity, rows: DataFrame, now: dt.datetime, batch: str, arrival: str | None, dry_run: bool) -> Outcome:
+    def _prepare(self, entity: Entity, rows: DataFrame, at: str, arrival: str | None) -> Batch:
+        """The source is read once, into what the later steps read; raises if the batch is not to be loaded."""
         business = [c for c in entity.columns if c != entity.key]
-        good, bad = quality.split_rejects(rows, entity.key, business, entity.name)
-        own = good if arrival is None else cdc.last_wins(good, [entity.key], arrival)
-        # the batch is read several times from here on, and must be the same each time
-        own_at, bad_at = f"{self.path}/batches/{batch}-{entity.name}", f"{self.path}/batches/{batch}-{entity.name}-rejects"
-        own.select(*entity.columns).write.mode("overwrite").parquet(own_at)
-        bad.write.mode("overwrite").parquet(bad_at)
-        own, bad = self.spark.read.parquet(own_at), self.spark.read.schema("entity string, source_key string, rule string, payload string").parquet(bad_at)
-        rejected, read = bad.count(), rows.count()
+        rule = quality.reject_rule(entity.key, business)
+        marked = rows.select(rule.isNotNull().alias("bad"), F.struct(*rows.columns).alias("row"), F.when(rule.isNotNull(), F.struct(*quality.reject_row(rows, entity.key, rule, entity.name))).alias("reject"))
+        marked.write.parquet(f"{at}/read")
+        whole = self.spark.read.schema(marked.schema).parquet(f"{at}/read")
+        n = {r.bad: r["count"] for r in whole.groupBy("bad").count().collect()}
+        accepted, rejected = n.get(False, 0), n.get(True, 0)
+        read = accepted + rejected
         if read and rejected / read > self.set.max_reject_ratio:
             raise ValueError(f"reject ratio {rejected / read:.1%} exceeds {self.set.max_reject_ratio:.1%} ({rejected} of {read} rows)")
-        checks = quality.expectations(own, list(entity.expectations)) if entity.expectations else None
-        failed = [r.check_name for r in checks.where("not passed and severity = 'error'").collect()] if checks else []
-        if failed:
-            raise ValueError(f"failed expectations: {', '.join(failed)}")
-        n = own.count()
-        if dry_run:
-            return Outcome(entity.name, "skipped", read=n, rejected=rejected)
-        target, columns = self.table(entity.name), list(entity.columns)
-        after = (target.versions() or [0])[-1]
-        stamped = own.withColumns({"_ingested_at": F.lit(now).cast("timestamp"), "_updated_at": F.lit(now).cast("timestamp")})
-        if after:
-            old = target.read(after)
-            changes = cdc.classify_changes(old, own, [entity.key], columns)
-            count = {r.change: r["count"] for r in changes.groupBy("change").count().collect()}
-            new = cdc.upsert(old, stamped, [entity.key], columns, now, kept="_ingested_at")
+        own = whole.where("not bad").select("row.*")
+        if arrival is not None:
+            cdc.last_wins(own, [entity.key], arrival).select(*entity.columns).write.parquet(f"{at}/last")
+            own = self.spark.read.parquet(f"{at}/last")
+            accepted = own.count()
+        own = own.select(*entity.columns)
+        checks = None
+        if entity.expectations:
+            checks = quality.expectations(own, list(entity.expectations))
+            failed = [r.check_name for r in checks.where("not passed and severity = 'error'").collect()]
+            if failed:
+                raise ValueError(f"failed expectations: {', '.join(failed)}")
+        return Batch(own, whole.where("bad").select("reject.*"), checks, accepted, rejected)
+
+    def _buckets(self, rows: int) -> int:
+        """A power of two, so that a bucket holds about bucket_rows or less."""
+        return 1 << max(0, (-(-rows // self.bucket_rows) - 1).bit_length())
+
+    def _merged(self, entity: Entity, batch: Batch, now: dt.datetime, name: str, at: str) -> tuple[Outcome, dict[str, Change]]:
+        """What the batch changes, staged. An unchanged row stays as it was, and a changed one keeps its first arrival."""
+        table, key = self.table(entity.name), entity.key
+        stamp = F.lit(now).cast("timestamp")
+        own = batch.rows.withColumns({HASH: F.unhex(cdc.payload_hash(*entity.columns)), "_ingested_at": stamp, "_updated_at": stamp})
+        schema = ", ".join(f"`{a}` {b}" for a, b in own.dtypes)
+        old = table.pointer() if table.exists() else None
+        changes: dict[str, Change] = {}
+        if old is None:
+            count = {"inserted": batch.read}
+            table.buckets = (key, self._buckets(batch.read))
+            if batch.read:
+                changes[entity.name] = Change(schema, table.stage(own), parts=None, rows=batch.read, notes={"buckets": list(table.buckets)})
+            else:
+                changes[entity.name] = Change(schema, [], parts=None, notes={"buckets": list(table.buckets)})
         else:
-            count, new = {"inserted": n}, stamped
-        staged = target.stage(new) if set(count) - {"unchanged"} else None
-        stamp = {"batch_id": F.lit(batch), "recorded_at": F.lit(now).cast("timestamp")}
-        self.table("rejects").append(bad.withColumns({"batch_id": F.lit(batch), "rejected_at": F.lit(now).cast("timestamp")}))
-        if checks:
-            self.table("expectations").append(checks.withColumns({"entity": F.lit(entity.name), **stamp}))
+            parts = lambda df: {r.p for r in df.select(table.part().alias("p")).distinct().collect()}  # noqa: E731 - buckets, at most
+            there = table.frame(old, parts(own).__contains__).select(key, F.col(HASH).alias("_was"), F.col("_ingested_at").alias("_first"))
+            state = F.when(F.col("_first").isNull(), "inserted").when(F.col("_was") != F.col(HASH), "updated").otherwise("unchanged")
+            compared = own.join(there, key, "left").withColumns({"_change": state, "_ingested_at": F.coalesce("_first", "_ingested_at")}).drop("_was", "_first")
+            compared.write.parquet(at)
+            compared = self.spark.read.schema(compared.schema).parquet(at)
+            count = {r._change: r["count"] for r in compared.groupBy("_change").count().collect()}
+            changed = compared.where("_change <> 'unchanged'").drop("_change")
+            if set(count) - {"unchanged"}:
+                grown = old["rows"] + count.get("inserted", 0)
+                again = self._buckets(grown) >= 4 * table.buckets[1]  # the table has outgrown its buckets
+                touched = None if again else parts(changed)
+                within = lambda value: touched is None or value in touched
+                gone = [x for x in old["folders"] if within(x["part"])]
+                stay = table.frame(old, within).join(changed.select(key), key, "left_anti")
+                if again:
+                    table.buckets = (key, self._buckets(grown))
+                folders = table.stage(stay.select(*own.columns).unionByName(changed.select(*own.columns)))
+                changes[entity.name] = Change(schema, folders, gone, touched, {x["path"] for x in gone}, count.get("inserted", 0), {"buckets": list(table.buckets)})
+        record = {"batch_id": F.lit(name), "recorded_at": stamp}
+        appended = {"rejects": batch.rejects.withColumns({"batch_id": F.lit(name), "rejected_at": stamp}) if batch.rejected else None, "expectations": batch.checks.withColumns({"entity": F.lit(entity.name), **record}) if batch.checks else None}
+        for n, df in appended.items():
+            if df is not None:
+                changes[n] = Change(", ".join(f"`{a}` {b}" for a, b in df.dtypes), self.table(n).stage(df.coalesce(1) if n == "expectations" else df))
+        changes["watermarks"] = self._watermark(entity, batch.rows, now)
+        return Outcome(entity.name, "success", batch.read, *[count.get(k, 0) for k in ("inserted", "updated", "unchanged")], batch.rejected), changes
+
+    def _watermark(self, entity: Entity, rows: DataFrame, now: dt.datetime) -> Change:
+        """The entity's folder of the watermarks, in place of its former one."""
         marks = self.table("watermarks")
-        marks.merge(cdc.watermark(marks.read() if marks.exists() else None, own, entity.name, entity.key, now), ["entity"])
-        if staged:
-            target.publish(staged, ", ".join(f"`{a}` {b}" for a, b in new.dtypes), after)
-        return Outcome(entity.name, "success", n, *[count.get(k, 0) for k in ("inserted", "updated", "unchanged")], rejected)
+        old = marks.pointer()["folders"] if marks.exists() else []
+        before = [x for x in old if x["part"] == entity.name]
+        previous = marks.frame(marks.pointer(), lambda value: value == entity.name) if before else None
+        new = cdc.watermark(previous, rows, entity.name, entity.key, now)
+        folders = [{**x, "part": entity.name} for x in marks.stage(new.coalesce(1))]
+        return Change(", ".join(f"`{a}` {b}" for a, b in new.dtypes), folders, old, {entity.name}, {x["path"] for x in before})
 
     def load_all(self, source: Callable[[str], DataFrame], now: dt.datetime, entities: Iterable[str] | None = None, fail_fast: bool = False, dry_run: bool = False, arrival: str | None = None) -> list[Outcome]:
         """Loads entities in their order, parents before children; a failed one is on record and the rest go on, unless
@@ -111,6 +196,14 @@ class Lake:
                 break
         return out
 
+    def vacuum(self, keep: int = 2, grace_hours: float = 24.0) -> int:
+        """Removes all commits but the newest ones, data that these don't name, and what killed loads have left."""
+        since = time.time() * 1000 - grace_hours * 3_600_000
+        for n, _, _, changed in self.log.store.entries(f"{self.path}/batches"):
+            if changed <= since:
+                self.log.store.delete(f"{self.path}/batches/{n}")
+        return self.log.vacuum(keep, grace_hours)
+
     def parents(self, limit: int | None = None) -> DataFrame:
         """Disbursed loans, last touched first: those whose transactions are to be fetched. limit: the newest so many."""
         loans = self.table("loans").read().where("disbursed_on_date is not null").orderBy(F.coalesce("_updated_at", "_ingested_at").desc(), "loan_id").select("loan_id")

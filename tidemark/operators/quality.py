@@ -24,16 +24,21 @@ class Expectation:
     high: float | None = None
 
 
+def reject_rule(key: str, business: list[str]) -> Column:
+    """Which rule a row breaks; NULL for a valid one."""
+    empty = reduce(operator.and_, [F.col(c).isNull() for c in business])
+    return F.when(F.col(key).isNull(), "primary_key_not_null").when(F.col(key) < 0, "primary_key_positive").when(empty, "record_not_empty")
+
+
+def reject_row(df: DataFrame, key: str, rule: Column, entity: str) -> list[Column]:
+    """entity, source_key, rule and the row as JSON."""
+    return [F.lit(entity).alias("entity"), F.col(key).cast("string").alias("source_key"), rule.alias("rule"), F.to_json(F.struct(*df.columns)).alias("payload")]
+
+
 def split_rejects(df: DataFrame, key: str, business: list[str], entity: str) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and rejects with entity, source_key, rule and the row as JSON."""
-    rule = (
-        F.when(F.col(key).isNull(), "primary_key_not_null")
-        .when(F.col(key) < 0, "primary_key_positive")
-        .when(reduce(operator.and_, [F.col(c).isNull() for c in business]), "record_not_empty")
-    )
-    marked = df.withColumn("_rule", rule)
-    bad = marked.where("_rule is not null").select(F.lit(entity).alias("entity"), F.col(key).cast("string").alias("source_key"), F.col("_rule").alias("rule"), F.to_json(F.struct(*df.columns)).alias("payload"))
-    return marked.where("_rule is null").drop("_rule"), bad
+    rule = reject_rule(key, business)
+    return df.where(rule.isNull()), df.where(rule.isNotNull()).select(*reject_row(df, key, rule, entity))
 
 
 def expectations(df: DataFrame, checks: list[Expectation]) -> DataFrame:
