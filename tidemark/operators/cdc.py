@@ -7,6 +7,7 @@ operator gives the same result whatever the order of arrival.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,19 +17,37 @@ ORDER = ("_version", "_lsn", "_tx_id")
 META = ("_op", "_source_commit_at", "_cdc_read_at", "_version", "_lsn", "_tx_id", "_is_deleted", "_landed_at")
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """The name, or one like it that no column has; case doesn't tell names apart."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _rest(df: DataFrame) -> list[str]:
+    return [c for c, t in sorted(df.dtypes) if c not in ORDER and not t.startswith(("map", "variant"))]
+
+
 def order(df: DataFrame) -> Column:
     """Equal versions fall back on the log position, then on a hash of the whole row, so that ties have one result. The
     order is a few numbers: an aggregate that keeps it doesn't keep a second copy of the row."""
-    rest = [c for c, t in sorted(df.dtypes) if c not in ORDER and not t.startswith(("map", "variant"))]
-    return F.struct(*[F.col(c) for c in ORDER if c in df.columns], F.xxhash64(*rest).alias("_hash"))
+    return F.struct(*[F.col(c) for c in ORDER if c in df.columns], F.xxhash64(*_rest(df)).alias("_hash"))
+
+
+def narrow(df: DataFrame, keys: Iterable[str], columns: Iterable[str]) -> DataFrame:
+    """The columns that a collapse needs besides those that are asked for. The hash of ties has to read what is there, so a
+    reader of few columns says so before the collapse, and the scan reads these alone."""
+    return df.select(*dict.fromkeys([*keys, *columns, *[c for c in (*ORDER, "_is_deleted", "_source_commit_at") if c in df.columns]]))
 
 
-def newest(df: DataFrame, *keys: str) -> DataFrame:
-    """The newest row of each key. Spark keeps one row of a key in each task before the shuffle (a group limit), so a key
-    with very many versions is no hot spot; the tie is hashed there too and doesn't hinder the pruning of columns."""
-    rest = [c for c, t in sorted(df.dtypes) if c not in ORDER and not t.startswith(("map", "variant"))]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in ORDER if c in df.columns], F.col("_tie").desc())
-    return df.withColumn("_tie", F.xxhash64(*rest)).withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_tie", "_nth")
+def newest(df: DataFrame, *keys: str, columns: Iterable[str] | None = None) -> DataFrame:
+    """The newest row of each key; with `columns`, of these and the change metadata alone. Spark keeps one row of a key in
+    each task before the shuffle (a group limit), so a key with very many versions is no hot spot."""
+    df = df if columns is None else narrow(df, keys, columns)
+    tie, nth = free_name("_tie", df), free_name("_nth", df)
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in ORDER if c in df.columns], F.col(tie).desc())
+    return df.withColumn(tie, F.xxhash64(*_rest(df))).withColumn(nth, F.row_number().over(w)).where(F.col(nth) == 1).drop(tie, nth)
 
 
 def current_rows(df: DataFrame, *keys: str) -> DataFrame:
@@ -45,7 +64,7 @@ def latest_by_key(df: DataFrame, keys: list[str], columns: list[str], skip_nulls
     if skip_nulls:
         by = order(df)
         return df.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), by)).alias(n) for c, n in named.items()], F.max("_version").alias("cdc_version"))
-    return newest(df, *keys).select(*keys, *[F.col(c).alias(n) for c, n in named.items()], F.col("_version").alias("cdc_version"))
+    return newest(df, *keys, columns=columns).select(*keys, *[F.col(c).alias(n) for c, n in named.items()], F.col("_version").alias("cdc_version"))
 
 
 def incremental_filter(df: DataFrame, target: DataFrame | None, column: str, target_column: str, hours: int = 48) -> DataFrame:
@@ -69,9 +88,10 @@ def payload_hash(*columns: str) -> Column:
 
 def classify_changes(target: DataFrame, batch: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """The batch with `change`: inserted, updated or unchanged, by payload hash."""
-    old = target.select(*keys, payload_hash(*columns).alias("_old"), F.lit(True).alias("_there"))
-    state = F.when(F.col("_there").isNull(), "inserted").when(~F.col("_old").eqNullSafe(payload_hash(*columns)), "updated").otherwise("unchanged")
-    return batch.join(old, keys, "left").withColumn("change", state).drop("_old", "_there")
+    was, there = free_name("_old", batch), free_name("_there", batch)
+    old = target.select(*keys, payload_hash(*columns).alias(was), F.lit(True).alias(there))
+    state = F.when(F.col(there).isNull(), "inserted").when(~F.col(was).eqNullSafe(payload_hash(*columns)), "updated").otherwise("unchanged")
+    return batch.join(old, keys, "left").withColumn("change", state).drop(was, there)
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], columns: list[str], now: dt.datetime, touched: str = "_updated_at", kept: str | None = None) -> DataFrame:
@@ -85,8 +105,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], columns: list[s
 
 def last_wins(batch: DataFrame, keys: list[str], arrival: str) -> DataFrame:
     """Of rows with one key in a batch, the last to arrive."""
-    w = Window.partitionBy(*keys).orderBy(F.col(arrival).desc())
-    return batch.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    nth = free_name("_nth", batch)
+    return batch.withColumn(nth, F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(arrival).desc()))).where(F.col(nth) == 1).drop(nth)
 
 
 def surrogate_union(frames: dict[str, DataFrame], name: str = "entity") -> DataFrame:

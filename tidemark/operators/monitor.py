@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc
+from tidemark.operators.quantiles import quantiles
 
 
 def _age(run_ts, c: str):
@@ -19,11 +20,13 @@ def cdc_freshness(audit: DataFrame, run_ts, hours: int = 24) -> DataFrame:
     age = F.unix_micros(F.lit(run_ts).cast("timestamp")) - F.unix_micros("source_commit_at")
     within = lambda minutes: F.count_if(age < minutes * 60_000_000)
     op = lambda x: F.count_if(F.col("op") == x)
-    return audit.where(age < hours * 3_600_000_000).groupBy("source_table").agg(
-        F.max("source_commit_at").alias("last_source_commit_at"), F.max("landed_at").alias("last_landed_at"), F.min(_age(run_ts, "source_commit_at")).alias("freshness_seconds"), (F.percentile("lag_ms", F.lit(0.5)) / 1000).alias("lag_p50_seconds"),
-        (F.percentile("lag_ms", F.lit(0.95)) / 1000).alias("lag_p95_seconds"), (F.max("lag_ms") / 1000).alias("lag_max_seconds"), within(5).alias("events_last_5m"), within(60).alias("events_last_1h"),
-        op("c").alias("creates"), op("u").alias("updates"), op("d").alias("deletes"), op("r").alias("snapshot_reads"),
+    recent = audit.where(age < hours * 3_600_000_000)
+    lag = quantiles(recent, ["source_table"], F.col("lag_ms"), {"lag_p50_seconds": 0.5, "lag_p95_seconds": 0.95})
+    counts = recent.groupBy("source_table").agg(
+        F.max("source_commit_at").alias("last_source_commit_at"), F.max("landed_at").alias("last_landed_at"), F.min(_age(run_ts, "source_commit_at")).alias("freshness_seconds"), (F.max("lag_ms") / 1000).alias("lag_max_seconds"),
+        within(5).alias("events_last_5m"), within(60).alias("events_last_1h"), op("c").alias("creates"), op("u").alias("updates"), op("d").alias("deletes"), op("r").alias("snapshot_reads"),
     )
+    return counts.join(lag, "source_table", "left").withColumns({n: F.col(n) / 1000 for n in ("lag_p50_seconds", "lag_p95_seconds")})
 
 
 def raw_health(tables: dict[str, DataFrame], run_ts) -> DataFrame:
@@ -38,7 +41,7 @@ def reconciliation(tables: dict[str, DataFrame], keys: dict[str, str], collapsed
         k, df = keys[name], tables[name]
         if not collapsed:
             return df.agg(F.countDistinct(k).alias("distinct_keys"), F.countDistinct(F.when(F.col("_is_deleted") == 0, F.col(k))).alias("live_keys"))
-        return cdc.newest(df, k).agg(F.count("*").alias("distinct_keys"), F.count_if(F.col("_is_deleted") == 0).alias("live_keys"))
+        return cdc.newest(df, k, columns=[]).agg(F.count("*").alias("distinct_keys"), F.count_if(F.col("_is_deleted") == 0).alias("live_keys"))
 
     return cdc.surrogate_union({n: one(n) for n in tables}, "entity")
 
@@ -58,7 +61,8 @@ def caught_up(delta: DataFrame, fresh: DataFrame, tolerance: int = 0, max_lag: f
 
 def latest_run(runs: DataFrame, key: str, started: str, *tie: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(F.col(started).desc(), *[F.col(c).desc() for c in tie])
-    return runs.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    nth = cdc.free_name("_nth", runs)
+    return runs.withColumn(nth, F.row_number().over(w)).where(F.col(nth) == 1).drop(nth)
 
 
 def last_success(runs: DataFrame, run_ts, max_age_seconds: int) -> DataFrame:

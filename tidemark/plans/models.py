@@ -15,12 +15,20 @@ from pyspark.sql import functions as F
 from tidemark.config import Settings
 from tidemark.functions import scalars as s
 from tidemark.operators import asof, cdc
+from tidemark.operators.quantiles import quantiles
 
 DETAIL = ("source_ingested_at", "source_updated_at")
 MONEY = (
     "principal approved_principal principal_disbursed principal_paid principal_written_off principal_outstanding principal_overdue interest_charged interest_paid interest_outstanding fee_charges_charged "
     "fee_charges_paid penalty_charges_charged total_expected_repayment total_repayment total_outstanding total_overdue delinquent_amount"
 ).split()
+#: Raw columns that a derived column of the loans reads, and the one that a column of the ledger does.
+_LATE = {"delinquent_days", "overdue_since_date"}
+LOAN_INPUTS = {
+    "status": {"status_value"}, "loan_key": set(), "cdc_commit_at": set(), "cdc_version": set(), "is_written_off": {"status_id"}, "days_past_due": _LATE, "par_bucket": _LATE, "is_in_default": _LATE, "principal_repaid_ratio": {"principal_paid", "principal_disbursed"},
+    "repayment_progress_ratio": {"total_repayment", "total_expected_repayment"}, "days_since_disbursement": {"disbursed_on_date"}, "term_days": {"expected_maturity_date", "disbursed_on_date"},
+}
+LEDGER_INPUTS = {"transaction_category": "type_id", "is_countable": "is_reversed", **{f"transaction_{x}": "transaction_date" for x in ("year", "month", "month_start", "day_of_week")}}
 LEDGER = "amount principal_portion interest_portion fee_charges_portion penalty_charges_portion overpayment_portion outstanding_loan_balance".split()
 
 
@@ -55,8 +63,8 @@ class Models:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         return self._keep(df, name) if self._keep and name in self.kept else df
 
-    def _current(self, entity: str, key: str, name: str) -> DataFrame:
-        df = cdc.current_rows(self.raw(entity), key)
+    def _current(self, entity: str, key: str, name: str, columns: list[str] | None = None) -> DataFrame:
+        df = cdc.newest(self.raw(entity), key, columns=columns).where("_is_deleted = 0")
         return df.withColumns({name: s.surrogate_key(key), "cdc_commit_at": F.col("_source_commit_at"), "cdc_version": F.col("_version")}).drop(*cdc.META)
 
     def _days(self, c: str) -> Column:
@@ -75,45 +83,66 @@ class Models:
             }
         )
 
+    def _loans(self, columns: list[str] | None = None) -> DataFrame:
+        """Staged loans, or what raw columns of them give: a derived column is there if those that it reads are."""
+        df = self._current("loans", "loan_id", "loan_key", columns).withColumnsRenamed({"status_value": "status"})
+        there = set(df.columns)
+        df = df.withColumns({m: s.money(m) for m in MONEY if m in there} | {f: F.coalesce(f, F.lit(0)) for f in ("is_active", "is_closed", "is_overpaid") if f in there})
+        late = lambda: s.days_past_due(F.col("delinquent_days"), F.col("overdue_since_date"), self.set.as_of)
+        made = {
+            "is_written_off": lambda: s.flag(F.col("status_id") == 601),
+            "days_past_due": late,
+            "par_bucket": lambda: s.par_bucket("days_past_due", self.set.par_edges),
+            "is_in_default": lambda: s.flag(F.col("days_past_due") > self.set.default_threshold_days),
+            "principal_repaid_ratio": lambda: s.ratio("principal_paid", "principal_disbursed"),
+            "repayment_progress_ratio": lambda: s.ratio("total_repayment", "total_expected_repayment"),
+            "days_since_disbursement": lambda: self._days("disbursed_on_date"),
+            "term_days": lambda: F.datediff("expected_maturity_date", "disbursed_on_date"),
+        }
+        first = ("is_written_off", "days_past_due")
+        for names in (first, [n for n in made if n not in first]):
+            df = df.withColumns({n: made[n]() for n in names if LOAN_INPUTS[n] <= there})
+        return df.drop("delinquent_days")
+
     @cached_property
     def stg_loans(self) -> DataFrame:
-        df = self._current("loans", "loan_id", "loan_key").withColumnRenamed("status_value", "status")
-        df = df.withColumns({m: s.money(m) for m in MONEY} | {f: F.coalesce(f, F.lit(0)) for f in ("is_active", "is_closed", "is_overpaid")})
-        df = df.withColumns({"is_written_off": s.flag(F.col("status_id") == 601), "days_past_due": s.days_past_due(F.col("delinquent_days"), F.col("overdue_since_date"), self.set.as_of)})
-        return self.keep(
-            df.drop("delinquent_days").withColumns(
-                {
-                    "par_bucket": s.par_bucket("days_past_due", self.set.par_edges),
-                    "is_in_default": s.flag(F.col("days_past_due") > self.set.default_threshold_days),
-                    "principal_repaid_ratio": s.ratio("principal_paid", "principal_disbursed"),
-                    "repayment_progress_ratio": s.ratio("total_repayment", "total_expected_repayment"),
-                    "days_since_disbursement": self._days("disbursed_on_date"),
-                    "term_days": F.datediff("expected_maturity_date", "disbursed_on_date"),
-                }
-            ),
-            "stg_loans",
-        )
+        return self.keep(self._loans(), "stg_loans")
+
+    def loans(self, *names: str) -> DataFrame:
+        """Columns of the staged loans: from the stage where it is kept, else collapsed from what these columns read alone."""
+        if self._keep and "stg_loans" in self.kept:
+            return self.stg_loans.select(*names)
+        raw = sorted({x for n in names for x in LOAN_INPUTS.get(n, {n})} - {"loan_id"})
+        return self._loans(raw).select(*names)
 
     def ledger(self, raw: DataFrame) -> DataFrame:
-        """Staged transactions from raw rows; deleted keys are still there, marked."""
+        """Staged transactions from raw rows, or from some of their columns; deleted keys are still there, marked."""
         meta = {*cdc.META, "transaction_id", "source_updated_at"}
         df = cdc.latest_by_key(raw, ["transaction_id"], [c for c in raw.columns if c not in meta])
-        d = F.col("transaction_date")
-        return df.withColumns({m: s.money(m) for m in LEDGER} | {"is_reversed": F.coalesce("is_reversed", F.lit(0))}).withColumns(
-            {
-                "transaction_category": s.category("type_id"),
-                "is_countable": F.when(F.col("is_reversed") == 1, 0).otherwise(1),
-                "transaction_year": F.year(d),
-                "transaction_month": F.month(d),
-                "transaction_month_start": F.trunc(d, "month"),
-                "transaction_day_of_week": F.weekday(d) + 1,
-            }
-        )
+        d, there = F.col("transaction_date"), set(raw.columns)
+        df = df.withColumns({m: s.money(m) for m in LEDGER if m in there} | ({"is_reversed": F.coalesce("is_reversed", F.lit(0))} if "is_reversed" in there else {}))
+        made = {
+            "transaction_category": lambda: s.category("type_id"),
+            "is_countable": lambda: F.when(F.col("is_reversed") == 1, 0).otherwise(1),
+            "transaction_year": lambda: F.year(d),
+            "transaction_month": lambda: F.month(d),
+            "transaction_month_start": lambda: F.trunc(d, "month"),
+            "transaction_day_of_week": lambda: F.weekday(d) + 1,
+        }
+        return df.withColumns({n: f() for n, f in made.items() if LEDGER_INPUTS[n] in there})
 
     @cached_property
     def stg_loan_transactions(self) -> DataFrame:
         return self.keep(self.ledger(self.raw("loan_transactions")).where("is_deleted = 0").drop("is_deleted"), "stg_loan_transactions")
 
+    def transactions(self, *names: str) -> DataFrame:
+        """Columns of the staged transactions, like loans()."""
+        if self._keep and "stg_loan_transactions" in self.kept:
+            return self.stg_loan_transactions.select(*names)
+        raw = self.raw("loan_transactions")
+        read = sorted({LEDGER_INPUTS.get(n, n) for n in names} - {"transaction_id"})
+        return self.ledger(cdc.narrow(raw, ["transaction_id"], read)).where("is_deleted = 0").select(*names)
+
     def stg_loan_transactions_incremental(self, target: DataFrame | None) -> DataFrame:
         """The target after what was committed since its newest commit less the lookback; keys deleted there go."""
         raw = cdc.incremental_filter(self.raw("loan_transactions"), target, "_source_commit_at", "cdc_commit_at", self.set.lookback_hours)
@@ -156,7 +185,7 @@ class Models:
         paid, lent = kind("repayment") & counts, kind("disbursement") & counts
         amount = F.when(paid, F.col("amount"))
         day = lambda c: F.when(c, F.col("transaction_date"))
-        t = self.stg_loan_transactions.withColumn("_gap", asof.gaps("loan_id", "transaction_date", ["transaction_id"], paid))
+        t = self.transactions("loan_id", "transaction_id", "transaction_date", "transaction_month_start", "transaction_category", "is_countable", "is_reversed", *LEDGER[:5]).withColumn("_gap", asof.gaps("loan_id", "transaction_date", ["transaction_id"], paid))
         by_loan = t.groupBy("loan_id").agg(
             count_if(paid).alias("repayment_count"),
             *[sum_if(c, paid).alias(n) for c, n in (("amount", "total_repaid"), ("principal_portion", "principal_repaid"), ("interest_portion", "interest_repaid"), ("fee_charges_portion", "fees_repaid"), ("penalty_charges_portion", "penalties_repaid"))],
@@ -191,7 +220,9 @@ class Models:
     @cached_property
     def client_portfolio(self) -> DataFrame:
         active = F.col("is_active") == 1
-        loans = self.stg_loans.groupBy("client_id").agg(
+        loans = self.loans(
+            "client_id", "product_id", "is_active", "is_closed", "is_written_off", "days_past_due", "is_in_default", "principal", "principal_disbursed", "total_repayment", "principal_outstanding", "total_outstanding", "total_overdue", "principal_written_off", "disbursed_on_date", "closed_on_date"
+        ).groupBy("client_id").agg(
             F.count("*").alias("total_loans"),
             count_if(active).alias("active_loans"),
             count_if(F.col("is_closed") == 1).alias("closed_loans"),
@@ -262,7 +293,8 @@ class Models:
     def _book(self, by: str) -> DataFrame:
         """What several dimensions say about the loans of one of their members."""
         active = F.col("is_active") == 1
-        return self.stg_loans.where(F.col(by).isNotNull()).groupBy(by).agg(
+        book = self.loans(by, *[c for c in ("client_id", "is_active", "is_closed", "is_written_off", "days_past_due", "principal", "principal_disbursed", "principal_outstanding", "total_outstanding", "total_overdue", "principal_written_off") if c != by])
+        return book.where(F.col(by).isNotNull()).groupBy(by).agg(
             F.count("*").alias("total_loans"),
             count_if(active).alias("active_loans"),
             count_if(F.col("is_closed") == 1).alias("closed_loans"),
@@ -276,7 +308,6 @@ class Models:
             total("principal_disbursed").alias("lifetime_disbursed"),
             total("principal_written_off").alias("lifetime_written_off"),
             mean("principal").alias("avg_principal"),
-            F.median(F.col("principal").cast("double")).alias("median_principal"),
             F.avg(F.col("days_past_due").cast("double")).alias("avg_days_past_due"),
         )
 
@@ -304,7 +335,8 @@ class Models:
     def dim_loan_product(self) -> DataFrame:
         book = self._book("product_id").withColumnsRenamed({"total_outstanding": "current_outstanding", "total_overdue": "current_overdue"}).drop("principal_outstanding", "active_delinquent_loans")
         p = self.stg_loan_products.drop("cdc_commit_at", "cdc_version", *DETAIL).withColumnRenamed("is_active", "is_product_active")
-        df = p.join(book, "product_id", "left")
+        middle = quantiles(self.loans("product_id", "principal").where("product_id is not null"), ["product_id"], F.col("principal"), {"median_principal": 0.5})
+        df = p.join(book, "product_id", "left").join(middle, "product_id", "left")
         df = df.withColumns({"par_ratio": s.ratio("current_overdue", "current_outstanding"), "write_off_rate": s.ratio("written_off_loans", "total_loans"), "delinquency_rate": s.ratio("delinquent_loans", "active_loans")})
         return df.withColumns({n: F.coalesce(n, F.lit(0)) for n in book.columns[1:] if not n.startswith(("avg_", "median_"))})
 
@@ -340,7 +372,7 @@ class Models:
 
     def transaction_facts(self, transactions: DataFrame) -> DataFrame:
         """Facts of staged transactions. Loan attributes are those of now; rows outside an incremental batch keep older ones."""
-        loans = self.stg_loans.select("loan_id", "client_id", "product_id", F.col("office_id").alias("_office"), "loan_officer_id", F.col("status").alias("loan_status"), F.col("par_bucket").alias("loan_par_bucket_now"), "disbursed_on_date")
+        loans = self.loans("loan_id", "client_id", "product_id", "office_id", "loan_officer_id", "status", "par_bucket", "disbursed_on_date").withColumnsRenamed({"office_id": "_office", "status": "loan_status", "par_bucket": "loan_par_bucket_now"})
         t = transactions.drop("cdc_version", "source_ingested_at").withColumnRenamed("cdc_commit_at", "source_updated_at").withColumn("amount_including_reversals", F.col("amount"))
         counts = F.col("is_countable") == 1
         only = lambda kind: F.when(counts & (F.col("transaction_category") == kind), F.col("amount_including_reversals")).otherwise(F.lit(0)).cast("decimal(38,6)")
@@ -368,7 +400,8 @@ class Models:
         """Today's rows; `tables.replace_day` keeps earlier days. It can't be rebuilt for days that have passed."""
         active = F.col("is_active") == 1
         late = lambda d: active & (F.col("days_past_due") > d)
-        df = self.stg_loans.groupBy("office_id", "product_id").agg(
+        loans = self.loans("office_id", "product_id", "client_id", "is_active", "is_closed", "is_written_off", "days_past_due", "principal", "principal_outstanding", "interest_outstanding", "total_outstanding", "total_overdue", "principal_disbursed", "principal_written_off")
+        df = loans.groupBy("office_id", "product_id").agg(
             F.count("*").alias("loans_total"), count_if(active).alias("loans_active"), count_if(F.col("is_closed") == 1).alias("loans_closed"), count_if(F.col("is_written_off") == 1).alias("loans_written_off"), count_if(late(0)).alias("loans_delinquent"),
             count_if(late(30)).alias("loans_par30"), count_if(late(90)).alias("loans_par90"), F.countDistinct("client_id").alias("distinct_borrowers"),
             *[sum_if(c, active).alias(c) for c in ("principal_outstanding", "interest_outstanding", "total_outstanding", "total_overdue")], sum_if("total_outstanding", late(30)).alias("par30_amount"), sum_if("total_outstanding", late(90)).alias("par90_amount"),
@@ -387,7 +420,8 @@ class Models:
             count_if(is_kind("repayment")).alias("repayment_count"), *[total(c).alias(n) for c, n in (("repayment_amount", "repayment_amount"), ("principal_portion", "principal_collected"), ("interest_portion", "interest_collected"), ("fee_charges_portion", "fees_collected"), ("penalty_charges_portion", "penalties_collected"))],
             count_if(F.col("is_reversed") == 1).alias("reversal_count"), F.countDistinct("loan_id").alias("loans_with_activity"), count_if(is_kind("disbursement")).alias("disbursement_count"), total("disbursement_amount").alias("disbursement_amount"), total("write_off_amount").alias("write_off_amount"),
         )
-        loans = self.stg_loans.where("disbursed_on_date is not null").groupBy(F.trunc("disbursed_on_date", "month").alias("month_start"), "office_id", "product_id")
+        originated = self.loans("office_id", "product_id", "client_id", "principal", "principal_disbursed", "submitted_on_date", "approved_on_date", "disbursed_on_date", "is_in_default", "is_written_off")
+        loans = originated.where("disbursed_on_date is not null").groupBy(F.trunc("disbursed_on_date", "month").alias("month_start"), "office_id", "product_id")
         vintages = loans.agg(
             F.count("*").alias("loans_originated"), total("principal_disbursed").alias("principal_originated"), F.countDistinct("client_id").alias("borrowers_served"), mean("principal").alias("avg_origination_principal"),
             F.avg(F.datediff("approved_on_date", "submitted_on_date").cast("double")).alias("avg_days_to_approval"), F.avg(F.datediff("disbursed_on_date", "approved_on_date").cast("double")).alias("avg_days_to_disbursement"),
@@ -398,13 +432,16 @@ class Models:
         df = df.withColumns({c: F.coalesce(c, F.lit(0)) for c in filled})
         return df.withColumn("net_cash_flow", (F.col("repayment_amount") - F.col("disbursement_amount")).cast("decimal(38,6)"))
 
+    def _repayments(self) -> DataFrame:
+        return self.transactions("loan_id", "transaction_date", "amount", "transaction_category", "is_countable").where("transaction_category = 'repayment' and is_countable = 1").select("loan_id", "transaction_date", "amount")
+
     @cached_property
     def default_features(self) -> DataFrame:
         """Features of a loan as they were known on its day of disbursement. prior_reversal_count is always 0: only countable
         repayments are looked at; the column is part of the contract."""
         loans = self.stg_loans.where("disbursed_on_date is not null")
         prior = asof.prior_loans(loans)
-        paid = self.stg_loan_transactions.where("transaction_category = 'repayment' and is_countable = 1").select("loan_id", "transaction_date", "amount")
+        paid = self._repayments()
         repaid = asof.prior_repayments(loans, paid)
         c = self.stg_clients.select("client_id", "gender", "legal_form", "client_type", "client_classification", "date_of_birth", "activation_date")
         p = self.stg_loan_products.select("product_id", "product_name", "default_principal")
@@ -424,8 +461,8 @@ class Models:
     @cached_property
     def scoring_features(self) -> DataFrame:
         since = lambda n: F.col("transaction_date") >= F.date_sub(self.today, n)
-        paid = self.stg_loan_transactions.where("transaction_category = 'repayment' and is_countable = 1").select("loan_id", "transaction_date", "amount")
-        recent = paid.join(self.stg_loans.select("loan_id", "client_id"), "loan_id").groupBy("client_id").agg(
+        paid = self._repayments()
+        recent = paid.join(self.loans("loan_id", "client_id"), "loan_id").groupBy("client_id").agg(
             *[count_if(since(n)).alias(f"repayments_last_{n}d") for n in (30, 90)], *[sum_if("amount", since(n)).alias(f"repaid_last_{n}d") for n in (30, 90)], F.max("transaction_date").alias("last_repayment_date")
         )
         whole = lambda x, n: F.coalesce(F.col(x), F.lit(0)).alias(n)
