@@ -263,7 +263,7 @@ def test_pages_of_every_resource_are_landed(spark):
         assert {c: rows[0][c] for c in want} == want, name
 
 
-@pytest.mark.parametrize("name", ["current_rows", "stg_loans", "fct_loan_transaction", "default_features", "portfolio_snapshot", "wire_landing", "reconciliation", "wire_round_trip", "atomic_load", "merged_by_month", "balance_sanity", "leakage_planted", "scoring_features"])
+@pytest.mark.parametrize("name", ["current_rows", "stg_loans", "fct_loan_transaction", "default_features", "portfolio_snapshot", "wire_landing", "reconciliation", "wire_round_trip", "topics_landed", "streamed_counts", "stream_collapsed", "atomic_load", "merged_by_month", "balance_sanity", "leakage_planted", "scoring_features"])
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
     for t in ("region", "nation", "customer", "supplier", "orders", "lineitem", "events"):

@@ -60,6 +60,9 @@ COLUMNS = {
     "atomic_load": "batch_id:s status:s rows_read:l rows_inserted:l rows_updated:l rows_unchanged:l rows_rejected:l",
     "load_order": "entity:s status:s rows_read:l rows_inserted:l rows_rejected:l",
     "stream_replay": "savings_id:l account_balance:d activated_on_date:t is_active:i _op:s _version:l",
+    "topics_landed": "entity:s messages:l distinct_keys:l live_keys:l",
+    "streamed_counts": "window_start:l source_table:s op:s events:l",
+    "stream_collapsed": "client_id:l office_id:l staff_id:l account_no:s external_id:s status_id:i status_value:s is_active:i office_name:s staff_name:s legal_form_value:s gender_value:s client_type_value:s client_classification_value:s firstname:s lastname:s display_name:s mobile_no:s email_address:s activation_date:t submitted_on_date:t closed_on_date:t date_of_birth:t _op:s _version:l _lsn:l _tx_id:l _is_deleted:i _source_commit_at:m _cdc_read_at:m _landed_at:m source_ingested_at:m source_updated_at:m",
     "cdc_freshness": "source_table:s last_source_commit_at:m last_landed_at:m freshness_seconds:l lag_p50_seconds:a lag_p95_seconds:a lag_max_seconds:d events_last_5m:l events_last_1h:l creates:l updates:l deletes:l snapshot_reads:l",
     "rolling_counts": "window_start:l source_table:s op:s events:l",
     "raw_health": "table_name:s row_count:l deleted_rows:l last_insert_at:m seconds_since_insert:l",

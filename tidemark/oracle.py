@@ -180,6 +180,7 @@ _LEAK = "SELECT loan_id, observation_date, feat_days_since_prior_loan, feat_days
 _leaks = lambda t: f"{_LEAK} FROM {t} WHERE feat_days_since_prior_loan <= 0 OR feat_days_since_prior_repayment <= 0 OR (feat_is_first_time_borrower = 1) <> (feat_prior_loan_count = 0)"
 SQL: dict[str, str] = {
     "current_rows": "SELECT * FROM now_clients",
+    "stream_collapsed": "SELECT * FROM now_clients",
     "latest_by_key": "SELECT transaction_id, arg_max_null(outstanding_loan_balance, _version * 1000000000000 + _lsn) AS newest, arg_max(outstanding_loan_balance, _version * 1000000000000 + _lsn) AS newest_known, arg_max_null(_is_deleted, _version * 1000000000000 + _lsn) AS is_deleted, max(_version) AS cdc_version, arg_max_null(_source_commit_at, _version * 1000000000000 + _lsn) AS cdc_commit_at FROM raw_loan_transactions GROUP BY transaction_id",
     "incremental_window": "SELECT * FROM raw_loan_transactions WHERE _source_commit_at >= (SELECT max(_source_commit_at) FROM raw_loan_transactions WHERE transaction_date < DATE '2000-01-01') - INTERVAL 48 HOUR",
     "merge_by_key": "SELECT * FROM stg_tx",
@@ -245,6 +246,9 @@ SQL: dict[str, str] = {
     "rolling_counts": "SELECT CAST(epoch(time_bucket(INTERVAL 5 MINUTE, source_commit_at)) AS BIGINT) AS window_start, source_table, op, count(*) AS events FROM audit GROUP BY 1, 2, 3",
     "raw_health": " UNION ALL ".join(f"SELECT '{e}' AS table_name, count(*) AS row_count, count(*) FILTER (_is_deleted = 1) AS deleted_rows, max(_landed_at) AS last_insert_at, CAST(epoch(TIMESTAMP '2024-01-31 00:00:00') - epoch(max(_landed_at)) AS BIGINT) AS seconds_since_insert FROM raw_{e}" for e in star.KEYS),
     "reconciliation": " UNION ALL ".join(f"SELECT '{e}' AS entity, (SELECT count(DISTINCT {k}) FROM raw_{e}) AS distinct_keys, (SELECT count(*) FROM now_{e}) AS live_keys" for e, k in star.KEYS.items()),
+    "topics_landed": " UNION ALL ".join(f"SELECT '{e}' AS entity, (SELECT count(*) FROM raw_{e}) AS messages, (SELECT count(DISTINCT {k}) FROM raw_{e}) AS distinct_keys, (SELECT count(*) FROM now_{e}) AS live_keys" for e, k in star.KEYS.items()),
+    "streamed_counts": """SELECT CAST(epoch(time_bucket(INTERVAL 5 MINUTE, source_commit_at)) AS BIGINT) AS window_start, source_table, op, count(*) AS events FROM audit WHERE NOT (lsn % 13 = 0 AND source_commit_at < TIMESTAMP '2024-01-08 00:00:00') GROUP BY 1, 2, 3
+        HAVING window_start + 300 <= epoch((SELECT max(source_commit_at) FROM audit) - INTERVAL 48 HOUR)""",
     "row_delta": "SELECT 'clients' AS entity, (SELECT count(*) FROM customer) AS source_rows, (SELECT count(*) FROM now_clients) AS live_keys, (SELECT count(*) FROM customer) - (SELECT count(*) FROM now_clients) AS delta UNION ALL SELECT 'loans', (SELECT count(*) FROM orders), (SELECT count(*) FROM now_loans), (SELECT count(*) FROM orders) - (SELECT count(*) FROM now_loans)",
     "latest_run": "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
     "par_by_branch": f"SELECT office_name, total_loans, round({_div('total_overdue * 100', 'total_outstanding')}, 2) AS par_percent FROM (SELECT o.office_name, b.total_loans, b.total_overdue, b.total_outstanding FROM stg_offices o JOIN book_office b ON o.office_id = b.office_id) WHERE total_outstanding > 0",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from tidemark.operators import cdc, load, monitor, quality
 from tidemark.operators.tables import Table
 from tidemark.plans.models import Models
 from tidemark.sources import landing, seeds, star
-from tidemark.streaming import continuous
+from tidemark.streaming import continuous, topics
 
 KINDS = {"d": "double", "l": "bigint", "i": "int", "s": "string", "t": "date", "b": "boolean"}
 AUDIT_RUN = dt.datetime(2024, 1, 31)
@@ -344,6 +345,55 @@ def stream_replay(x: Source) -> DataFrame:
     return now.select("savings_id", "account_balance", "activated_on_date", "is_active", "_op", "_version")
 
 
+def topics_landed(x: Source) -> DataFrame:
+    """All eight entities' versions as one log of messages, landed by one stream that routes them by topic. The log grows and
+    the stream starts anew from its checkpoint twice: what lands is every message, once."""
+    at, raws = shared.scratch(x.spark, "topics"), x.raws()
+
+    def messages(part: int) -> DataFrame:
+        of = lambda n, e: landing.as_events(raws[n].where(F.pmod(F.xxhash64(e.key, "_version"), F.lit(3)) == part), e, F.lit(n).alias("topic"), F.col(e.key).alias("key"), F.col("_version").alias("at"), F.col("_lsn").alias("lsn"))
+        return reduce(DataFrame.unionByName, [of(n, e) for n, e in landing.REGISTRY.items()])
+
+    for part in range(3):
+        topics.append(messages(part), f"{at}/log", F.col("key"), [F.col("at"), F.col("lsn"), F.col("value")])
+        continuous.land_topics(topics.stream(x.spark, f"{at}/log"), f"{at}/out", f"{at}/checkpoint", {"availableNow": True}).start().awaitTermination()
+
+    def one(name: str, e: landing.Entity) -> DataFrame:
+        typed = x.spark.read.parquet(f"{at}/out/typed/{name}").drop("stream", "batch", "_landed_at")
+        return cdc.newest(typed.select(e.key, "_version", "_lsn", "_tx_id", "_is_deleted"), e.key).agg(F.count("*").alias("distinct_keys"), F.count_if(F.col("_is_deleted") == 0).alias("live_keys"))
+
+    landed = x.spark.read.parquet(f"{at}/out/audit").groupBy(F.col("source_table").alias("entity")).agg(F.count("*").alias("messages"))
+    return cdc.surrogate_union({n: one(n, e) for n, e in landing.REGISTRY.items()}).join(landed, "entity")
+
+
+def streamed_counts(x: Source) -> DataFrame:
+    """Events by window as a stream in append mode, in three rounds: some of the eve come with the second, those of the first
+    week that come with the third are more than 48 hours late and dropped, and windows are out once nothing can change them."""
+    at, ts = shared.scratch(x.spark, "counts"), F.col("source_commit_at")
+    day = lambda n: F.lit(dt.datetime(2024, 1, n))
+    late = ((F.col("lsn") % 17 == 0) & (ts >= day(10)) & (ts < day(11)), (F.col("lsn") % 13 == 0) & (ts < day(8)))
+    rounds = F.when(late[1], 3).when(late[0], 2).when(ts < day(11), 1).when(ts < day(21), 2).otherwise(3)
+    events = x.audit()
+    for k in (1, 2, 3):
+        events.where(rounds == k).write.mode("append").parquet(f"{at}/in")
+        counts = monitor.rolling_counts(x.spark.readStream.schema(events.schema).parquet(f"{at}/in"))
+        counts.writeStream.format("parquet").outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{at}/checkpoint").start(f"{at}/out").awaitTermination()
+    return x.spark.read.parquet(f"{at}/out").withColumn("window_start", F.unix_seconds("window_start"))
+
+
+def stream_collapsed(x: Source) -> DataFrame:
+    """Clients' versions as a stream, newest first for some keys, in three rounds of which the last brings all of them again;
+    the table that it keeps is the current rows."""
+    at, raw = shared.scratch(x.spark, "collapse"), x.raw("clients")
+    table = Table(x.spark, f"{at}/clients", buckets=("client_id", 8))
+    first = (F.col("client_id") % 3 == 0) == (F.col("_version") % 2 == 0)
+    for part in (raw.where(first), raw.where(~first), raw):
+        part.write.mode("append").parquet(f"{at}/in")
+        versions = x.spark.readStream.schema(raw.schema).parquet(f"{at}/in")
+        continuous.collapse(versions, "client_id", table, f"{at}/checkpoint", {"availableNow": True}).start().awaitTermination()
+    return table.read()
+
+
 def par_by_branch(x: Source) -> DataFrame:
     d = x.models.dim_office.where("total_outstanding > 0")
     return d.select("office_name", "total_loans", F.round(s.ratio(F.col("total_overdue") * 100, F.col("total_outstanding")), 2).alias("par_percent")).orderBy(F.col("par_percent").desc())
@@ -371,7 +421,7 @@ BUILD: dict[str, Callable[[Source], DataFrame]] = {
     "last_success": lambda x: monitor.last_success(runs(x), AUDIT_RUN, 86400),
     "latest_tests": lambda x: monitor.latest_tests(quality.split_results(results(x))[0]), "model_runtimes": lambda x: monitor.model_runtimes(quality.split_results(results(x))[1]), "results_by_layer": results_by_layer,
     "recent_rejects": recent_rejects, "provisions": provisions, "backfill_guard": backfill_guard, "retained": retained, "merged_by_month": merged_by_month, "compacted": compacted, "table_files": table_files,
-    "wire_round_trip": wire_round_trip, "atomic_load": atomic_load, "load_order": load_order, "stream_replay": stream_replay,
+    "wire_round_trip": wire_round_trip, "atomic_load": atomic_load, "load_order": load_order, "stream_replay": stream_replay, "topics_landed": topics_landed, "streamed_counts": streamed_counts, "stream_collapsed": stream_collapsed,
     "cdc_freshness": lambda x: monitor.cdc_freshness(x.audit(), AUDIT_RUN, 720),
     "rolling_counts": lambda x: monitor.rolling_counts(x.audit()).withColumn("window_start", F.unix_seconds("window_start")),
     "raw_health": lambda x: monitor.raw_health(x.raws(), AUDIT_RUN),

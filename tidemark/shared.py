@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,14 @@ def folder(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers that start from now on import this package from where the driver has it."""
+    sc, root = spark.sparkContext, str(Path(__file__).resolve().parents[1])
+    here = sc.environment.get("PYTHONPATH", "")
+    if root not in here.split(os.pathsep):
+        sc.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, here) if x)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path under this session's part of the shared folder."""
     return f"{folder(spark)}/tidemark-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
