@@ -49,6 +49,11 @@ COLUMNS = {
     "latest_tests": "layer:s passed:l warned:l failed:l total_seconds:d executed_at:m",
     "model_runtimes": "model_name:s execution_time:d",
     "results_by_layer": "kind:s layer:s status:s severity:s n:l seconds:d",
+    "reject_totals": "entity:s rejects:l rules:l last_rejected_at:m",
+    "gate_isolated": "check_name:s value:d passed:b blocking:b error:s",
+    "results_history": "kind:s day:t n:l",
+    "parity": "entity:s source_rows:l live_keys:l delta:l",
+    "caught_up_all": "largest_delta:l largest_p95:a caught_up:b",
     "recent_rejects": "entity:s rule:s rejects:l",
     "provisions": "bucket_order:i bucket_name:s status_group:s loans:l provision:d",
     "backfill_guard": "entity:s rows_before:l rows_after:l shrank:b",

@@ -90,13 +90,15 @@ def model_runtimes(runs: DataFrame) -> DataFrame:
 
 
 def rejects(df: DataFrame, run_ts, hours: int = 24) -> DataFrame:
+    """Rejects of the last hours by entity and rule, most first."""
     return df.where(_age(run_ts, "rejected_at") < hours * 3600).groupBy("entity", "rule").agg(F.count("*").alias("rejects")).orderBy(F.col("rejects").desc(), "entity", "rule")
 
 
-def file_statistics(tables: dict[str, DataFrame]) -> DataFrame:
-    """Files, rows and size of each table, most files first."""
-    one = lambda df: df.groupBy(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("z")).agg(F.count("*").alias("n")).agg(F.count("*").alias("files"), F.sum("n").alias("rows"), F.round(F.sum("z") / 1048576, 2).alias("size_mb"))
-    return cdc.surrogate_union({k: one(df) for k, df in tables.items()}, "table_name").orderBy(F.col("files").desc(), "table_name")
+def reject_totals(df: DataFrame, run_ts, hours: int = 24) -> DataFrame:
+    """Rejects of the last hours by entity alone, with the number of rules that were broken and the latest reject."""
+    recent = df.where(_age(run_ts, "rejected_at") < hours * 3600)
+    by = recent.groupBy("entity", "rule").agg(F.count("*").alias("n"), F.max("rejected_at").alias("last"))
+    return by.groupBy("entity").agg(F.sum("n").alias("rejects"), F.count("rule").alias("rules"), F.max("last").alias("last_rejected_at")).orderBy(F.col("rejects").desc(), "entity")
 
 
 def rolling_counts(audit: DataFrame, width: str = "5 minutes") -> DataFrame:

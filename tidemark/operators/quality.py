@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import operator
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as s
+from tidemark.operators.tables import Table
 
 
 @dataclass(frozen=True)
@@ -155,27 +156,34 @@ def gate(checks: list[tuple[str, DataFrame, str, float, bool]]) -> DataFrame:
 
 
 def gate_of(parts: list[tuple[DataFrame, list[tuple[str, Column, str, float, bool]]]]) -> DataFrame:
-    """The gate's rows for (table, checks) pairs, where each check has an aggregate: one pass over each table answers all of
-    its checks. An aggregate that names a missing column fails by itself, with the error."""
-
-    def rows(df: DataFrame, checks: list[tuple[str, Column, str, float, bool]]) -> DataFrame:
-        values, errors = [], {}
-        for k, (name, value, *_) in enumerate(checks):
-            try:
-                df.agg(value).schema  # noqa: B018 - planned, not run
-                values.append(value.cast("double").alias(f"c{k}"))
-            except PySparkException as e:
-                errors[name] = str(e).split("\n")[0][:2000]
-                values.append(F.first(F.lit(None).cast("double")).alias(f"c{k}"))
-
-        def result(k: int, name: str, how: str, threshold: float, blocking: bool) -> Column:
-            value = F.col(f"c{k}")
-            ok = F.coalesce(_COMPARE[how](value, F.lit(float(threshold))), F.lit(False))
-            return F.struct(F.lit(name).alias("check_name"), value.alias("value"), ok.alias("passed"), F.lit(blocking).alias("blocking"), F.lit(errors.get(name)).cast("string").alias("error"))
-
-        return df.agg(*values).select(F.inline(F.array(*[result(k, n, how, t, b) for k, (n, _, how, t, b) in enumerate(checks)])))
-
-    return reduce(DataFrame.unionByName, [rows(df, checks) for df, checks in parts])
+    """The gate's rows for (table, checks) pairs, where each check has an aggregate. One pass over a table answers all of its
+    checks; if that can't be planned or fails while it runs, each check gets a pass of its own, so that one which fails is a
+    row with its error and the others keep their values. Runs when it is called."""
+    rows = []
+    for df, checks in parts:
+        try:
+            values = df.agg(*[value.cast("double").alias(f"c{k}") for k, (_, value, *_) in enumerate(checks)]).first()
+            answers: list[tuple[float | None, str | None]] = [(values[k], None) for k in range(len(checks))]
+        except Exception:  # one of them, or the table
+            answers = [_answer(df, value) for _, value, *_ in checks]
+        for (name, _, how, threshold, blocking), (value, error) in zip(checks, answers, strict=True):
+            rows.append((name, value, value is not None and _COMPARE[how](value, float(threshold)), blocking, error))
+    return parts[0][0].sparkSession.createDataFrame(rows, "check_name string, value double, passed boolean, blocking boolean, error string")
+
+
+def _answer(df: DataFrame, value: Column) -> tuple[float | None, str | None]:
+    try:
+        return df.agg(value.cast("double").alias("value")).first()[0], None
+    except Exception as e:
+        return None, (str(e).strip().split("\n")[0] or type(e).__name__)[:2000]
+
+
+def keep_results(results: DataFrame, tests: Table, models: Table, now: dt.datetime, days: int = 180) -> None:
+    """Appends a run's results to the two histories, which are partitioned by the `day` of the run, and lets go of what is
+    older than so many days; folders of whole days go unread."""
+    for rows, table in zip(split_results(results), (tests, models), strict=True):
+        table.append(rows.withColumn("day", F.to_date("executed_at")))
+        table.expire("day", days, now)
 
 
 def failing_rows(tests: dict[str, DataFrame], path: str) -> DataFrame:

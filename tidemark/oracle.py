@@ -266,6 +266,11 @@ SQL: dict[str, str] = {
     "latest_tests": "SELECT layer, count(*) FILTER (status IN ('pass', 'success')) AS passed, count(*) FILTER (status = 'warn') AS warned, count(*) FILTER (status IN ('fail', 'error')) AS failed, round(sum(seconds), 2) AS total_seconds, max(executed_at) AS executed_at FROM results WHERE is_test AND invocation_id = (SELECT max(invocation_id) FROM results WHERE is_test) GROUP BY layer",
     "model_runtimes": "SELECT name AS model_name, seconds AS execution_time FROM results WHERE NOT is_test AND invocation_id = (SELECT max(invocation_id) FROM results WHERE NOT is_test)",
     "results_by_layer": "SELECT CASE WHEN is_test THEN 'test' ELSE 'model' END AS kind, layer, status, CASE WHEN is_test THEN severity ELSE '' END AS severity, count(*) AS n, sum(seconds) AS seconds FROM results GROUP BY 1, 2, 3, 4",
+    "reject_totals": f"SELECT event_type AS entity, count(*) AS rejects, count(DISTINCT user_id % 3) AS rules, max(ts) AS last_rejected_at FROM events WHERE date_diff('second', ts, {_RUN}) < 86400 GROUP BY 1",
+    "gate_isolated": """SELECT 'loans_there' AS check_name, CAST(count(*) AS DOUBLE) AS value, count(*) > 0 AS passed, true AS blocking, CAST(NULL AS VARCHAR) AS error FROM stg_loans UNION ALL SELECT 'principal_non_negative', count(*) FILTER (principal < 0), count(*) FILTER (principal < 0) = 0, true, NULL FROM stg_loans
+        UNION ALL SELECT 'status_is_a_number', NULL, false, true, 'CAST_INVALID_INPUT' UNION ALL SELECT 'gone', NULL, false, false, 'UNRESOLVED_COLUMN'""",
+    "results_history": f"SELECT CASE WHEN is_test THEN 'test' ELSE 'model' END AS kind, CAST(ts AS DATE) AS day, count(*) AS n FROM (SELECT ts, event_id % 5 IN (0, 3) AS is_test FROM events) WHERE CAST(ts AS DATE) >= CAST({_RUN} - INTERVAL 10 DAY AS DATE) GROUP BY 1, 2",
+    "parity": " UNION ALL ".join(f"SELECT '{e}' AS entity, (SELECT count(DISTINCT {k}) FROM raw_{e}) AS source_rows, (SELECT count(*) FROM now_{e}) AS live_keys, (SELECT count(DISTINCT {k}) FROM raw_{e}) - (SELECT count(*) FROM now_{e}) AS delta" for e, k in star.KEYS.items()),
     "recent_rejects": f"SELECT event_type AS entity, 'rule' || user_id % 3 AS rule, count(*) AS rejects FROM events WHERE date_diff('second', ts, {_RUN}) < 86400 GROUP BY 1, 2",
     "provisions": f"""SELECT bucket_order, bucket_name, status_group, count(*) AS loans, sum(total_outstanding * rate) AS provision FROM stg_loans LEFT JOIN (VALUES {_statuses}) s(status_id, status_group) USING (status_id)
         LEFT JOIN (VALUES {_buckets}) b(bucket_order, bucket_name, low, high, rate) ON greatest(days_past_due, 0) BETWEEN low AND high GROUP BY 1, 2, 3""",
@@ -281,10 +286,9 @@ SQL: dict[str, str] = {
         _loaded("4 dry", "'skipped'", "count(*)"), _loaded("5 rejected", "'failed'", "0 * count(*)"),
         _loaded("table", f"CAST(max(c_custkey) FILTER ({_BATCH3}) AS VARCHAR)", f"2 * {_n('c_custkey % 7 <> 0')} + {_n(_BATCH3)}", "count(*)", _n("c_custkey % 5 = 0"), _n("c_custkey % 7 = 0 OR c_custkey % 5 <> 0 OR c_custkey % 100 = 3")),
     ]),
-    "load_order": " UNION ALL ".join([
-        "SELECT 'offices' AS entity, 'success' AS status, count(*) AS rows_read, count(*) AS rows_inserted, 0 AS rows_rejected FROM raw_offices", "SELECT 'staff', 'failed', 0, 0, 0", "SELECT 'clients', 'success', count(*), count(*), 0 FROM customer",
-    ]),
+    "load_order": " UNION ALL ".join(f"SELECT '{e}' AS entity, 'success' AS status, count(DISTINCT {k}) AS rows_read, count(DISTINCT {k}) AS rows_inserted, 0 AS rows_rejected FROM raw_{e}" if e != "staff" else "SELECT 'staff', 'failed', 0, 0, 0" for e, k in star.KEYS.items()),
     "stream_replay": f"SELECT c_custkey AS savings_id, CAST(c_acctbal AS DECIMAL(19,6)) AS account_balance, DATE '1970-01-01' + CAST(c_custkey % 20000 AS INTEGER) AS activated_on_date, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS is_active, 'u' AS _op, c_custkey * 1000 AS _version FROM customer WHERE c_custkey % 50 <> 0 AND c_custkey % 9 <> 0",
 }
 SQL["failures_stored"] = SQL["schema_tests"]
+SQL["caught_up_all"] = f"SELECT largest_delta, largest_p95, largest_delta <= 0 AND largest_p95 <= 300 AS caught_up FROM (SELECT (SELECT max(abs(delta)) FROM ({SQL['parity']})) AS largest_delta, (SELECT quantile_cont(lag_ms, 0.95) / 1000 FROM audit WHERE source_commit_at > {_RUN} - INTERVAL 720 HOUR) AS largest_p95)"
 ORACLE = {k: query(v) for k, v in SQL.items()}

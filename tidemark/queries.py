@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark import oracle, shared
 from tidemark.columns import COLUMNS
 from tidemark.functions import scalars as s
-from tidemark.operators import cdc, load, monitor, quality
+from tidemark.operators import cdc, footers, load, monitor, quality
 from tidemark.operators.tables import Table
 from tidemark.plans.models import Models
 from tidemark.sources import landing, seeds, star
@@ -120,6 +120,22 @@ def quality_gate(x: Source) -> DataFrame:
     )
 
 
+def gate_isolated(x: Source) -> DataFrame:
+    """Checks of which one names a column that isn't there and one fails while it runs: the others keep their values."""
+    loans = x.models.loans("loan_id", "status", "principal")
+    out = quality.gate_of([(loans, [("loans_there", F.count("*"), ">", 0, True), ("status_is_a_number", F.sum(F.col("status").cast("int")), ">=", 0, True), ("gone", F.max("no_such_column"), ">", 0, False), ("principal_non_negative", F.count_if(F.col("principal") < 0), "==", 0, True)])])
+    return out.withColumn("error", F.regexp_extract("error", r"^\[([A-Z_]+)", 1))
+
+
+def results_history(x: Source) -> DataFrame:
+    """Three runs' worth of results appended to the histories, of which the last ten days are kept, counted by day."""
+    at, all_of = shared.scratch(x.spark, "history"), results(x)
+    tests, models = Table(x.spark, f"{at}/tests", "day"), Table(x.spark, f"{at}/models", "day")
+    for k in range(3):
+        quality.keep_results(all_of.where(F.pmod("rows_affected", F.lit(3)) == k), tests, models, AUDIT_RUN, 10)
+    return cdc.surrogate_union({"test": tests.read().groupBy("day").agg(F.count("*").alias("n")), "model": models.read().groupBy("day").agg(F.count("*").alias("n"))}, "kind")
+
+
 def leakage_planted(x: Source) -> DataFrame:
     """The leakage rule on features with leaks put in."""
     on = lambda k: F.col("loan_id") % k == 0
@@ -163,6 +179,12 @@ def caught_up(x: Source) -> DataFrame:
     return monitor.caught_up(row_delta(x), monitor.cdc_freshness(x.audit(), AUDIT_RUN, 720), tolerance=100)
 
 
+def parity(x: Source) -> DataFrame:
+    """All eight entities: keys that the source has ever had against those that live."""
+    raws = x.raws()
+    return monitor.row_delta({e: raws[e].select(k).distinct() for e, k in star.KEYS.items()}, monitor.reconciliation(raws, star.KEYS))
+
+
 def source_freshness(x: Source) -> DataFrame:
     return quality.freshness(x.raws(), dt.datetime(2001, 11, 5), "_landed_at", 24.0, 24.0 * 365 * 31)
 
@@ -190,16 +212,17 @@ def results_by_layer(x: Source) -> DataFrame:
     return count(tests, "test").unionByName(count(models, "model"))
 
 
-def recent_rejects(x: Source) -> DataFrame:
-    r = x.table("events").select(F.col("event_type").alias("entity"), F.concat(F.lit("rule"), (F.col("user_id") % 3).cast("string")).alias("rule"), F.col("ts").cast("timestamp").alias("rejected_at"))
-    return monitor.rejects(r, AUDIT_RUN)
+def rejected(x: Source) -> DataFrame:
+    return x.table("events").select(F.col("event_type").alias("entity"), F.concat(F.lit("rule"), (F.col("user_id") % 3).cast("string")).alias("rule"), F.col("ts").cast("timestamp").alias("rejected_at"))
 
 
 def provisions(x: Source) -> DataFrame:
-    """What is provided for by band of days past due and group of loan statuses: both lookups joined to the loans."""
-    status, bands = seeds.loan_status(x.spark), seeds.par_buckets(x.spark)
+    """What is provided for by band of days past due and group of loan statuses: both lookups, from CSV files, joined to the
+    loans."""
+    at = shared.scratch(x.spark, "seeds")
+    status, bands = seeds.through_csv(seeds.loan_status(x.spark), f"{at}/status"), seeds.through_csv(seeds.par_buckets(x.spark), f"{at}/buckets")
     days = F.greatest(F.col("days_past_due"), F.lit(0))
-    loans = x.models.stg_loans.join(F.broadcast(status.select("status_id", "status_group")), "status_id", "left")  # 10 rows
+    loans = x.models.loans("status_id", "days_past_due", "total_outstanding").join(F.broadcast(status.select("status_id", "status_group")), "status_id", "left")  # 10 rows
     joined = loans.join(F.broadcast(bands), (days >= F.col("min_days")) & (days <= F.col("max_days")), "left")  # 6 rows
     return joined.groupBy("bucket_order", "bucket_name", "status_group").agg(F.count("*").alias("loans"), F.sum((F.col("total_outstanding").cast("decimal(19,6)") * F.col("provision_rate").cast("decimal(4,2)")).cast("decimal(38,8)")).cast("decimal(38,8)").alias("provision"))
 
@@ -239,8 +262,13 @@ def compacted(x: Source) -> DataFrame:
 
 
 def table_files(x: Source) -> DataFrame:
-    """Rows of each table by its files; how many files there are and their size depend on the writer, not on the data."""
-    return monitor.file_statistics({k: x.table(k) for k in ("customer", "orders", "supplier", "lineitem")}).select("table_name", "rows")
+    """Rows of each table by its files' footers; how many files there are and their size depend on the writer, not on the data."""
+    return table_storage(x).select("table_name", "rows")
+
+
+def table_storage(x: Source) -> DataFrame:
+    """Files, rows, sizes and compression ratio of the tables, from their footers alone."""
+    return footers.statistics({k: x.table(k) for k in ("customer", "orders", "supplier", "lineitem")})
 
 
 def dim_date(x: Source) -> DataFrame:
@@ -324,11 +352,15 @@ def atomic_load(x: Source) -> DataFrame:
 
 
 def load_order(x: Source) -> DataFrame:
-    """Offices, staff and clients loaded as one batch, of which staff fails; the others land all the same."""
+    """All eight entities loaded as one batch, parents first, of which staff fails; the others land all the same."""
     lake = load.Lake(x.spark, shared.scratch(x.spark, "lake"))
-    columns = lambda n: x.raw(n).select(*[(F.col(c) if c in x.raw(n).columns else F.lit(None)).cast({"id": "long", "int": "int", "flag": "int", "text": "string", "date": "date", "money": "decimal(19,6)"}[k]).alias(c) for c, k in landing.REGISTRY[n].columns.items()], F.col("_version").alias("_nth"))
-    source = {"offices": columns("offices"), "staff": columns("staff").withColumn("staff_id", F.lit(None).cast("long")), "clients": columns("clients")}
-    lake.load_all(source.__getitem__, AUDIT_RUN, source, arrival="_nth")
+
+    def columns(n: str) -> DataFrame:
+        raw, kinds = x.raw(n), {"id": "long", "int": "int", "flag": "int", "text": "string", "date": "date", "money": "decimal(19,6)"}
+        return raw.select(*[(F.col(c) if c in raw.columns else F.lit(None)).cast(kinds[k]).alias(c) for c, k in landing.REGISTRY[n].columns.items()], F.col("_version").alias("_nth"))
+
+    source = lambda n: columns(n).withColumn("staff_id", F.lit(None).cast("long")) if n == "staff" else columns(n)
+    lake.load_all(source, AUDIT_RUN, arrival="_nth")
     return lake.table("runs").read().select("entity", "status", "rows_read", "rows_inserted", "rows_rejected")
 
 
@@ -420,7 +452,9 @@ BUILD: dict[str, Callable[[Source], DataFrame]] = {
     "quality_gate": quality_gate, "source_freshness": source_freshness, "caught_up": caught_up,
     "last_success": lambda x: monitor.last_success(runs(x), AUDIT_RUN, 86400),
     "latest_tests": lambda x: monitor.latest_tests(quality.split_results(results(x))[0]), "model_runtimes": lambda x: monitor.model_runtimes(quality.split_results(results(x))[1]), "results_by_layer": results_by_layer,
-    "recent_rejects": recent_rejects, "provisions": provisions, "backfill_guard": backfill_guard, "retained": retained, "merged_by_month": merged_by_month, "compacted": compacted, "table_files": table_files,
+    "recent_rejects": lambda x: monitor.rejects(rejected(x), AUDIT_RUN), "reject_totals": lambda x: monitor.reject_totals(rejected(x), AUDIT_RUN), "gate_isolated": gate_isolated, "results_history": results_history, "parity": parity,
+    "caught_up_all": lambda x: monitor.caught_up(parity(x), monitor.cdc_freshness(x.audit(), AUDIT_RUN, 720)),
+    "provisions": provisions, "backfill_guard": backfill_guard, "retained": retained, "merged_by_month": merged_by_month, "compacted": compacted, "table_files": table_files,
     "wire_round_trip": wire_round_trip, "atomic_load": atomic_load, "load_order": load_order, "stream_replay": stream_replay, "topics_landed": topics_landed, "streamed_counts": streamed_counts, "stream_collapsed": stream_collapsed,
     "cdc_freshness": lambda x: monitor.cdc_freshness(x.audit(), AUDIT_RUN, 720),
     "rolling_counts": lambda x: monitor.rolling_counts(x.audit()).withColumn("window_start", F.unix_seconds("window_start")),
@@ -430,7 +464,7 @@ BUILD: dict[str, Callable[[Source], DataFrame]] = {
     "latest_run": lambda x: monitor.latest_run(x.table("events"), "user_id", "ts", "event_id"),
     "par_by_branch": par_by_branch, "default_rate_by_split": default_rate_by_split, "dim_date": dim_date,
 }
-ROWS_ONLY: dict[str, Callable[[Source], DataFrame]] = {"rest_landing": rest_landing}
+ROWS_ONLY: dict[str, Callable[[Source], DataFrame]] = {"rest_landing": rest_landing, "table_storage": table_storage}
 
 
 def _query(build: Callable[[Source], DataFrame], name: str | None) -> Callable[[SparkSession, str], DataFrame]:

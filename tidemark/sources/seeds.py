@@ -28,6 +28,12 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
 
 
+def through_csv(df: DataFrame, path: str) -> DataFrame:
+    """A lookup published as CSV and read back in its types."""
+    df.coalesce(1).write.option("header", True).csv(path)
+    return read_csv(df.sparkSession, path, ", ".join(f"{n} {t}" for n, t in df.dtypes))
+
+
 def loan_status(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(STATUSES, LOAN_STATUS)
 
