@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, copies, negatives, queries, repair
+from tidemark.llm import common, copies, near, negatives, queries, repair
 
 SF = "/root/testdata/sf0.001"
 TURNS = "conv_id long, turn long, role string, text string"
@@ -223,3 +223,47 @@ def test_queries_equal_their_sql(spark, name):
     cur = con.execute(queries.ORACLE[name])
     order = [[d[0] for d in cur.description].index(c) for c in got.columns]
     assert collections.Counter(tuple(r) for r in got.collect()) == collections.Counter(tuple(r[k] for k in order) for r in cur.fetchall())
+
+
+def brute_classes(rows):
+    """(doc_id, class_id, n_links) of each row by all pairs of rows, whatever their ids."""
+
+    def shingled(text):
+        w = (text or "").lower().split()
+        k = min(5, len(w))
+        return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if w else frozenset()
+
+    sets, root, links = [shingled(t) for _, t in rows], list(range(len(rows))), [0] * len(rows)
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                links[a] += 1
+                links[b] += 1
+                root[find(a)] = find(b)
+    ids = collections.defaultdict(list)
+    for k, (i, _) in enumerate(rows):
+        ids[find(k)].append(i)
+    least = {k: min((i for i in x if i is not None), default=None) for k, x in ids.items()}
+    return sorted(((i, least[find(k)] if sets[k] else i, links[k]) for k, (i, _) in enumerate(rows)), key=str)
+
+
+def test_near_copies_of_shared_and_null_ids(spark):
+    text = lambda k, n=40: " ".join(f"t{k}w{i}" for i in range(n))
+    rows = [(5, text(1)), (5, text(2)), (6, text(2) + " more"), (7, text(1) + " more"), (None, text(2) + " other"), (None, text(3)), (None, text(3) + " x"), (None, text(3)), (9, ""), (None, ""), (None, " "), (9, "")]
+    rows += [(100, text(1000 + k)) for k in range(60)] + [(200 + k, text(1000 + k) + " y") for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"rep": F.lit("r"), "_ID": F.lit(1), "low": F.lit(2)}).repartition(5)
+    want = brute_classes(rows)
+    assert sorted(((r.doc_id, r.class_id, r.n_links) for r in near.near_copies(df).collect()), key=str) == want
+    kept = near.keep_one(df)
+    assert kept.columns == df.columns
+    got = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    expected = collections.Counter([(5, text(1)), (5, text(2)), (9, ""), (None, ""), (None, " "), *[(100, text(1000 + k)) for k in range(60)]])
+    extra = got - expected
+    assert not expected - got and sum(extra.values()) == 1 and next(iter(extra))[0] is None and next(iter(extra))[1].startswith(text(3))

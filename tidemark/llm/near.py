@@ -9,8 +9,11 @@ what remains after DEPTH of them is compared whole as well, large buckets in tas
 a pair at the threshold is found with the target recall. Whatever the buckets connect is then verified: each candidate group's shingle sets meet once, in tasks of at most two blocks, and all
 pairs in it are counted exactly, so no pair is emitted as a row.
 
-Rows: null text counts as empty; rows with null doc_id link only with equal texts; repeated rows are copies; doc_id
-should be unique (texts that share one and differ are classed by their own text). Other columns pass by unread.
+A class is known by a number of its own, not by a doc_id, so rows that share a doc_id are classed by their texts, and rows
+without one like others.
+
+Rows: null text counts as empty; repeated rows are copies; the class_id of a group without any doc_id is null. Other columns
+pass by unread.
 """
 
 from __future__ import annotations
@@ -21,9 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark import shared
+
 from .common import WordHash, binary, block_pairs, components, free_name, groups, local_roots, mix
 
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9995
@@ -97,7 +102,7 @@ def _roots(runs: int) -> list[tuple[int, int]]:
 def _sketches(runs: int):
     roots = _roots(runs)
     path, coord = np.array([r for r, _ in roots], np.uint64), np.array([i for _, i in roots], np.int64)
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("sig", pa.binary()), ("paths", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("key", pa.binary()), ("sig", pa.binary()), ("paths", pa.list_(pa.int64()))])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -111,7 +116,7 @@ def _sketches(runs: int):
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()))
                 sigs.append((mix(low) >> np.uint64(56)).astype(np.uint8).tobytes())  # of the smallest values themselves the high bits are all but equal
                 paths.append(_child(path, coord, low[coord]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(paths, pa.list_(pa.int64()))], schema=schema)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(paths, pa.list_(pa.int64()))], schema=schema)
 
     return sketch
 
@@ -166,8 +171,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingle sets of candidates; rows whose text isn't the class's own go."""
+    """The shingle sets of candidates, once a batch; rows whose text isn't the class's own go."""
     for b in batches:
+        _, first = np.unique(np.array(b.column("rep").to_numpy()), return_index=True)
+        if len(first) < b.num_rows and len(set(zip(b.column("rep").to_pylist(), b.column("text_hash").to_pylist(), strict=True))) == len(first):
+            b = b.take(pa.array(np.sort(first)))
         s = [shingles(x or "") for x in b.column("text").to_pylist()]
         own = [xxhash.xxh3_128_digest(x.tobytes()) == k for x, k in zip(s, b.column("key").to_pylist(), strict=True)]
         out = b.select(["rep", "copies", "component", "members"]).append_column("set", pa.array([x.tobytes() for x in s], pa.binary()))
@@ -213,18 +221,13 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(rep[has]), pa.array(links[has].astype(np.int64)), pa.array(rep[local_roots(linked)][has])], ["rep", "links", "root"])
 
 
-def near_copies(docs: DataFrame, target_recall: float = TARGET_RECALL) -> DataFrame:
-    """One row per row of docs (doc_id, text): doc_id, class_id (the smallest doc_id that it reaches by links), n_links
-    (other rows at a Jaccard similarity of at least THRESHOLD) and n_copies (other rows with an equal set)."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    base = own.mapInArrow(_sketches(runs_for(target_recall, THRESHOLD)), "doc_id long, key binary, sig binary, paths array<long>").checkpoint()
-    classes = (
-        base.where("key is not null")
-        .groupBy("key")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first(F.struct("sig", "paths")).alias("s"))
-        .withColumn("rep", F.coalesce("rep", -F.pmod(F.xxhash64("key"), F.lit(1 << 62)) - 2))
-        .checkpoint()
-    )
+def _classed(docs: DataFrame, target_recall: float) -> tuple[DataFrame, DataFrame]:
+    """Rows of docs as (doc_id, text_hash, key), and the classes: key, low (whether it has no doc_id, the smallest, and the
+    hash of that row's text), component, links and copies."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_hash(docs))
+    base = own.mapInArrow(_sketches(runs_for(target_recall, THRESHOLD)), "doc_id long, text_hash long, key binary, sig binary, paths array<long>").checkpoint()
+    folded = base.where("key is not null").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("low"), F.count("*").alias("copies"), F.first(F.struct("sig", "paths")).alias("s"))
+    classes = shared.written(folded.withColumn("rep", F.monotonically_increasing_id()), "classes")
     level = classes.where("size(s.paths) > 0").select(F.explode("s.paths").alias("path"), "rep", F.col("s.sig").alias("sig"))
     edges = []
     for depth in range(1, DEPTH + 1):
@@ -242,33 +245,49 @@ def near_copies(docs: DataFrame, target_recall: float = TARGET_RECALL) -> DataFr
         found = found.union(e)
     member = components(found)
     sizes = member.groupBy("component").agg(F.count("*").alias("members"))
-    wanted = member.join(sizes, "component").select(F.col("id").alias("rep"), "component", "members").join(classes.select("rep", "key", "copies"), "rep")
-    sets = own.join(wanted, own.doc_id == wanted.rep).select("rep", "key", "copies", "component", "members", "text").mapInArrow(_sets, "rep long, copies long, component long, members long, set binary")
+    of_rep = classes.select("rep", "key", "copies", F.col("low.doc_id").alias("of"), F.col("low.text_hash").alias("hash"))
+    wanted = member.join(sizes, "component").select(F.col("id").alias("rep"), "component", "members").join(of_rep, "rep")
+    # a class is fetched by its row's doc_id and text together: an id that many texts share brings each of them once
+    fetched = own.join(wanted, (own.text_hash == wanted["hash"]) & own.doc_id.eqNullSafe(wanted.of))
+    sets = fetched.select("rep", "text_hash", "key", "copies", "component", "members", "text").mapInArrow(_sets, "rep long, copies long, component long, members long, set binary")
     dealt = block_pairs(sets, "component", "members", "rep", BLOCK).select("task", "rep", "copies", "side", "lo", "hi", "set")
     links = dealt.repartition("task").sortWithinPartitions("task").mapInArrow(_verify, "rep long, links long, root long").checkpoint()
     classed = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v"))).withColumnRenamed("id", "rep")
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    of = (
-        classes.select("key", "rep", "copies")
-        .join(counted, "rep", "left")
-        .join(classed, "rep", "left")
-        .select(F.col("key"), F.coalesce("component", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), (F.col("copies") - 1).alias("n_copies"))
-    )
-    return base.select("doc_id", "key").join(of, "key", "left").select(
+    known = classes.select("key", "rep", "low", "copies").join(counted, "rep", "left").join(classed, "rep", "left")
+    return base.select("doc_id", "text_hash", "key"), known.select("key", "low", "copies", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def text_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash")
+
+
+def near_copies(docs: DataFrame, target_recall: float = TARGET_RECALL) -> DataFrame:
+    """One row per row of docs (doc_id, text): doc_id, class_id (the smallest doc_id that it reaches by links), n_links
+    (other rows at a Jaccard similarity of at least THRESHOLD) and n_copies (other rows with an equal set)."""
+    rows, classes = _classed(docs, target_recall)
+    least = classes.groupBy("component").agg(F.min("low.doc_id").alias("class_id"))
+    of = classes.join(least, "component").select("key", "class_id", "links", (F.col("copies") - 1).alias("n_copies"))
+    return rows.join(of, "key", "left").select(
         "doc_id",
-        F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce(F.col("links") + F.col("n_copies"), F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("n_copies", F.lit(0)).cast("long").alias("n_copies"),
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The row with the smallest doc_id of each class, with all its columns. Rows without words or doc_id stay; of rows
-    that share a doc_id and (but for case) a text, one stays; texts that share a doc_id and differ are no copies."""
-    classed = near_copies(docs)
-    kept = classed.where("doc_id = class_id").select("doc_id").distinct()
-    hash_, nth_ = free_name(docs, "_hash"), free_name(docs, "_nth")
-    same = Window.partitionBy("doc_id", hash_).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c, t in docs.dtypes if not t.startswith(("map", "variant"))]))
-    ids = docs.join(kept, "doc_id", "left_semi").withColumn(hash_, F.xxhash64(F.lower(F.coalesce("text", F.lit("")))))
-    one = ids.withColumn(nth_, F.row_number().over(same)).where(F.col(nth_) == 1).select(*docs.columns)
-    return one.unionByName(docs.where("doc_id is null"))
+    """One row of each class with all its columns, that with the smallest doc_id (none is larger than any); of rows with the
+    same doc_id and text, one. Rows without words stay, but for such repeats with a doc_id."""
+    rows, classes = _classed(docs, TARGET_RECALL)
+    wordless = rows.where("key is null").select("doc_id", "text_hash").distinct()
+    winners = classes.groupBy("component").agg(F.min("low").alias("low")).select("low.doc_id", "low.text_hash")
+    kept = winners.withColumn("words", F.lit(True)).unionByName(wordless.withColumn("words", F.lit(False)))
+    id_, hash_, nth_, of_, as_, words_ = (free_name(docs, n) for n in ("_id", "_hash", "_nth", "_of", "_as", "_words"))
+    named = kept.select(F.col("doc_id").alias(of_), F.col("text_hash").alias(as_), F.col("words").alias(words_))
+    same = Window.partitionBy(id_, hash_).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c, t in docs.dtypes if not t.startswith(("map", "variant"))]))
+    own = docs.withColumns({id_: F.col("doc_id").cast("long"), hash_: text_hash(docs)})
+    found = own.join(named, (F.col(hash_) == F.col(as_)) & F.col(id_).eqNullSafe(F.col(of_)))
+    loose = F.col(id_).isNull() & ~F.col(words_)
+    one = found.where(~loose).withColumn(nth_, F.row_number().over(same)).where(F.col(nth_) == 1)
+    return one.select(*docs.columns).unionByName(found.where(loose).select(*docs.columns))
