@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, copies, near, negatives, queries, repair
+from tidemark.llm import common, copies, near, negatives, queries, repair, toxicity
 
 SF = "/root/testdata/sf0.001"
 TURNS = "conv_id long, turn long, role string, text string"
@@ -267,3 +267,53 @@ def test_near_copies_of_shared_and_null_ids(spark):
     expected = collections.Counter([(5, text(1)), (5, text(2)), (9, ""), (None, ""), (None, " "), *[(100, text(1000 + k)) for k in range(60)]])
     extra = got - expected
     assert not expected - got and sum(extra.values()) == 1 and next(iter(extra))[0] is None and next(iter(extra))[1].startswith(text(3))
+
+
+def test_toxicity_sample_is_bounded(spark):
+    many = [(1, f"text {k}") for k in range(3000)] + [(2, "again and again")] * 3000 + [(k, f"own {k}") for k in range(3, 40)] + [(90, "long " * 2000), (91, None)]
+    docs = spark.createDataFrame(many, "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (90, 0), (91, 1), (50, 1), *[(k, k % 2) for k in range(3, 40)]], "doc_id long, toxic int")
+    got = toxicity.sampled(docs, labels, 25, 1_000)
+    assert len(got) == len(set(got)) and all(sum(k == kind for _, k in got) <= 25 and sum(len(t) for t, k in got if k == kind) <= 1_000 for kind in (0, 1))
+    assert sum(t == "again and again" for t, _ in got) <= 1 and not any(t.startswith("long") for t, _ in got)
+    whole = toxicity.sampled(docs.where("doc_id > 2"), labels, 100, 10**6)
+    assert sorted(whole) == sorted([(f"own {k}", k % 2) for k in range(3, 40)] + [("long " * 2000, 0), ("", 1)])
+
+
+def test_toxicity_score_and_spans_by_enumeration(spark, monkeypatch):
+    """Marginals by all label sequences of each line, hence the document's score and the offsets of its likely tokens."""
+    rng = np.random.default_rng(6)
+    made = toxicity.Field(rng.normal(0, 2, toxicity.BUCKETS).astype(np.float32), np.array([[0.0, -1.1], [0.4, 0.9]]), -0.3, (-1.0, 0.6, 0.8, 1.5))
+    monkeypatch.setattr(toxicity, "fit", lambda *a, **k: made)
+    texts = ["one Two, three\n\nfour five", "", None, " \n ", "x1 -- abcdefgh abcdefgi\tabc", "solo", "A　b c\nd e f g h"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int")).collect()}
+
+    def emission(word):
+        w = max(re.findall(r"[^\W\d_]+", word.lower()), key=len, default="")
+        names = [f"w {w}", *[f"{k} {w[:k]}" for k in (3, 4, 5, 6) if len(w) >= k]] if w else ["none"]
+        return sum(float(made.weights[toxicity.bucket(n)]) for n in names)
+
+    for k, text in enumerate(texts):
+        odds = []
+        for line in (text or "").split("\n"):
+            e = [emission(w) for w in line.split()]
+            if not e:
+                continue
+            on, whole = np.zeros(len(e)), 0.0
+            for y in itertools.product((0, 1), repeat=len(e)):
+                chance = np.exp(made.start * y[0] + np.dot(e, y) + sum(made.step[a, b] for a, b in itertools.pairwise(y)))
+                whole += chance
+                on += chance * np.array(y)
+            odds += np.log(on / (whole - on)).tolist()
+        x = np.array(odds)
+        parts = [1.0, float(np.clip(x.max(), -8, 8)), np.log1p((1 / (1 + np.exp(-x))).sum()), min(1.0, 20 * (1 / (1 + np.exp(-x))).mean())] if len(x) else [1.0, -8.0, 0.0, 0.0]
+        assert abs(got[k].score - 1 / (1 + np.exp(-np.dot(parts, made.final)))) < 1e-9, text
+        runs = []
+        for n, m in enumerate(re.finditer(r"\S+", text or "")):
+            if x[n] > 0:
+                if runs and n and x[n - 1] > 0:
+                    runs[-1][1] = m.end()
+                else:
+                    runs.append([m.start(), m.end()])
+        assert got[k].spans == ",".join(f"{a}:{b}" for a, b in runs)

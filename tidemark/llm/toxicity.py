@@ -1,11 +1,10 @@
 """Operator 9: toxicity by a linear-chain conditional random field.
 
-Words of a line form a chain of two labels. A bounded sample of labelled texts (SAMPLE of each label, by hash of doc_id,
-less those above SAMPLE_CHARS characters) gives token labels: words, and families of words with one beginning, that stand
-in many different surroundings in toxic texts and next to never in others. The field (hashed features of words and their
-beginnings, transitions, a start weight) is trained on the sample's lines with toxic tokens and PLAIN times as many
-others, long ones in pieces, by the gradients of its likelihood from forward-backward; texts are then scored by the
-marginals of all their tokens, which a logistic model turns into one score, and runs of likely tokens are the offending
+Words of a line form a chain of two labels. A bounded sample of labelled texts (SAMPLE of each label by hash of doc_id, as
+far as they fit into SAMPLE_CHARS) gives token labels: words, and families of words with one beginning, that stand in many
+different surroundings in toxic texts and next to never in others. The field (hashed features of words and their
+beginnings, transitions, a start weight) is trained on all lines of the sample, whole, by the gradients of its likelihood
+from forward-backward; texts are then scored by the marginals of all their tokens, which a logistic model turns into one score, and runs of likely tokens are the offending
 spans. Every text is scored whole, in the task that reads it, a slice of texts at a time; weights (one table of BUCKETS
 floats) go out with the tasks. Training is in the driver and costs the same whatever the corpus.
 
@@ -32,16 +31,13 @@ from pyspark.sql import functions as F
 
 from .common import slices, texts
 
-SAMPLE, BUCKETS, BEGINNINGS = 600, 1 << 18, (3, 4, 5, 6)
+BUCKETS, BEGINNINGS = 1 << 18, (3, 4, 5, 6)
 EPOCHS, RATE, RIDGE = 60, 0.15, 1e-4
 SEEN, RATIO = 3, 12.0
-#: Texts with more characters aren't taken into the sample, so that it is bounded in bytes too.
-SAMPLE_CHARS = 100_000
-#: Of the sample's lines without toxic tokens, the field learns from so many for each line with some, and so many more; the
-#: model of document scores learns from all. More of them only tell the field to expect less.
+#: Lines without toxic tokens weigh together as much as so many times those with some, and so many more, at most.
 PLAIN, PLAIN_LEAST = 2, 500
-#: Words of a training line; longer lines are trained on in pieces.
-PIECE = 400
+#: The one bound on what is learnt from: so many rows of each label, and so many characters of them together.
+SAMPLE, SAMPLE_CHARS = 600, 6_000_000
 #: A task holds the words of so many characters, numbers of the messages, and known words at a time.
 SLICE_CHARS, CELLS, WORD_CACHE = 500_000, 1 << 18, 100_000
 _letters = re.compile(r"[^\W\d_]+")
@@ -197,16 +193,11 @@ def train(docs: list[tuple[str, int]], share: float) -> Field:
 def train_field(docs: list[tuple[str, int]]) -> Field:
     toxic = token_labels(docs)
     is_toxic = lambda w: w in toxic or any(w[:k] + "*" in toxic for k in BEGINNINGS[1:])
-    marked, plain = [], []
-    for text, label in docs:
-        for words in _lines(text):
-            y = np.array([label == 1 and is_toxic(normal(w)) for w in words])
-            for k in range(0, len(words), PIECE):
-                (marked if y[k : k + PIECE].any() else plain).append((words[k : k + PIECE], y[k : k + PIECE]))
-    few = np.random.default_rng(1).permutation(len(plain))[: PLAIN * len(marked) + PLAIN_LEAST]
-    lines = marked + [plain[i] for i in few]
-    if not lines:
-        lines = [([""], np.zeros(1, bool))]
+    lines = [(words, np.array([label == 1 and is_toxic(normal(w)) for w in words])) for text, label in docs for words in _lines(text)]
+    lines = lines or [([""], np.zeros(1, bool))]
+    # all lines count, those without toxic tokens less where there are very many of them
+    marked = np.array([y.any() for _, y in lines])
+    weight = np.where(marked, 1.0, min(1.0, (PLAIN * marked.sum() + PLAIN_LEAST) / max(1, (~marked).sum())))
     words = [w for x, _ in lines for w in x]
     kinds = {w: k for k, w in enumerate(dict.fromkeys(words))}
     kind = np.fromiter(map(kinds.__getitem__, words), np.int64, len(words))
@@ -219,6 +210,7 @@ def train_field(docs: list[tuple[str, int]]) -> Field:
     inner = np.ones(len(words), bool)
     inner[first] = False
     inner = np.flatnonzero(inner)
+    each = np.repeat(weight, size)
     w, step, start = np.zeros(len(used)), np.array([[0.0, -3.0], [0.0, -3.0]]), -3.0
     m, v = np.zeros(len(used) + 3), np.zeros(len(used) + 3)
     for epoch in range(1, EPOCHS + 1):
@@ -226,11 +218,12 @@ def train_field(docs: list[tuple[str, int]]) -> Field:
         chances = np.zeros((2, len(words)))
         p = 1 / (1 + np.exp(-np.clip(odds(e, size, step, start, chances), -30, 30)))
         turned, stayed = chances[:, inner]
-        gap = y - p
-        grad = np.append(np.bincount(flat, weights=np.bincount(kind, weights=gap, minlength=len(kinds))[of], minlength=len(used)) / len(lines) - RIDGE * w, np.zeros(3))
-        grad[-3] = gap[first].mean()
-        grad[-2] = (y[inner] * (1 - y[inner - 1]) - turned).mean()
-        grad[-1] = (y[inner] * y[inner - 1] - stayed).mean()
+        gap = (y - p) * each
+        grad = np.append(np.bincount(flat, weights=np.bincount(kind, weights=gap, minlength=len(kinds))[of], minlength=len(used)) / weight.sum() - RIDGE * w, np.zeros(3))
+        grad[-3] = gap[first].sum() / weight.sum()
+        mean = lambda x: (x * each[inner]).sum() / max(each[inner].sum(), 1e-9)
+        grad[-2] = mean(y[inner] * (1 - y[inner - 1]) - turned)
+        grad[-1] = mean(y[inner] * y[inner - 1] - stayed)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         move = RATE * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.99**epoch)) + 1e-8)
         w, start, step[0, 1], step[1, 1] = w + move[:-3], start + move[-3], step[0, 1] + move[-2], step[1, 1] + move[-1]
@@ -285,19 +278,31 @@ def _apply(weights):
     return run
 
 
+def sampled(docs: DataFrame, labels: DataFrame, rows: int, chars: int) -> list[tuple[str, int]]:
+    """(text, label) of at most `rows` different rows of each label, by hash of doc_id, as far as they fit into `chars`.
+    Only the chosen rows come to the driver, however often a row or an id is repeated."""
+    first = F.xxhash64(F.lit(11), "doc_id")
+    few = [labels.where(F.col("toxic") == k).orderBy(first, "doc_id").limit(rows) for k in (0, 1)]
+    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    there = own.join(F.broadcast(few[0].union(few[1])), "doc_id").groupBy("doc_id", "hash", "toxic").agg(F.max(F.char_length("text")).alias("chars"))
+    chosen = []
+    for kind in (0, 1):
+        left = chars
+        for r in there.where(F.col("toxic") == kind).orderBy(first, "doc_id", "hash").limit(rows).collect():
+            if r.chars <= left:
+                left -= r.chars
+                chosen.append((r.doc_id, r.hash, kind))
+    wanted = docs.sparkSession.createDataFrame(chosen, "doc_id long, hash long, toxic int")
+    found = own.join(F.broadcast(wanted), ["doc_id", "hash"]).groupBy("doc_id", "hash", "toxic").agg(F.min("text").alias("text")).orderBy("doc_id", "hash", "toxic").collect()
+    return [(r.text, r.toxic) for r in found]
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
-    """Trains on at most `sample` texts of each label, those with the smallest hashes of doc_id, none of them held out."""
-    usable = labels.where("doc_id is not null and toxic in (0, 1) and crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").select("doc_id", "toxic")
+    """Trains on a sample of labelled rows, none of them held out; its bound is SAMPLE's."""
+    usable = labels.where("doc_id is not null and toxic in (0, 1) and crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
     counts = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    first = F.xxhash64(F.lit(11), "doc_id")
-    few = None
-    for kind in (0, 1):
-        part = usable.where(F.col("toxic") == kind).orderBy(first, "doc_id").limit(sample)
-        few = part if few is None else few.union(part)
-    few = few.dropDuplicates(["doc_id", "toxic"])
-    rows = docs.where(F.coalesce(F.char_length("text"), F.lit(0)) <= SAMPLE_CHARS).select("doc_id", "text").join(F.broadcast(few), "doc_id").orderBy("doc_id", "text", "toxic").collect()
-    return train([(r["text"] or "", int(r["toxic"])) for r in rows], min(max(share, 1e-6), 1 - 1e-6) if counts else 0.0)
+    return train(sampled(docs, usable, sample, SAMPLE_CHARS), min(max(share, 1e-6), 1 - 1e-6) if counts else 0.0)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
