@@ -1,14 +1,16 @@
 """Operator 3: language-model scoring by an Elias-Fano n-gram trie, sharded by context.
 
-No model is whole anywhere. Documents become blocks of tokens; a block asks each shard once for each distinct word and
-word pair it holds, and gives its training counts with the question. A shard owns the words and contexts whose hash falls
-to it: it adds up the counts, builds a trie level (Elias-Fano pointers and context-relative successor ids in memory-mapped
-files, probabilities quantised to a byte) and answers by successor search. The blocks then score their texts. What is
-shuffled is distinct pairs of blocks, with their counts.
-
-There are as many shards as tokens need at SHARD_TOKENS each, so a shard doesn't grow with the corpus. A context that
-occurs more than CONTEXT_TOKENS times is dealt over several shards by its successors' hashes. How often it occurs is
-summed beforehand, its kinds of successors are summed over its shards afterwards, both for these few contexts only.
+No model is whole anywhere. Documents become blocks of tokens; a block asks each shard that it needs once for each distinct
+word and word pair it holds, and gives its training counts with the question. A shard owns the words and contexts whose
+hash falls to it: it adds up the counts, numbers its words and their successors, and builds the trie: its words in order,
+with counts and back-off weights, point into a level of context-relative successor ids (Elias-Fano pointers and ids in
+memory-mapped files, probabilities quantised to a byte), in which it answers by successor search. The blocks then score
+their texts. What is shuffled is distinct pairs of blocks, with their counts, and at most a row for each of them.
+
+There are as many shards as tokens need at SHARD_TOKENS each, so a shard doesn't grow with the corpus. Words that occur
+more than CONTEXT_TOKENS times are frequent: how often each occurs is summed beforehand and known everywhere, so no shard
+is asked for it by all blocks, and its pairs are dealt over several shards by their successors' hashes; its kinds of
+successors are summed over its shards afterwards.
 
 The model interpolates absolute discounting over pairs with the base distribution of words:
 p(w | h) = WEIGHT * (max(c(h w) - DISCOUNT, 0) / c(h) + DISCOUNT * types(h) / c(h) * base(w)) + (1 - WEIGHT) * base(w).
@@ -44,7 +46,7 @@ DISCOUNT, WEIGHT, ALPHA = 0.75, 0.3, 0.1
 STEP = 0.03
 END = np.uint64(0x5DEECE66D1234567)
 _hash = WordHash()
-_bits40 = np.uint64((1 << 40) - 1)
+_NONE = np.zeros(0, np.int64)
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -159,27 +161,46 @@ class Block:
         self.word_count = np.bincount(self.word[trained], minlength=len(self.vocab)).astype(np.uint32)
         self.pair_count = np.bincount(self.of[trained], minlength=len(self.pair)).astype(np.uint32)
         shard = owner(self.vocab, shards)
-        order = np.argsort(shard, kind="stable")
-        self.words_of = np.split(order, np.searchsorted(shard[order], np.arange(1, shards)))
+        at, own = frequent.among(self.vocab)
+        asked = np.ones(len(self.vocab), bool)
+        asked[at] = False  # their counts are known
+        words = np.flatnonzero(asked)
+        self.words_of = Parts(words[np.argsort(shard[words], kind="stable")], shard, shards)
         shard = shard[self.context]
         parts = np.ones(len(self.vocab), np.int64)
-        at, own = frequent.among(self.vocab)
         parts[at] = frequent.parts[own]
         dealt = np.flatnonzero(parts[self.context] > 1)
         part = mix(self.vocab[self.successor[dealt]]) % parts[self.context[dealt]].astype(np.uint64)
         shard[dealt] = (shard[dealt] + part.astype(np.int64)) % shards
-        self.id40 = self.vocab[self.successor] & _bits40
-        order = np.lexsort((self.id40, self.context, shard))
-        self.pairs_of = np.split(order, np.searchsorted(shard[order], np.arange(1, shards)))
+        self.pairs_of = Parts(np.lexsort((self.successor, self.context, shard)), shard, shards)
+
+    def shards(self) -> list[int]:
+        """Those that there is something to ask."""
+        return sorted({*self.words_of.there, *self.pairs_of.there})
 
     def ask(self, s: int) -> bytes:
         w, p = self.words_of[s], self.pairs_of[s]
-        has = np.bincount(self.context[p], minlength=len(self.vocab)).astype(np.uint32)
-        there = has > 0
-        there[w] = True
-        w = np.flatnonzero(there)  # the shard's own words, and contexts that are dealt to it
-        id40 = self.id40[p]
-        return _pack(_gaps(self.vocab[w]), self.word_count[w], has[w], (id40 >> np.uint64(32)).astype(np.uint8), id40.astype(np.uint32), self.pair_count[p])
+        contexts, n = np.unique(self.context[p], return_counts=True)
+        w = np.union1d(w, contexts)  # the shard's own words, and contexts that are dealt to it
+        has = np.zeros(len(w), np.uint32)
+        has[np.searchsorted(w, contexts)] = n
+        successors, of = np.unique(self.successor[p], return_inverse=True)
+        kind = np.uint16 if len(successors) <= 1 << 16 else np.uint32
+        return _pack(_gaps(self.vocab[w]), self.word_count[w], has, _gaps(self.vocab[successors]), of.astype(kind), self.pair_count[p])
+
+
+class Parts:
+    """Places by shard, in order; only the shards that have some take memory."""
+
+    def __init__(self, order: np.ndarray, shard: np.ndarray, shards: int):
+        kinds, start = np.unique(shard[order], return_index=True)
+        self.there, self.shards = dict(zip(kinds.tolist(), np.split(order, start[1:]), strict=False)), shards
+
+    def __getitem__(self, s: int) -> np.ndarray:
+        return self.there.get(s, _NONE)
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        return (self[s] for s in range(self.shards))
 
 
 def _occurrences(least: float, only: np.ndarray | None = None):
@@ -216,8 +237,10 @@ def _ask(shards: int, frequent: Frequent):
         for b in batches:
             for name, docs, data in zip(*(b.column(k).to_pylist() for k in ("block", "docs", "data")), strict=True):
                 block = Block(docs, data, shards, frequent)
-                for s in range(shards):
-                    yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([name]), pa.array([block.ask(s)], pa.binary())], ["shard", "block", "data"])
+                asked = block.shards()
+                for k in range(0, len(asked), 64):
+                    some = asked[k : k + 64]
+                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([name] * len(some)), pa.array([block.ask(s) for s in some], pa.binary())], ["shard", "block", "data"])
                 del block  # before the next one is made
 
     return run
@@ -250,11 +273,16 @@ def _answer(asked: pd.DataFrame, shards: int, frequent: Frequent) -> pd.DataFram
     parts = [_unpack(x) for x in asked["data"]]
     words = [_sums(p[0]) for p in parts]
     vocab, of = np.unique(np.concatenate(words), return_inverse=True)
+    dealt, own = frequent.among(vocab)
     mine = owner(vocab, shards) == shard
+    mine[dealt] = False
     count = np.where(mine, np.bincount(of, weights=np.concatenate([p[1] for p in parts]), minlength=len(vocab)), 0)
     rank = [np.repeat(np.searchsorted(vocab, w), p[2]) for w, p in zip(words, parts, strict=True)]
-    ids = [(p[3].astype(np.uint64) << np.uint64(32)) | p[4].astype(np.uint64) for p in parts]
-    key = (np.concatenate(rank).astype(np.uint64) << np.uint64(40)) | np.concatenate(ids)
+    successors = [_sums(p[3]) for p in parts]
+    known = np.unique(np.concatenate(successors))
+    ids = [np.searchsorted(known, x)[p[4]].astype(np.uint64) for x, p in zip(successors, parts, strict=True)]
+    del successors
+    key = (np.concatenate(rank).astype(np.uint64) << np.uint64(32)) | np.concatenate(ids)
     times = np.concatenate([p[5] for p in parts]).astype(np.int64)
     del parts
     key, times = key[times > 0], times[times > 0]
@@ -263,12 +291,11 @@ def _answer(asked: pd.DataFrame, shards: int, frequent: Frequent) -> pd.DataFram
     del order
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
     key, times = key[first], np.add.reduceat(times, first) if len(first) else times
-    context = (key >> np.uint64(40)).astype(np.int64)
+    context = (key >> np.uint64(32)).astype(np.int64)
     total = np.bincount(context, weights=times, minlength=len(vocab))
     types = np.bincount(context, minlength=len(vocab))
-    dealt, own = frequent.among(vocab)
     total[dealt] = frequent.total[own]
-    level = Level(context, key & _bits40, quantise((times - DISCOUNT) / total[context]), len(vocab))
+    level = Level(context, key & np.uint64((1 << 32) - 1), quantise((times - DISCOUNT) / total[context]), len(vocab))
     backoff = back_off(types, total)
     out = [(None, shard, _pack(own, types[dealt]), int(count.sum()), int((count > 0).sum()))]
     for name, w, r, i in zip(names, words, rank, ids, strict=True):
@@ -292,6 +319,7 @@ def _score(shards: int, total: int, types: int, frequent: Frequent, dealt_types:
             if s >= 0:
                 count[block.words_of[s]], backoff[block.words_of[s]], pair[block.pairs_of[s]] = _unpack(data)
         at, own = frequent.among(block.vocab)
+        count[at] = frequent.total[own]
         backoff[at] = back_off(dealt_types[own], frequent.total[own])
         base = (count + ALPHA) / (total + ALPHA * (types + 1))
         rest = np.where(backoff > 0, value(backoff), 1.0)  # a context without counts leaves all to the base
@@ -322,7 +350,7 @@ def score(docs: DataFrame) -> DataFrame:
     frequent = _frequent(blocks, tokens or 0, n_blocks, shards, CONTEXT_TOKENS)
     asked = blocks.mapInArrow(_ask(shards, frequent), "shard int, block string, data binary")
     answers = asked.groupBy("shard").applyInPandas(_answers(shards, frequent), "block string, shard int, data binary, total long, types long").checkpoint()
-    total, types, dealt_types = 0, 0, np.zeros(len(frequent.words), np.int64)
+    total, types, dealt_types = int(frequent.total.sum()), int((frequent.total > 0).sum()), np.zeros(len(frequent.words), np.int64)
     for r in answers.where("block is null").collect():
         at, n = _unpack(r.data)
         total, types = total + r.total, types + r.types

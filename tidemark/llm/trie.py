@@ -73,14 +73,15 @@ class EliasFano:
 
 
 class Level:
-    """Successors of contexts: sorted ids of a context follow each other, pointers say where each context begins."""
-
-    ID_BITS = 40
+    """Successors of contexts: a context's sorted ids follow each other, pointers say where each context begins. Ids are those
+    of their context alone; stored is each on top of the last one before its context, so that the whole is in order."""
 
     def __init__(self, context: np.ndarray, successor: np.ndarray, codes: np.ndarray, contexts: int):
-        """context: ranks from 0, ascending; successor: ids below 2 ** ID_BITS, ascending within a context."""
-        self.pointers = EliasFano(np.searchsorted(context, np.arange(contexts + 1)).astype(np.uint64))
-        self.ids = EliasFano((context.astype(np.uint64) << np.uint64(self.ID_BITS)) | successor)
+        """context: ranks from 0, ascending; successor: ids, ascending within a context."""
+        begin = np.searchsorted(context, np.arange(contexts + 1))
+        self.pointers = EliasFano(begin.astype(np.uint64))
+        most = np.where(np.diff(begin) > 0, successor[np.maximum(begin[1:] - 1, 0)] if len(successor) else 0, 0).astype(np.uint64)
+        self.ids = EliasFano(successor.astype(np.uint64) + (np.cumsum(most) - most)[context] if len(context) else np.zeros(0, np.uint64))
         self.codes = mapped(codes)
 
     def find(self, context: np.ndarray, successor: np.ndarray, step: int = 1 << 18) -> np.ndarray:
@@ -91,9 +92,10 @@ class Level:
 
     def _find(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
         """The search for the next id not below it reads the pointers of its context and stays between them."""
-        key = (context.astype(np.uint64) << np.uint64(self.ID_BITS)) | successor
         kinds, of = np.unique(context, return_inverse=True)
-        begin, stop = self.pointers.get(kinds).astype(np.int64)[of], self.pointers.get(kinds + 1).astype(np.int64)[of]
+        begin, stop = (self.pointers.get(kinds + k).astype(np.int64) for k in (0, 1))
+        base = np.where(begin > 0, self.ids.get(np.maximum(begin - 1, 0)), np.uint64(0))
+        begin, stop, key = begin[of], stop[of], base[of] + successor.astype(np.uint64)
         high = (key >> np.uint64(self.ids.width)).astype(np.int64)
         at, end = np.maximum(self.ids.starts(high), begin), np.minimum(self.ids.starts(high + 1), stop)
         low = key & np.uint64((1 << self.ids.width) - 1)
