@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import slices, texts
 
 KINDS = ["assign", "access", "hex", "random"]
 _any_case = lambda word: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
@@ -102,6 +102,8 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     return out
 
 
+#: Texts are tested together, so many characters of them at a time.
+SLICE_CHARS = 2_000_000
 _row = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("size", pa.int32()), ("length", pa.int32()), ("token", pa.string())])
 _schema = pa.schema([("doc_id", pa.int64()), ("base", pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))), ("candidates", pa.list_(_row)), ("tested", pa.list_(pa.int64())), ("characters", pa.list_(pa.int64()))])
 _ddl = "doc_id long, base array<struct<start:int,kind:int,end:int>>, candidates array<struct<start:int,end:int,size:int,length:int,token:string>>, tested array<long>, characters array<long>"
@@ -109,20 +111,21 @@ _ddl = "doc_id long, base array<struct<start:int,kind:int,end:int>>, candidates
 
 def _promising(docs: list[str]) -> Iterator[tuple[list, list, list]]:
     """For each text its base spans, its candidates that pass for random, and how many candidates of each length class it has."""
-    bases = [base_spans(x) for x in docs]
-    spans = [candidates(x, b) for x, b in zip(docs, bases, strict=True)]
-    tokens = [x[s:e].rstrip("=") for x, own in zip(docs, spans, strict=True) for s, e in own]
-    enc, p = battery(tokens)
-    at = 0
-    for base, own in zip(bases, spans, strict=True):
-        kept, tested = [], [0] * (len(LENGTHS) + 1)
-        for s, e in own:
-            length = int(np.searchsorted(LENGTHS, len(tokens[at]), side="right"))
-            tested[length] += 1
-            if p[at] > RANDOM_AT:
-                kept.append({"start": s, "end": e, "size": _sets[enc[at]][1], "length": length, "token": tokens[at]})
-            at += 1
-        yield base, kept, tested
+    for some in slices(docs, SLICE_CHARS):
+        bases = [base_spans(x) for x in some]
+        spans = [candidates(x, b) for x, b in zip(some, bases, strict=True)]
+        tokens = [x[s:e].rstrip("=") for x, own in zip(some, spans, strict=True) for s, e in own]
+        enc, p = battery(tokens)
+        at = 0
+        for base, own in zip(bases, spans, strict=True):
+            kept, tested = [], [0] * (len(LENGTHS) + 1)
+            for s, e in own:
+                length = int(np.searchsorted(LENGTHS, len(tokens[at]), side="right"))
+                tested[length] += 1
+                if p[at] > RANDOM_AT:
+                    kept.append({"start": s, "end": e, "size": _sets[enc[at]][1], "length": length, "token": tokens[at]})
+                at += 1
+            yield base, kept, tested
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
