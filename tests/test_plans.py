@@ -1,10 +1,15 @@
 """Scans that read what is asked for, and quantiles of groups of any size."""
 
+import datetime as dt
 import math
+import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidemark import shared
+from tidemark.functions import parsing as p
 from tidemark.operators import cdc
 from tidemark.operators.quantiles import bucket, quantiles
 from tidemark.plans.models import Models
@@ -69,3 +74,32 @@ def test_buckets_are_in_order_and_small(spark):
     assert df.where("v < 2000").groupBy("b").count().agg(F.max("count")).first()[0] < 300
     pairs = spark.createDataFrame([(float(x),) for x in (float("-inf"), -1e9, -2.5, -0.1, 0, 0.1, 2.5, 1e9, float("inf"), float("nan"))], "v double").select("v", bucket(F.col("v")).alias("b")).collect()
     assert [r.b for r in pairs] == sorted(r.b for r in pairs)
+
+
+@pytest.mark.parametrize(
+    ("text", "at"),
+    [
+        ("[2026,8,11]", (2026, 8, 11)), ("[2026,8,11,14,30,5]", (2026, 8, 11, 14, 30, 5)), ("[2026,8,11,14,30]", (2026, 8, 11, 14, 30)), ("[2026,13,1]", None), ("[2026,8]", None),
+        ("2026-08-11T14:30:05Z", (2026, 8, 11, 14, 30, 5)), ("2026-08-11 14:30:05", (2026, 8, 11, 14, 30, 5)), ("2026-08-11T14:30:05+02:00", (2026, 8, 11, 12, 30, 5)), (" 2026-08-11 ", (2026, 8, 11)),
+        ("1786458605", (2026, 8, 11, 14, 30, 5)), ("1786458605000", (2026, 8, 11, 14, 30, 5)), ("soon", None), ("", None), (None, None),
+    ],
+)
+def test_timestamps(spark, text, at):
+    got = spark.createDataFrame([(text,)], "x string").select(p.parse_timestamp(F.col("x"))).first()[0]
+    assert got == (dt.datetime(*at) if at else None)
+
+
+def test_enumerations(spark):
+    rows = [('{"id":300,"value":"Active"}',), ("7",), ("Flat",), (None,)]
+    got = spark.createDataFrame(rows, "x string").select(p.enum_id(F.col("x")), p.enum_value(F.col("x"))).collect()
+    assert [tuple(r) for r in got] == [(300, "Active"), (7, "7"), (None, "Flat"), (None, None)]
+
+
+def test_what_old_sessions_left_is_swept(spark):
+    root = shared.folder(spark).removeprefix("file://")
+    for name, age in (("tidemark-old", 9), ("tidemark-young", 1), ("other", 30)):
+        os.makedirs(f"{root}/{name}/stage")
+        os.utime(f"{root}/{name}", times=(0, dt.datetime.now().timestamp() - age * 86_400))
+    kept = shared.written(spark.range(3).toDF("k"))
+    assert shared.sweep(spark) == 1 and sorted(x for x in os.listdir(root) if x in ("tidemark-old", "tidemark-young", "other")) == ["other", "tidemark-young"]
+    assert kept.count() == 3

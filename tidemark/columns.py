@@ -60,6 +60,8 @@ COLUMNS = {
     "retained": "day:t events:l",
     "merged_by_month": "transaction_id:l loan_id:l office_id:l type_id:i type_value:s is_reversed:i transaction_date:t submitted_on_date:t currency_code:s amount:d principal_portion:d interest_portion:d fee_charges_portion:d penalty_charges_portion:d overpayment_portion:d outstanding_loan_balance:d source_ingested_at:m cdc_commit_at:m cdc_version:l transaction_category:s is_countable:i transaction_year:i transaction_month:i transaction_month_start:t transaction_day_of_week:i",
     "compacted": "client_id:l office_id:l staff_id:l account_no:s external_id:s status_id:i status_value:s is_active:i office_name:s staff_name:s legal_form_value:s gender_value:s client_type_value:s client_classification_value:s firstname:s lastname:s display_name:s mobile_no:s email_address:s activation_date:t submitted_on_date:t closed_on_date:t date_of_birth:t _op:s _version:l _lsn:l _tx_id:l _is_deleted:i _source_commit_at:m _cdc_read_at:m _landed_at:m source_ingested_at:m source_updated_at:m",
+    "packed": "day:t events:l ids:l fewer_files:b",
+    "failing_loans": "loan_id:l client_id:l par_bucket:s",
     "table_files": "table_name:s rows:l",
     "wire_round_trip": "entity:s rows:l same:b",
     "atomic_load": "batch_id:s status:s rows_read:l rows_inserted:l rows_updated:l rows_unchanged:l rows_rejected:l",

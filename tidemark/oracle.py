@@ -278,6 +278,8 @@ SQL: dict[str, str] = {
     "retained": "SELECT CAST(ts AS DATE) AS day, count(*) AS events FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-21' GROUP BY 1",
     "merged_by_month": "SELECT * FROM stg_tx",
     "compacted": "SELECT * FROM raw_clients QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY _version DESC, _lsn DESC) = 1",
+    "packed": "SELECT CAST(ts AS DATE) AS day, count(*) AS events, sum(event_id) AS ids, true AS fewer_files FROM events GROUP BY 1",
+    "failing_loans": "SELECT loan_id, client_id, par_bucket FROM stg_loans WHERE par_bucket NOT IN ('Current', 'PAR 1-30')",
     "table_files": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in ("customer", "orders", "supplier", "lineitem")),
     "wire_round_trip": " UNION ALL ".join(f"SELECT '{e}' AS entity, count(*) AS rows, true AS same FROM raw_{e}" for e in star.KEYS),
     "atomic_load": " UNION ALL ".join([

@@ -253,6 +253,25 @@ def merged_by_month(x: Source) -> DataFrame:
     return t.read()
 
 
+def packed(x: Source) -> DataFrame:
+    """Events by day, appended in three parts and packed: fewer files, rows as they were."""
+    events = x.table("events").withColumn("day", F.to_date("ts"))
+    t = Table(x.spark, shared.scratch(x.spark, "packed"), "day")
+    for k in range(3):
+        t.append(events.where(F.pmod("event_id", F.lit(3)) == k))
+    before = sum(len(t.files(f)) for f in t.pointer()["folders"])
+    t.pack()
+    after = sum(len(t.files(f)) for f in t.pointer()["folders"])
+    return t.read().groupBy("day").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids")).withColumn("fewer_files", F.lit(after < before))
+
+
+def failing_loans(x: Source) -> DataFrame:
+    """The stored rows of a test that fails, as they are read back."""
+    at = shared.scratch(x.spark, "failures")
+    quality.failing_rows({"par_bucket_accepted": quality.accepted(x.models.loans("loan_id", "client_id", "par_bucket"), "par_bucket", ["Current", "PAR 1-30"])}, at)
+    return x.spark.read.parquet(f"{at}/par_bucket_accepted")
+
+
 def compacted(x: Source) -> DataFrame:
     t = Table(x.spark, shared.scratch(x.spark, "clients"))
     t.replace(x.raw("clients").where("_version = 1"))
@@ -442,7 +461,7 @@ BUILD: dict[str, Callable[[Source], DataFrame]] = {
     "watermark": lambda x: cdc.watermark(None, x.raw("loans"), "loans", "loan_id", AUDIT_RUN),
     **{n: (lambda x, n=n: getattr(x.models, n)) for n in "stg_clients stg_loans stg_loan_transactions stg_offices stg_staff stg_loan_products stg_savings_products stg_savings_accounts client_portfolio dim_client dim_office dim_staff dim_loan_product fct_loan_transaction fct_savings_account portfolio_snapshot loan_repayment_behaviour fct_loan loan_performance_monthly scoring_features".split()},
     "default_features": lambda x: x.shared.default_features,
-    "expectations": _checked, "expectation_summary": lambda x: quality.summary(_checked(x)), "schema_tests": lambda x: quality.test_counts(_schema_tests(x)), "failures_stored": failures_stored, "row_rejects": row_rejects,
+    "expectations": _checked, "expectation_summary": lambda x: quality.summary(_checked(x)), "schema_tests": lambda x: quality.test_counts(_schema_tests(x)), "failures_stored": failures_stored, "failing_loans": failing_loans, "row_rejects": row_rejects,
     "ledger_reconciles": lambda x: quality.ledger_off(x.shared.fct_loan),
     "leakage": lambda x: quality.leaking(x.shared.default_features), "leakage_planted": leakage_planted,
     "future_dated": lambda x: quality.future_dated(x.models.fct_loan_transaction, x.models.set.as_of),
@@ -454,7 +473,7 @@ BUILD: dict[str, Callable[[Source], DataFrame]] = {
     "latest_tests": lambda x: monitor.latest_tests(quality.split_results(results(x))[0]), "model_runtimes": lambda x: monitor.model_runtimes(quality.split_results(results(x))[1]), "results_by_layer": results_by_layer,
     "recent_rejects": lambda x: monitor.rejects(rejected(x), AUDIT_RUN), "reject_totals": lambda x: monitor.reject_totals(rejected(x), AUDIT_RUN), "gate_isolated": gate_isolated, "results_history": results_history, "parity": parity,
     "caught_up_all": lambda x: monitor.caught_up(parity(x), monitor.cdc_freshness(x.audit(), AUDIT_RUN, 720)),
-    "provisions": provisions, "backfill_guard": backfill_guard, "retained": retained, "merged_by_month": merged_by_month, "compacted": compacted, "table_files": table_files,
+    "provisions": provisions, "backfill_guard": backfill_guard, "retained": retained, "merged_by_month": merged_by_month, "compacted": compacted, "packed": packed, "table_files": table_files,
     "wire_round_trip": wire_round_trip, "atomic_load": atomic_load, "load_order": load_order, "stream_replay": stream_replay, "topics_landed": topics_landed, "streamed_counts": streamed_counts, "stream_collapsed": stream_collapsed,
     "cdc_freshness": lambda x: monitor.cdc_freshness(x.audit(), AUDIT_RUN, 720),
     "rolling_counts": lambda x: monitor.rolling_counts(x.audit()).withColumn("window_start", F.unix_seconds("window_start")),

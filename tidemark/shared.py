@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 from pathlib import Path
 
@@ -43,5 +44,21 @@ def written(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def clear(spark: SparkSession) -> None:
     """Removes what this session has written; its results that aren't collected or saved elsewhere go too."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder(spark)}/tidemark-{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{folder(spark)}/tidemark-{spark.sparkContext.applicationId}")
+
+
+def sweep(spark: SparkSession, days: float = 7.0) -> int:
+    """Removes what sessions have left that wrote nothing for so many days; how many these were. Their own folder is touched
+    whenever a session writes a stage."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder(spark))
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    old, own = time.time() * 1000 - days * 86_400_000, f"tidemark-{spark.sparkContext.applicationId}"
+    gone = [s for s in (fs.listStatus(root) if fs.exists(root) else []) if s.getPath().getName().startswith("tidemark-") and s.getPath().getName() != own and s.getModificationTime() < old]
+    for s in gone:
+        fs.delete(s.getPath(), True)
+    return len(gone)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
