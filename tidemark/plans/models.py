@@ -439,7 +439,9 @@ class Models:
     def default_features(self) -> DataFrame:
         """Features of a loan as they were known on its day of disbursement. prior_reversal_count is always 0: only countable
         repayments are looked at; the column is part of the contract."""
-        loans = self.stg_loans.where("disbursed_on_date is not null")
+        loans = self.loans(
+            "loan_id", "client_id", "product_id", "office_id", "loan_officer_id", "principal", "principal_disbursed", "number_of_repayments", "annual_interest_rate", "term_days", "submitted_on_date", "disbursed_on_date", "days_past_due", "is_in_default", "is_written_off"
+        ).where("disbursed_on_date is not null")
         prior = asof.prior_loans(loans)
         paid = self._repayments()
         repaid = asof.prior_repayments(loans, paid)

@@ -460,7 +460,7 @@ BUILD: dict[str, Callable[[Source], DataFrame]] = {
     "dedup_last_wins": lambda x: cdc.last_wins(x.table("events"), ["user_id", "event_type"], "event_id"),
     "watermark": lambda x: cdc.watermark(None, x.raw("loans"), "loans", "loan_id", AUDIT_RUN),
     **{n: (lambda x, n=n: getattr(x.models, n)) for n in "stg_clients stg_loans stg_loan_transactions stg_offices stg_staff stg_loan_products stg_savings_products stg_savings_accounts client_portfolio dim_client dim_office dim_staff dim_loan_product fct_loan_transaction fct_savings_account portfolio_snapshot loan_repayment_behaviour fct_loan loan_performance_monthly scoring_features".split()},
-    "default_features": lambda x: x.shared.default_features,
+    "default_features": lambda x: x.models.default_features,
     "expectations": _checked, "expectation_summary": lambda x: quality.summary(_checked(x)), "schema_tests": lambda x: quality.test_counts(_schema_tests(x)), "failures_stored": failures_stored, "failing_loans": failing_loans, "row_rejects": row_rejects,
     "ledger_reconciles": lambda x: quality.ledger_off(x.shared.fct_loan),
     "leakage": lambda x: quality.leaking(x.shared.default_features), "leakage_planted": leakage_planted,
