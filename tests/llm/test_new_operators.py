@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, copies, near, negatives, queries, repair, toxicity
+from tidemark.llm import common, copies, near, negatives, quality, queries, repair, toxicity
 
 SF = "/root/testdata/sf0.001"
 TURNS = "conv_id long, turn long, role string, text string"
@@ -317,3 +317,40 @@ def test_toxicity_score_and_spans_by_enumeration(spark, monkeypatch):
                 else:
                     runs.append([m.start(), m.end()])
         assert got[k].spans == ",".join(f"{a}:{b}" for a, b in runs)
+
+
+def test_quality_posterior_by_texts(spark):
+    """Votes from the texts by plain Python, and expectation-maximisation over texts instead of patterns of votes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    blank, ids, votes, base = re.compile(r"[\x20\x09-\x0D]+"), [], [], []
+    vote = lambda bad, good: -1 if bad else int(good)
+    for r in docs.collect():
+        x = r.text or ""
+        w = [t for t in blank.split(x) if t]
+        lines = [t for t in x.split("\n") if blank.sub("", t)]
+        tri = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+        again = len({k for i, t in enumerate(zip(w, w[1:], w[2:], strict=False)) if tri[t] > 1 for k in (i, i + 1, i + 2)})
+        chars, n, symbols, dup = sum(map(len, w)), len(w), sum(c in "#*$%&|<>" for c in x), len(lines) - len(set(lines))
+        upper, marks, stops = sum("A" <= c <= "Z" for c in x), sum(c in "!?" for c in x), x.count(".")
+        symbol_words = sum(any(c in "#*$%&|<>" for c in t) for t in w)
+        ids.append(r.doc_id)
+        base.append(n < 50 or 100 * again > 50 * n)
+        votes.append(
+            [
+                vote(symbols * 100 > chars * 5, symbols * 200 < chars), vote(symbol_words * 100 > n * 20, symbol_words * 100 < n * 2), vote(upper * 100 > chars * 40, upper * 100 < chars * 15), vote(marks * 100 > n * 25, marks * 100 < n * 5),
+                vote(stops * 100 < n, stops * 40 > n), vote(dup * 100 > len(lines) * 30 and dup >= 3, dup == 0), vote(again * 100 > n * 30, again * 100 < n * 10),
+            ]
+        )
+    v, start = np.array(votes) + 1, np.array(quality.START)
+    weight, share = quality.PRIOR * len(v) + 1, 0.8
+    chance = np.repeat(start[None], v.shape[1], 0)  # rule, kind, vote
+    log_odds = lambda: np.log(share / (1 - share)) + sum(np.log(chance[r, 1, v[:, r]] / chance[r, 0, v[:, r]]) for r in range(v.shape[1]))
+    for _ in range(quality.ROUNDS):
+        p = 1 / (1 + np.exp(-log_odds()))
+        kinds = np.array([0.2, 0.8]) * weight + [(1 - p).sum(), p.sum()]
+        seen = np.stack([[np.bincount(v[:, r], weights=q, minlength=3) for q in (1 - p, p)] for r in range(v.shape[1])]) + start * weight
+        share, chance = kinds[1] / kinds.sum(), seen / seen.sum(2, keepdims=True)
+    want = {i: (x, bool(not b and x >= 0.5)) for i, x, b in zip(ids, 1 / (1 + np.exp(-log_odds())), base, strict=True)}
+    got = {r.doc_id: r for r in quality.quality(docs).select("doc_id", "posterior", "kept").collect()}
+    assert got.keys() == want.keys() and all(abs(got[i].posterior - x) < 1e-6 and got[i].kept == k for i, (x, k) in want.items())
+    assert 0.5 < sum(k for _, k in want.values()) / len(want) < 1
