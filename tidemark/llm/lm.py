@@ -45,6 +45,8 @@ DISCOUNT, WEIGHT, ALPHA = 0.75, 0.3, 0.1
 #: Log10 of a quantised probability is -STEP * (code - 1); code 0 is "none".
 STEP = 0.03
 END = np.uint64(0x5DEECE66D1234567)
+#: Successors are told apart by the first 48 bits of their hashes, words by all 64.
+CUT = np.uint64(16)
 _hash = WordHash()
 _NONE = np.zeros(0, np.int64)
 
@@ -186,7 +188,7 @@ class Block:
         has[np.searchsorted(w, contexts)] = n
         successors, of = np.unique(self.successor[p], return_inverse=True)
         kind = np.uint16 if len(successors) <= 1 << 16 else np.uint32
-        return _pack(_gaps(self.vocab[w]), self.word_count[w], has, _gaps(self.vocab[successors]), of.astype(kind), self.pair_count[p])
+        return _pack(_gaps(self.vocab[w]), self.word_count[w], has, _gaps(self.vocab[successors] >> CUT), of.astype(kind), self.pair_count[p])
 
 
 class Parts:
