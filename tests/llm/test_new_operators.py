@@ -170,6 +170,12 @@ def test_perfect_hash_is_minimal_and_checked():
     assert len(table.rest) == 9 and sorted(table.slots(same).tolist()) == list(range(9))
 
 
+def test_look_ups_of_which_none_is_in_history(spark):
+    rows = [(k, f"text {k}") for k in range(40)]
+    got = copies.exact_copies(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 20)
+    assert collections.Counter(tuple(r) for r in got.collect()) == brute_copies(rows)
+
+
 def test_strassen_is_exact():
     rng = np.random.default_rng(1)
     for m, n, d, leaf in ((1, 1, 1, 32), (70, 90, 64, 8), (33, 129, 65, 32), (100, 37, 41, 1), (5, 300, 768, 4)):

@@ -110,7 +110,9 @@ class Winners:
         return [self.has, self.doc, self.row, self.size]
 
     def add(self, slot: np.ndarray, new: list[np.ndarray]) -> None:
-        """Of a slot's own and new locators the largest stays; copies add up."""
+        """Of a slot's own and new locators the largest stays; copies add up. There may be no new ones."""
+        if not len(slot):
+            return
         has, doc, row, size = new
         np.add.at(self.size, slot, size)
         here = np.unique(slot)
