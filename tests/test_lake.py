@@ -280,3 +280,17 @@ def test_queries_match_their_sql(spark, name):
 
     key = lambda d: sorted(tuple(map(plain, r)) for r in d[cols].astype(object).itertuples(index=False))
     assert cols == sorted(got.columns) and key(want) == key(got)
+
+
+def test_sql_of_the_newest_version_where_parts_have_large_numbers(spark, tmp_path):
+    """A part's number is in the log position: from a million on that must not outweigh the version."""
+    day = lambda n: dt.datetime(1995, 1, n)
+    rows = [(1, 4, 5, 1, day(3)), (1, 9_000_001, 5, 1, day(2)), (2, 8, 7, 1, day(2)), (2, 2_000_001, 7, 1, day(2)), (2, 2_000_001, 8, 1, day(2))]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz")
+    lines.withColumns({"l_extendedprice": F.lit(1.0), "l_returnflag": F.lit("A")}).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet/*.parquet'")
+    got = queries.QUERIES["latest_by_key"](spark, str(tmp_path))
+    want = con.sql(f"select {', '.join(got.columns)} from ({queries.ORACLE['latest_by_key']})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert {r.transaction_id: (r.newest, r.newest_known) for r in got.collect()} == {9: (None, 9_000_001.0), 17: (2_000_001.0, 2_000_001.0)}

@@ -181,7 +181,7 @@ _leaks = lambda t: f"{_LEAK} FROM {t} WHERE feat_days_since_prior_loan <= 0 OR f
 SQL: dict[str, str] = {
     "current_rows": "SELECT * FROM now_clients",
     "stream_collapsed": "SELECT * FROM now_clients",
-    "latest_by_key": "SELECT transaction_id, arg_max_null(outstanding_loan_balance, _version * 1000000000000 + _lsn) AS newest, arg_max(outstanding_loan_balance, _version * 1000000000000 + _lsn) AS newest_known, arg_max_null(_is_deleted, _version * 1000000000000 + _lsn) AS is_deleted, max(_version) AS cdc_version, arg_max_null(_source_commit_at, _version * 1000000000000 + _lsn) AS cdc_commit_at FROM raw_loan_transactions GROUP BY transaction_id",
+    "latest_by_key": "SELECT transaction_id, arg_max_null(outstanding_loan_balance, row(_version, _lsn)) AS newest, arg_max(outstanding_loan_balance, row(_version, _lsn)) AS newest_known, arg_max_null(_is_deleted, row(_version, _lsn)) AS is_deleted, max(_version) AS cdc_version, arg_max_null(_source_commit_at, row(_version, _lsn)) AS cdc_commit_at FROM raw_loan_transactions GROUP BY transaction_id",
     "incremental_window": "SELECT * FROM raw_loan_transactions WHERE _source_commit_at >= (SELECT max(_source_commit_at) FROM raw_loan_transactions WHERE transaction_date < DATE '2000-01-01') - INTERVAL 48 HOUR",
     "merge_by_key": "SELECT * FROM stg_tx",
     "change_detection": "SELECT change, count(*) AS n FROM (SELECT n.c_custkey, CASE WHEN n.c_custkey % 7 = 0 THEN 'inserted' WHEN n.c_custkey % 5 = 0 THEN 'updated' ELSE 'unchanged' END AS change FROM customer n) GROUP BY change",
