@@ -13,7 +13,7 @@ from tidemark.functions import parsing as p
 from tidemark.operators import cdc
 from tidemark.operators.quantiles import bucket, quantiles
 from tidemark.plans.models import Models
-from tidemark.sources import star
+from tidemark.sources import landing, star
 
 SF = "/root/testdata/sf0.001"
 
@@ -103,3 +103,11 @@ def test_what_old_sessions_left_is_swept(spark):
     kept = shared.written(spark.range(3).toDF("k"))
     assert shared.sweep(spark) == 1 and sorted(x for x in os.listdir(root) if x in ("tidemark-old", "tidemark-young", "other")) == ["other", "tidemark-young"]
     assert kept.count() == 3
+
+
+def test_messages_are_parsed_once(spark):
+    e = landing.REGISTRY["loan_transactions"]
+    events = landing.parse_events(spark.range(1).select(F.col("id").cast("string").alias("value")), e)
+    plan = landing.typed_rows(events, e, F.current_timestamp())._jdf.queryExecution().optimizedPlan().toString()
+    parsing = [line.strip() for line in plan.split("\n") if "from_json" in line]
+    assert len(parsing) == 1 and "Generate" in parsing[0]
