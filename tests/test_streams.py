@@ -51,6 +51,18 @@ def test_offsets_have_no_gaps_and_ranges_meet(spark, tmp_path, monkeypatch):
     assert [r["value"] for r in read({}, only.latestOffset(), only)] == ["b1"]
 
 
+def test_a_partition_is_written_by_several_tasks_in_order(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        send(spark, str(tmp_path / "log"), [("a", k, n := k * 7919 % 1000, f"{n}") for k in range(1000)], 1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "log" / "data").rglob("*.parquet"))) > 1
+    reader = topics.Reader(str(tmp_path / "log"), [])
+    rows = [r for s in reader.partitions({}, reader.latestOffset()) for b in reader.read(s) for r in b.to_pylist()]
+    assert [(r["offset"], r["value"]) for r in rows] == [(n, f"{n}") for n in range(1000)]
+
+
 def test_a_stream_of_topics_restarts_and_replays(spark, tmp_path):
     log, out, checkpoint = (str(tmp_path / x) for x in ("log", "out", "checkpoint"))
     event = lambda e, k, n: json.dumps({e.key: k, "__op": "u", "__source_ts_ms": n})
