@@ -294,3 +294,15 @@ def test_sql_of_the_newest_version_where_parts_have_large_numbers(spark, tmp_pat
     want = con.sql(f"select {', '.join(got.columns)} from ({queries.ORACLE['latest_by_key']})").fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert {r.transaction_id: (r.newest, r.newest_known) for r in got.collect()} == {9: (None, 9_000_001.0), 17: (2_000_001.0, 2_000_001.0)}
+
+
+def test_a_large_partition_is_written_by_several_tasks_and_packed_into_one_file(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        t = Table(spark, str(tmp_path / "t"), "p")
+        t.replace(spark.range(0, 100_000, 1, 8).select(F.xxhash64("id").alias("h"), (F.col("id") % 50 == 49).cast("int").alias("p")))
+        assert {x["part"]: len(t.files(x)) > 1 for x in t.pointer()["folders"]} == {"0": True, "1": False}
+        t.pack()
+        assert all(len(t.files(x)) == 1 for x in t.pointer()["folders"]) and t.read().distinct().count() == 100_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
