@@ -4,6 +4,7 @@ import datetime as dt
 import threading
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidemark.operators import commits, load
@@ -125,6 +126,29 @@ def test_a_table_that_outgrows_its_buckets_gets_more(spark, tmp_path):
     assert sorted(r.staff_id for r in lake.table("staff").read().collect()) == list(range(80))
 
 
+def test_a_first_load_of_a_known_size_is_written_once(spark, tmp_path, monkeypatch):
+    rows = [(k, f"n{k % 50}") for k in range(200)]
+    twice = people(spark, [*rows, *rows[:20]]).withColumn("_nth", F.when(F.col("staff_id") < 5, 2).otherwise(1)).unionByName(people(spark, [(1, "older"), *[(-1, "bad")] * 3, (None, "none")]).withColumn("_nth", F.lit(0)))
+    written, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *args, **kw: (written.append(path), parquet(self, path, *args, **kw))[1])
+    got = {}
+    for name, expected in (("known", 224), ("unknown", None)):
+        lake = load.Lake(spark, str(tmp_path / name), bucket_rows=64)
+        written.clear()
+        assert lake.load(STAFF, twice, AT[0], "first", "_nth", expected=expected) == load.Outcome("staff", "success", 200, 200, rejected=4)
+        assert len([x for x in written if "/batches/" in x or "/staff/" in x]) == (1 if expected else 2)
+        assert sorted(x["part"] for x in lake.table("staff").pointer()["folders"]) == ["0", "1", "2", "3"] and lake.table("staff").read().columns == [*STAFF.columns, load.HASH, "_ingested_at", "_updated_at"]
+        assert sorted(r.source_key or "" for r in lake.table("rejects").read().collect()) == ["", "-1", "-1", "-1"]
+        assert lake.load(STAFF, people(spark, [(1, "n1"), (2, "new"), (700, "more")]), AT[1], expected=3) == load.Outcome("staff", "success", 3, 1, 1, 1)
+        got[name] = content(lake, "runs", "rejects", "expectations")
+    assert got["known"] == got["unknown"] and len(got["known"]["staff"]) == 201
+    lake = load.Lake(spark, str(tmp_path / "bad"))
+    assert lake.load(STAFF, people(spark, [(-1, "bad")]), AT[0], expected=1).status == "failed"
+    assert not lake.table("staff").exists() and not lake.log.store.names(f"{lake.path}/staff/data") and not lake.log.store.names(f"{lake.path}/staff/staging")
+    none = people(spark, [(1, "a")]).where("false")
+    assert lake.load(STAFF, none, AT[1], None, "staff_id", expected=0).status == "success" and lake.table("staff").read().count() == 0
+
+
 def test_backfill_tells_of_rows_and_parents_of_loans(spark, tmp_path):
     lake, loans = load.Lake(spark, str(tmp_path / "lake")), landing.REGISTRY["loans"]
     frame = lambda n: rows_of(spark.range(n), loans, loan_id=F.col("id"), client_id=F.lit(1), disbursed_on_date=F.when(F.col("id") % 2 == 0, F.lit(AT[0])))

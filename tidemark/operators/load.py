@@ -4,7 +4,8 @@ A run is committed as running before anything else. Its rows, rejects, expectati
 staged and become visible by one commit; a failure leaves nothing but a failed run, a killed driver a running one.
 
 Entity tables are laid out in buckets by a hash of the key, and rows carry the hash of their payload. A batch is compared
-with key, hash and first arrival of its own buckets, in one join, and only buckets with changes are written anew.
+with key, hash and first arrival of its own buckets, in one join, and only buckets with changes are written anew. A first
+batch whose size is known about is written in its buckets at once, and what was written is the table.
 """
 
 from __future__ import annotations
@@ -21,12 +22,12 @@ from pyspark.sql import functions as F
 from tidemark.config import Settings
 from tidemark.operators import cdc, quality
 from tidemark.operators.commits import Change, Log, LogTable
-from tidemark.operators.tables import Conflict
+from tidemark.operators.tables import Conflict, _ddl
 from tidemark.sources.landing import REGISTRY, Entity
 
 RUN = "run_id string, batch_id string, entity string, started_at timestamp, finished_at timestamp, status string, rows_read long, rows_inserted long, rows_updated long, rows_unchanged long, rows_rejected long, error_message string"
 ORDER = tuple(n for n in ("offices", "staff", "loan_products", "savings_products", "clients", "loans", "savings_accounts", "loan_transactions") if n in REGISTRY)
-HASH, CONTROL = "_row_hash", ("runs", "rejects", "expectations")
+HASH, REJECTS, CONTROL = "_row_hash", "rejects", ("runs", "rejects", "expectations")
 #: A batch that meets another writer's change of its buckets is merged again so often.
 ATTEMPTS = 5
 
@@ -45,13 +46,15 @@ class Outcome:
 
 @dataclass(frozen=True)
 class Batch:
-    """A batch as written: accepted rows (the last of each key), rejects, results of expectations; how many there are."""
+    """A batch as written: accepted rows (the last of each key) as a table has them, rejects, results of expectations; how many
+    there are. staged: the folders of so many buckets that the rows are in, if they were written as a table's first."""
 
     rows: DataFrame
     rejects: DataFrame
     checks: DataFrame | None
     read: int
     rejected: int
+    staged: tuple[int, list[dict]] | None = None
 
 
 class Lake:
@@ -70,9 +73,10 @@ class Lake:
         folders = self.table("runs").stage(self.spark.createDataFrame([row], RUN).coalesce(1))
         return [{**x, "open": True} for x in folders] if finished is None else folders
 
-    def load(self, entity: Entity, rows: DataFrame, now: dt.datetime, batch: str | None = None, arrival: str | None = None, dry_run: bool = False) -> Outcome:
+    def load(self, entity: Entity, rows: DataFrame, now: dt.datetime, batch: str | None = None, arrival: str | None = None, dry_run: bool = False, expected: int | None = None) -> Outcome:
         """Loads rows of an entity as of `now`. arrival: the column by which the last of equal keys wins; without it, repeated
-        keys fail the batch where the entity expects unique ones."""
+        keys fail the batch where the entity expects unique ones. expected: how many rows come, about; a first load is then
+        written once, in buckets for so many."""
         run, batch, began = uuid.uuid4().hex, batch or uuid.uuid4().hex, time.monotonic()
         opened = self._staged_run(Outcome(entity.name, "running"), run, batch, now, None)
         self.log.commit({"runs": Change(RUN, opened)}, f"begin {run}")
@@ -82,7 +86,7 @@ class Lake:
             return {"runs": Change(RUN, folders, gone={x["path"] for x in opened})}
 
         try:
-            ready = self._prepare(entity, rows, f"{self.path}/batches/{run}", arrival)
+            ready = self._prepare(entity, rows, now, f"{self.path}/batches/{run}", arrival, None if dry_run else expected)
             if dry_run:
                 out = Outcome(entity.name, "skipped", read=ready.read, rejected=ready.rejected)
                 self.log.commit(ended(out), f"end {run}")
@@ -102,31 +106,53 @@ class Lake:
         self.log.tidy(CONTROL)
         return out
 
-    def _prepare(self, entity: Entity, rows: DataFrame, at: str, arrival: str | None) -> Batch:
-        """The source is read once, into what the later steps read; raises if the batch is not to be loaded."""
+    def _prepare(self, entity: Entity, rows: DataFrame, now: dt.datetime, at: str, arrival: str | None, expected: int | None) -> Batch:
+        """The source is read once, into what the later steps read; raises if the batch is not to be loaded. Until it is
+        written a row is one struct, whose fields needn't be taken apart by each step. Of rows with one key each task sends one;
+        rejects that are the same in all are sent once, with their number."""
         business = [c for c in entity.columns if c != entity.key]
         rule = quality.reject_rule(entity.key, business)
-        marked = rows.select(rule.isNotNull().alias("bad"), F.struct(*rows.columns).alias("row"), F.when(rule.isNotNull(), F.struct(*quality.reject_row(rows, entity.key, rule, entity.name))).alias("reject"))
-        marked.write.parquet(f"{at}/read")
-        whole = self.spark.read.schema(marked.schema).parquet(f"{at}/read")
-        n = {r.bad: r["count"] for r in whole.groupBy("bad").count().collect()}
-        accepted, rejected = n.get(False, 0), n.get(True, 0)
+        reject = F.when(rule.isNotNull(), F.struct(*quality.reject_row(rows, entity.key, rule, entity.name)))
+        marked = rows.select(F.col(entity.key).alias("key"), reject.alias("reject"), F.when(rule.isNull(), F.struct(*entity.columns)).alias("row"), *([F.struct(arrival).alias("at")] if arrival is not None else []))
+        if arrival is None:
+            marked = marked.withColumn("seen", F.lit(1).cast("long"))
+        else:
+            marked = marked.groupBy("key", "reject").agg(F.max_by("row", "at").alias("row"), F.count("*").alias("seen"))
+        stamp = F.lit(now).cast("timestamp")
+        batch = marked.select("row.*", "reject", "seen").withColumns({HASH: F.when(F.col("reject").isNull(), F.unhex(cdc.payload_hash(*entity.columns))), "_ingested_at": stamp, "_updated_at": stamp})
+        table, staged = self.table(entity.name), None
+        if expected is None or table.exists():
+            batch.write.parquet(f"{at}/read")
+            whole, folders = self.spark.read.schema(batch.schema).parquet(f"{at}/read"), []
+        else:
+            n = self._buckets(expected)
+            part = F.when(F.col("reject").isNotNull(), REJECTS).otherwise(F.pmod(F.xxhash64(entity.key), F.lit(n)).cast("string"))
+            folders = table.stage(batch, part=part, dealt=n == 1)
+            whole = table.frame({"schema": _ddl(batch), "folders": folders})
+            staged = n, [x for x in folders if x["part"] != REJECTS]
+        try:
+            return self._checked(entity, whole, staged)
+        except Exception:
+            table.discard(folders)
+            raise
+
+    def _checked(self, entity: Entity, whole: DataFrame, staged: tuple[int, list[dict]] | None) -> Batch:
+        n = {r.bad: r for r in whole.groupBy(F.col("reject").isNotNull().alias("bad")).agg(F.sum("seen").alias("seen"), F.count("*").alias("kept")).collect()}
+        accepted, rejected = (n[bad].seen if bad in n else 0 for bad in (False, True))
         read = accepted + rejected
         if read and rejected / read > self.set.max_reject_ratio:
             raise ValueError(f"reject ratio {rejected / read:.1%} exceeds {self.set.max_reject_ratio:.1%} ({rejected} of {read} rows)")
-        own = whole.where("not bad").select("row.*")
-        if arrival is not None:
-            cdc.last_wins(own, [entity.key], arrival).select(*entity.columns).write.parquet(f"{at}/last")
-            own = self.spark.read.parquet(f"{at}/last")
-            accepted = own.count()
-        own = own.select(*entity.columns)
+        own = whole.where("reject is null").drop("reject", "seen")
         checks = None
         if entity.expectations:
             checks = quality.expectations(own, list(entity.expectations))
             failed = [r.check_name for r in checks.where("not passed and severity = 'error'").collect()]
             if failed:
                 raise ValueError(f"failed expectations: {', '.join(failed)}")
-        return Batch(own, whole.where("bad").select("reject.*"), checks, accepted, rejected)
+        # as often as they came, by steps that hold a thousand at most
+        rejects = whole.where("reject is not null").select("reject", "seen", F.explode(F.sequence(F.lit(0), F.expr("(seen - 1) div 1000"))).alias("k"))
+        rejects = rejects.select("reject", F.explode(F.sequence(F.lit(1), F.least(F.lit(1000), F.col("seen") - F.col("k") * 1000)))).select("reject.*")
+        return Batch(own, rejects, checks, n[False].kept if False in n else 0, rejected, staged)
 
     def _buckets(self, rows: int) -> int:
         """A power of two, so that a bucket holds about bucket_rows or less."""
@@ -136,17 +162,14 @@ class Lake:
         """What the batch changes, staged. An unchanged row stays as it was, and a changed one keeps its first arrival."""
         table, key = self.table(entity.name), entity.key
         stamp = F.lit(now).cast("timestamp")
-        own = batch.rows.withColumns({HASH: F.unhex(cdc.payload_hash(*entity.columns)), "_ingested_at": stamp, "_updated_at": stamp})
-        schema = ", ".join(f"`{a}` {b}" for a, b in own.dtypes)
+        own, schema = batch.rows, _ddl(batch.rows)
         old = table.pointer() if table.exists() else None
         changes: dict[str, Change] = {}
         if old is None:
             count = {"inserted": batch.read}
-            table.buckets = (key, self._buckets(batch.read))
-            if batch.read:
-                changes[entity.name] = Change(schema, table.stage(own), parts=None, rows=batch.read, notes={"buckets": list(table.buckets)})
-            else:
-                changes[entity.name] = Change(schema, [], parts=None, notes={"buckets": list(table.buckets)})
+            table.buckets = (key, batch.staged[0] if batch.staged else self._buckets(batch.read))
+            folders = batch.staged[1] if batch.staged else table.stage(own) if batch.read else []
+            changes[entity.name] = Change(schema, folders, parts=None, rows=batch.read, notes={"buckets": list(table.buckets)})
         else:
             parts = lambda df: {r.p for r in df.select(table.part().alias("p")).distinct().collect()}  # noqa: E731 - buckets, at most
             there = table.frame(old, parts(own).__contains__).select(key, F.col(HASH).alias("_was"), F.col("_ingested_at").alias("_first"))
@@ -171,7 +194,7 @@ class Lake:
         appended = {"rejects": batch.rejects.withColumns({"batch_id": F.lit(name), "rejected_at": stamp}) if batch.rejected else None, "expectations": batch.checks.withColumns({"entity": F.lit(entity.name), **record}) if batch.checks else None}
         for n, df in appended.items():
             if df is not None:
-                changes[n] = Change(", ".join(f"`{a}` {b}" for a, b in df.dtypes), self.table(n).stage(df.coalesce(1) if n == "expectations" else df))
+                changes[n] = Change(_ddl(df), self.table(n).stage(df.coalesce(1) if n == "expectations" else df))
         changes["watermarks"] = self._watermark(entity, batch.rows, now)
         return Outcome(entity.name, "success", batch.read, *[count.get(k, 0) for k in ("inserted", "updated", "unchanged")], batch.rejected), changes
 
@@ -183,15 +206,15 @@ class Lake:
         previous = marks.frame(marks.pointer(), lambda value: value == entity.name) if before else None
         new = cdc.watermark(previous, rows, entity.name, entity.key, now)
         folders = [{**x, "part": entity.name} for x in marks.stage(new.coalesce(1))]
-        return Change(", ".join(f"`{a}` {b}" for a, b in new.dtypes), folders, old, {entity.name}, {x["path"] for x in before})
+        return Change(_ddl(new), folders, old, {entity.name}, {x["path"] for x in before})
 
-    def load_all(self, source: Callable[[str], DataFrame], now: dt.datetime, entities: Iterable[str] | None = None, fail_fast: bool = False, dry_run: bool = False, arrival: str | None = None) -> list[Outcome]:
+    def load_all(self, source: Callable[[str], DataFrame], now: dt.datetime, entities: Iterable[str] | None = None, fail_fast: bool = False, dry_run: bool = False, arrival: str | None = None, expected: Callable[[str], int] | None = None) -> list[Outcome]:
         """Loads entities in their order, parents before children; a failed one is on record and the rest go on, unless
-        fail_fast."""
+        fail_fast. expected: about how many rows an entity has, as in load()."""
         out, batch = [], uuid.uuid4().hex
         wanted = set(entities or ORDER)
         for name in [n for n in ORDER if n in wanted]:
-            out.append(self.load(REGISTRY[name], source(name), now, batch, arrival, dry_run))
+            out.append(self.load(REGISTRY[name], source(name), now, batch, arrival, dry_run, expected(name) if expected else None))
             if fail_fast and out[-1].status == "failed":
                 break
         return out
