@@ -51,6 +51,19 @@ def test_narrow_loans_are_the_stage(spark):
     assert a.count() > 0 and a.exceptAll(b).count() == 0 == b.exceptAll(a).count()
 
 
+def test_a_stage_keeps_what_is_looked_at(spark):
+    kept = {}
+    keep = lambda df, name: kept.setdefault(name, shared.written(df, name))
+    few = ("loan_id", "client_id", "product_id", "is_active", "days_past_due", "total_outstanding", "disbursed_on_date")
+    m, whole = Models(lambda e: star.raw(spark, SF, e), keep=keep, columns={"stg_loans": few}), Models(lambda e: star.raw(spark, SF, e))
+    assert m.stg_loans.columns == whole.stg_loans.columns and m.stg_loans.dtypes == whole.stg_loans.dtypes and kept["stg_loans"].columns == list(few)
+    for table, names in (("fct_loan", ("loan_id", "total_outstanding", "client_segment")), ("default_features", ("loan_id", "feat_days_since_prior_loan"))):
+        a, b = getattr(m, table).select(*names), getattr(whole, table).select(*names)
+        assert a.count() > 0 and a.exceptAll(b).count() == 0 == b.exceptAll(a).count()
+    with pytest.raises(Exception, match="principal wasn't kept"):
+        m.stg_loans.select("principal").collect()
+
+
 def test_quantiles_are_those_of_percentile(spark):
     rng = random.Random(9)
     values = [0.0, -0.0, 1.0, 1.0, -5.5, 1e-300, 1e300, -1e300, 123.45, float("inf"), float("-inf")]

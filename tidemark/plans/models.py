@@ -55,13 +55,19 @@ def zero(*names: str, prefix: str = "") -> list[Column]:
 
 
 class Models:
-    def __init__(self, raw: Callable[[str], DataFrame], settings: Settings | None = None, keep: Callable[[DataFrame, str], DataFrame] | None = None, kept: tuple[str, ...] = ("stg_loans",)):
-        """keep writes a stage and reads it again; kept: the stages that it is used for."""
-        self.raw, self.set, self._keep, self.kept = raw, settings or Settings(), keep, kept
+    def __init__(self, raw: Callable[[str], DataFrame], settings: Settings | None = None, keep: Callable[[DataFrame, str], DataFrame] | None = None, kept: tuple[str, ...] = ("stg_loans",), columns: dict[str, tuple[str, ...]] | None = None):
+        """keep writes a stage and reads it again; kept: the stages that it is used for. columns: of a stage, those that are
+        written; plans may name the others, which Spark prunes, and a query that reads one of them fails."""
+        self.raw, self.set, self._keep, self.kept, self.columns = raw, settings or Settings(), keep, kept, columns or {}
         self.today = F.lit(self.set.as_of)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        return self._keep(df, name) if self._keep and name in self.kept else df
+        if not self._keep or name not in self.kept:
+            return df
+        if name not in self.columns:
+            return self._keep(df, name)
+        some = self._keep(df.select(*self.columns[name]), name)
+        return some.select(*[F.col(c) if c in some.columns else F.raise_error(F.lit(f"{name}: {c} wasn't kept")).cast(t).alias(c) for c, t in df.dtypes])
 
     def _current(self, entity: str, key: str, name: str, columns: list[str] | None = None) -> DataFrame:
         df = cdc.newest(self.raw(entity), key, columns=columns).where("_is_deleted = 0")

@@ -109,8 +109,11 @@ def failures_stored(x: Source) -> DataFrame:
 
 
 def quality_gate(x: Source) -> DataFrame:
-    """Each table is built once, with the columns that are looked at, and one pass over it answers all its checks."""
-    m, less, n = x.shared, lambda c: F.count("*") - F.countDistinct(c), F.count("*")
+    """Each table is built once, with the columns that are looked at, and one pass over it answers all its checks. Loans and
+    ledger, which several tables are built from, are collapsed once, and what the checks depend on is written."""
+    looked_at = {"stg_loans": ("loan_id", "client_id", "product_id", "is_active", "days_past_due", "total_outstanding", "disbursed_on_date"), "stg_loan_transactions": ("transaction_id", "loan_id", "transaction_date", "amount", "transaction_category", "is_countable")}
+    m = Models(x.raw, keep=shared.written, kept=tuple(looked_at), columns=looked_at)
+    less, n = lambda c: F.count("*") - F.countDistinct(c), F.count("*")
     errors = landing.poison(landing.parse_events(wire_events(x), landing.REGISTRY["savings_accounts"]), "savings_accounts", F.lit(AUDIT_RUN)).where(F.col("observed_at") > F.lit(AUDIT_RUN - dt.timedelta(days=1)))
     return quality.gate_of(
         [
