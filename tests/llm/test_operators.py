@@ -431,6 +431,56 @@ def test_range_coder_round_trip_and_checksums():
         packing.read_file(data[:-3] + bytes([data[-3] ^ 1]) + data[-2:])
 
 
+def test_blocks_of_a_file_learn_from_one_another():
+    rng = np.random.default_rng(3)
+    after, jump = rng.permutation(1000), rng.random((1024, 64)) < 0.1
+    ids = np.zeros((1024, 64), np.uint32)
+    ids[0] = rng.integers(0, 1000, 64)
+    for t in range(1, 1024):
+        ids[t] = np.where(jump[t], rng.integers(0, 1000, 64), after[ids[t - 1]])
+    flat = ids.T.reshape(-1)[:-300]
+    data = packing.write_file([1], [len(flat)], flat)
+    assert (packing.read_file(data)[2] == flat).all()
+    assert len(data) * 8 < 4.0 * len(flat)  # 1.5 is the least; a block alone has each context about once
+
+
+def test_files_of_odd_ids():
+    rng = np.random.default_rng(4)
+    for ids in (np.array([2**32 - 1, 0, 2**22, 5] * 700, np.uint32), rng.permutation(300_000).astype(np.uint32), np.zeros(5000, np.uint32), rng.integers(0, 2**32, 3000).astype(np.uint32)):
+        for k in (1, 2, 3, 5, 1023, 2047, len(ids)):
+            assert (packing.read_file(packing.write_file([1], [k], ids[:k]))[2] == ids[:k]).all()
+
+
+def test_pieces_are_encoded_once(monkeypatch):
+    from tokenizers import Tokenizer
+
+    class Counting:
+        def __init__(self, own):
+            self.own, self.chars = own, 0
+
+        def __getattr__(self, name):
+            def call(x, **how):
+                self.chars += sum(map(len, x)) if isinstance(x, list) else len(x)
+                return getattr(self.own, name)(x, **how)
+
+            return call
+
+    path = P.path("byte_bpe_50k.json")
+    own, data = Tokenizer.from_file(path), Path(path).read_bytes()
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdeé"), 8)) for _ in range(300)]
+    some = [" ".join(f"{w}{e}" for w in rng.permutation(words)) + "\n" + "x" * k for k, e in enumerate(["", ".", ",", "!!", "...", ":", "$$$", "?", ";", "&&&"])]
+    library = packing.LibraryBPE(data)
+    library.tokenizer = counting = Counting(library.tokenizer)
+    assert [x.tolist() for x in library.cut(some)] == [own.encode(x, add_special_tokens=False).ids for x in some]
+    assert counting.chars < 3 * sum(map(len, words))  # with and without a space; 10 times with each ending as one chunk
+    parts = ["a", "é", "ß", "'s", "'", "12", ".", "!?", "|", "#", " ", "  ", "\n", "\t", "\r\n", "\0", "\x1f", "\xa0", "　", "<|endoftext|>", "\U0001e4d0", "中", "don't", "ab", "ɏ", "́", "​"]
+    odd = ["".join(rng.choice(parts, rng.integers(0, 9))) for _ in range(3000)]
+    monkeypatch.setattr(packing, "KEPT", 50)
+    monkeypatch.setattr(packing, "SLICE", 500)
+    assert [x.tolist() for x in packing.LibraryBPE(data).cut(odd)] == [own.encode(x, add_special_tokens=False).ids for x in odd]
+
+
 def test_chunks_around_white_space():
     import tiktoken
     from tokenizers import Tokenizer
