@@ -444,6 +444,25 @@ def test_blocks_of_a_file_learn_from_one_another():
     assert len(data) * 8 < 4.0 * len(flat)  # 1.5 is the least; a block alone has each context about once
 
 
+def test_every_id_of_a_large_file_counts(monkeypatch):
+    counted, learnt = [], []
+    update, followers = packing.Model.update, packing.followers
+
+    def watched(self, ids):
+        counted.append(int(self.sums[0].sum()))
+        assert counted[-1] == ids.size
+        update(self, ids)
+
+    monkeypatch.setattr(packing.Model, "update", watched)
+    monkeypatch.setattr(packing, "followers", lambda context, ids, *how: learnt.append(len(ids)) or followers(context, ids, *how))
+    ids = np.random.default_rng(6).integers(0, 50, 600 * packing.BLOCK - 924).astype(np.uint32)
+    data = packing.write_file([1], [len(ids)], ids)
+    assert sum(counted) == len(ids)
+    least = len(ids) % packing.BLOCK
+    assert learnt[::2] == [599 * (a - 1) + min(a, least) - 1 for a in packing.LEARN] and max(packing.LEARN) * 2 >= packing.BLOCK
+    assert (packing.read_file(data)[2] == ids).all() and sum(counted) == 2 * len(ids)
+
+
 def test_files_of_odd_ids():
     rng = np.random.default_rng(4)
     for ids in (np.array([2**32 - 1, 0, 2**22, 5] * 700, np.uint32), rng.permutation(300_000).astype(np.uint32), np.zeros(5000, np.uint32), rng.integers(0, 2**32, 3000).astype(np.uint32)):
