@@ -3,13 +3,16 @@
 import datetime as dt
 import json
 import threading
+import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import queries, shared
 from tidemark.operators import cdc, monitor
 from tidemark.operators.tables import Table
-from tidemark.sources import landing
+from tidemark.sources import landing, star
 from tidemark.streaming import continuous, topics
 
 AT = dt.datetime(2024, 1, 1)
@@ -63,6 +66,44 @@ def test_a_partition_is_written_by_several_tasks_in_order(spark, tmp_path):
     assert [(r["offset"], r["value"]) for r in rows] == [(n, f"{n}") for n in range(1000)]
 
 
+def test_what_is_written_leaves_no_shuffle_files(spark, tmp_path):
+    blocks = lambda: {b.toString() for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()) if b.isShuffle()}
+    old, rows = blocks(), spark.range(1000).selectExpr("id % 7 AS k", "id").groupBy("k").count()
+    assert len(shared.written(rows).collect()) == 7
+    Table(spark, str(tmp_path / "t"), "k").replace(rows)
+    send(spark, str(tmp_path / "log"), [("a", k, k, f"a{k}") for k in range(100)])
+    for _ in range(50):  # they go in the background
+        if blocks() <= old:
+            break
+        time.sleep(0.1)
+    assert blocks() <= old
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false" and len(rows.collect()) == len(rows.collect()) == 7
+
+
+def test_texts_made_after_rows_are_dealt_out_are_the_same(spark, tmp_path):
+    x = queries.Source(spark, "/root/testdata/sf0.001")
+    rows, text = queries.messages(x)
+    topics.append(rows, str(tmp_path / "log"), F.col("key"), [F.col("at"), F.col("lsn")], 2, text)
+    log = spark.read.parquet(str(tmp_path / "log" / "data" / "*"))
+    for name, e in landing.REGISTRY.items():
+        want = landing.as_events(x.raw(name), e)
+        got = log.where(F.col("topic") == name).select("value")
+        assert want.count() == got.count() > 0 and not want.exceptAll(got).count()
+    columns = next(p for p in (tmp_path / "log").rglob("*.parquet") if "topic=loans/" in str(p))
+    assert pq.ParquetFile(columns).metadata.row_group(0).column(0).compression == "ZSTD"
+    assert x.raw("loans").columns and len(star.source(spark, x.dir, "loans").columns) < 10 < len(x.raw("loans").columns)
+
+
+def test_messages_needn_t_stay(spark, tmp_path):
+    log, e = str(tmp_path / "log"), landing.REGISTRY["staff"]
+    send(spark, log, [("staff", k, 1, json.dumps({e.key: k, "__op": "u"})) for k in range(9)])
+    for keep in (True, False):
+        out = str(tmp_path / f"out-{keep}")
+        run(continuous.land_topics(topics.stream(spark, log), out, f"{out}-checkpoint", {"availableNow": True}, keep=keep))
+        assert spark.read.parquet(f"{out}/typed/staff").count() == spark.read.parquet(f"{out}/audit").count() == 9
+        assert any((tmp_path / f"out-{keep}" / "messages").rglob("*.parquet")) == keep
+
+
 def test_a_stream_of_topics_restarts_and_replays(spark, tmp_path):
     log, out, checkpoint = (str(tmp_path / x) for x in ("log", "out", "checkpoint"))
     event = lambda e, k, n: json.dumps({e.key: k, "__op": "u", "__source_ts_ms": n})
