@@ -149,6 +149,29 @@ def test_a_first_load_of_a_known_size_is_written_once(spark, tmp_path, monkeypat
     assert lake.load(STAFF, none, AT[1], None, "staff_id", expected=0).status == "success" and lake.table("staff").read().count() == 0
 
 
+def test_a_first_load_is_shuffled_once_and_mapped_after(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([*[(k, f"n{k}", 2) for k in range(1, 201)], *[(k, "older", 1) for k in range(1, 51)], (-1, "bad", 1), (-1, "bad", 1), (None, "none", 1)], "k long, v string, _nth int")
+    made = {c: F.lit(None).cast(TYPES[k]) for c, k in STAFF.columns.items()} | {"staff_id": F.col("k"), "display_name": F.col("v"), "office_id": (F.col("k") * 10).cast("long"), "lastname": F.concat(F.lit("of "), "v")}
+    typed = rows.select(*[made[c].alias(c) for c in STAFF.columns], "_nth")
+    plans, stage, got = [], commits.LogTable.stage, {}
+
+    def watched(self, df, *args, **how):
+        plans.extend([df._jdf.queryExecution().optimizedPlan().toString()] if self.name == "staff" else [])
+        assert self.name != "staff" or how.get("dealt")
+        return stage(self, df, *args, **how)
+
+    monkeypatch.setattr(commits.LogTable, "stage", watched)
+    for name, df, mapping in (("typed", typed, None), ("mapped", rows, made)):
+        lake = load.Lake(spark, str(tmp_path / name), bucket_rows=64)
+        assert lake.load(STAFF, df, AT[0], "first", "_nth", expected=253, mapping=mapping) == load.Outcome("staff", "success", 200, 200, rejected=3)
+        assert sorted(x["part"] for x in lake.table("staff").pointer()["folders"]) == ["0", "1", "2", "3"]
+        got[name] = content(lake, "runs", "rejects")
+        assert sorted((r.source_key, r.rule) for r in lake.table("rejects").read().where("source_key is not null").collect()) == [("-1", "primary_key_positive")] * 2
+        assert lake.load(STAFF, df, AT[1], "again", "_nth", mapping=mapping) == load.Outcome("staff", "success", 200, 0, 0, 200, 3)
+    assert got["typed"] == got["mapped"] and len(got["mapped"]["staff"]) == 200
+    assert [(p.count("RepartitionByExpression"), p.count("Rebalance")) for p in plans] == [(1, 0)] * 2
+
+
 def test_backfill_tells_of_rows_and_parents_of_loans(spark, tmp_path):
     lake, loans = load.Lake(spark, str(tmp_path / "lake")), landing.REGISTRY["loans"]
     frame = lambda n: rows_of(spark.range(n), loans, loan_id=F.col("id"), client_id=F.lit(1), disbursed_on_date=F.when(F.col("id") % 2 == 0, F.lit(AT[0])))

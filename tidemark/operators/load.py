@@ -16,9 +16,10 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import shared
 from tidemark.config import Settings
 from tidemark.operators import cdc, quality
 from tidemark.operators.commits import Change, Log, LogTable
@@ -28,6 +29,8 @@ from tidemark.sources.landing import REGISTRY, Entity
 RUN = "run_id string, batch_id string, entity string, started_at timestamp, finished_at timestamp, status string, rows_read long, rows_inserted long, rows_updated long, rows_unchanged long, rows_rejected long, error_message string"
 ORDER = tuple(n for n in ("offices", "staff", "loan_products", "savings_products", "clients", "loans", "savings_accounts", "loan_transactions") if n in REGISTRY)
 HASH, REJECTS, CONTROL = "_row_hash", "rejects", ("runs", "rejects", "expectations")
+#: Parts of a bucket, each of which a task of a first load has.
+PARTS = 4
 #: A batch that meets another writer's change of its buckets is merged again so often.
 ATTEMPTS = 5
 
@@ -73,10 +76,11 @@ class Lake:
         folders = self.table("runs").stage(self.spark.createDataFrame([row], RUN).coalesce(1))
         return [{**x, "open": True} for x in folders] if finished is None else folders
 
-    def load(self, entity: Entity, rows: DataFrame, now: dt.datetime, batch: str | None = None, arrival: str | None = None, dry_run: bool = False, expected: int | None = None) -> Outcome:
+    def load(self, entity: Entity, rows: DataFrame, now: dt.datetime, batch: str | None = None, arrival: str | None = None, dry_run: bool = False, expected: int | None = None, mapping: dict[str, Column] | None = None) -> Outcome:
         """Loads rows of an entity as of `now`. arrival: the column by which the last of equal keys wins; without it, repeated
         keys fail the batch where the entity expects unique ones. expected: how many rows come, about; a first load is then
-        written once, in buckets for so many."""
+        written once, in buckets for so many. mapping: the entity's columns, where rows are what these are made of: the few
+        columns that come are shuffled, and the last of each key is mapped."""
         run, batch, began = uuid.uuid4().hex, batch or uuid.uuid4().hex, time.monotonic()
         opened = self._staged_run(Outcome(entity.name, "running"), run, batch, now, None)
         self.log.commit({"runs": Change(RUN, opened)}, f"begin {run}")
@@ -86,7 +90,7 @@ class Lake:
             return {"runs": Change(RUN, folders, gone={x["path"] for x in opened})}
 
         try:
-            ready = self._prepare(entity, rows, now, f"{self.path}/batches/{run}", arrival, None if dry_run else expected)
+            ready = self._prepare(entity, rows, now, f"{self.path}/batches/{run}", arrival, None if dry_run else expected, mapping)
             if dry_run:
                 out = Outcome(entity.name, "skipped", read=ready.read, rejected=ready.rejected)
                 self.log.commit(ended(out), f"end {run}")
@@ -106,28 +110,42 @@ class Lake:
         self.log.tidy(CONTROL)
         return out
 
-    def _prepare(self, entity: Entity, rows: DataFrame, now: dt.datetime, at: str, arrival: str | None, expected: int | None) -> Batch:
+    def _prepare(self, entity: Entity, rows: DataFrame, now: dt.datetime, at: str, arrival: str | None, expected: int | None, mapping: dict[str, Column] | None) -> Batch:
         """The source is read once, into what the later steps read; raises if the batch is not to be loaded. Until it is
-        written a row is one struct, whose fields needn't be taken apart by each step. Of rows with one key each task sends one;
-        rejects that are the same in all are sent once, with their number."""
+        written a row is one struct, whose fields needn't be taken apart by each step. Where the table's buckets are to be
+        written, rows are shuffled once, by parts of these. Else, of rows with one key each task sends one; rejects that are
+        the same in all are sent once, with their number."""
         business = [c for c in entity.columns if c != entity.key]
+        if mapping is None:
+            named, row, order = rows, F.struct(*entity.columns), arrival
+        else:
+            inputs = [F.struct(*[c for c in rows.columns if c != arrival]).alias("_row"), *([F.col(arrival).alias("_at")] if arrival is not None else [])]
+            named, row, order = rows.select(*[mapping[c].alias(c) for c in entity.columns], *inputs), F.col("_row"), "_at"
         rule = quality.reject_rule(entity.key, business)
-        reject = F.when(rule.isNotNull(), F.struct(*quality.reject_row(rows, entity.key, rule, entity.name)))
-        marked = rows.select(F.col(entity.key).alias("key"), reject.alias("reject"), F.when(rule.isNull(), F.struct(*entity.columns)).alias("row"), *([F.struct(arrival).alias("at")] if arrival is not None else []))
+        reject = F.when(rule.isNotNull(), F.struct(*quality.reject_row(named.drop("_row", "_at"), entity.key, rule, entity.name)))
+        marked = named.select(F.col(entity.key).alias("key"), reject.alias("reject"), F.when(rule.isNull(), row).alias("row"), *([F.struct(order).alias("at")] if arrival is not None else []))
+        table, staged = self.table(entity.name), None
+        n = None if expected is None or table.exists() else self._buckets(expected)
+        deal = []
+        if n is not None and n > 1:  # a file of a bucket for each of its parts
+            deal = ["deal"]
+            marked = marked.withColumn("deal", F.when(F.col("reject").isNull(), F.pmod(F.xxhash64("key"), F.lit(n * PARTS))).otherwise(F.pmod(F.xxhash64("key", "reject"), F.lit(n * PARTS)))).repartition(n * PARTS, "deal")
         if arrival is None:
-            marked = marked.withColumn("seen", F.lit(1).cast("long"))
+            marked = marked.drop("deal").withColumn("seen", F.lit(1).cast("long"))
         else:
-            marked = marked.groupBy("key", "reject").agg(F.max_by("row", "at").alias("row"), F.count("*").alias("seen"))
-        stamp = F.lit(now).cast("timestamp")
-        batch = marked.select("row.*", "reject", "seen").withColumns({HASH: F.when(F.col("reject").isNull(), F.unhex(cdc.payload_hash(*entity.columns))), "_ingested_at": stamp, "_updated_at": stamp})
-        table, staged = self.table(entity.name), None
-        if expected is None or table.exists():
-            batch.write.parquet(f"{at}/read")
+            marked = marked.groupBy(*deal, "key", "reject").agg(F.max_by("row", "at").alias("row"), F.count("*").alias("seen"))
+        stamp, good = F.lit(now).cast("timestamp"), F.col("reject").isNull()
+        batch = marked.select("row.*", "reject", "seen")
+        if mapping is not None:
+            batch = batch.select(*[F.when(good, mapping[c]).alias(c) for c in entity.columns], "reject", "seen")
+        batch = batch.withColumns({HASH: F.when(good, F.unhex(cdc.payload_hash(*entity.columns))), "_ingested_at": stamp, "_updated_at": stamp})
+        if n is None:
+            with shared.swept(self.spark):
+                batch.write.parquet(f"{at}/read")
             whole, folders = self.spark.read.schema(batch.schema).parquet(f"{at}/read"), []
         else:
-            n = self._buckets(expected)
-            part = F.when(F.col("reject").isNotNull(), REJECTS).otherwise(F.pmod(F.xxhash64(entity.key), F.lit(n)).cast("string"))
-            folders = table.stage(batch, part=part, dealt=n == 1)
+            part = F.when(good, F.pmod(F.xxhash64(entity.key), F.lit(n)).cast("string")).otherwise(REJECTS)
+            folders = table.stage(batch, part=part, dealt=True)
             whole = table.frame({"schema": _ddl(batch), "folders": folders})
             staged = n, [x for x in folders if x["part"] != REJECTS]
         try:
@@ -175,7 +193,8 @@ class Lake:
             there = table.frame(old, parts(own).__contains__).select(key, F.col(HASH).alias("_was"), F.col("_ingested_at").alias("_first"))
             state = F.when(F.col("_first").isNull(), "inserted").when(F.col("_was") != F.col(HASH), "updated").otherwise("unchanged")
             compared = own.join(there, key, "left").withColumns({"_change": state, "_ingested_at": F.coalesce("_first", "_ingested_at")}).drop("_was", "_first")
-            compared.write.parquet(at)
+            with shared.swept(self.spark):
+                compared.write.parquet(at)
             compared = self.spark.read.schema(compared.schema).parquet(at)
             count = {r._change: r["count"] for r in compared.groupBy("_change").count().collect()}
             changed = compared.where("_change <> 'unchanged'").drop("_change")
@@ -208,13 +227,13 @@ class Lake:
         folders = [{**x, "part": entity.name} for x in marks.stage(new.coalesce(1))]
         return Change(_ddl(new), folders, old, {entity.name}, {x["path"] for x in before})
 
-    def load_all(self, source: Callable[[str], DataFrame], now: dt.datetime, entities: Iterable[str] | None = None, fail_fast: bool = False, dry_run: bool = False, arrival: str | None = None, expected: Callable[[str], int] | None = None) -> list[Outcome]:
+    def load_all(self, source: Callable[[str], DataFrame], now: dt.datetime, entities: Iterable[str] | None = None, fail_fast: bool = False, dry_run: bool = False, arrival: str | None = None, expected: Callable[[str], int] | None = None, mapping: Callable[[str], dict[str, Column]] | None = None) -> list[Outcome]:
         """Loads entities in their order, parents before children; a failed one is on record and the rest go on, unless
-        fail_fast. expected: about how many rows an entity has, as in load()."""
+        fail_fast. expected, mapping: about how many rows an entity has and what its columns are made of, as in load()."""
         out, batch = [], uuid.uuid4().hex
         wanted = set(entities or ORDER)
         for name in [n for n in ORDER if n in wanted]:
-            out.append(self.load(REGISTRY[name], source(name), now, batch, arrival, dry_run, expected(name) if expected else None))
+            out.append(self.load(REGISTRY[name], source(name), now, batch, arrival, dry_run, expected(name) if expected else None, mapping(name) if mapping else None))
             if fail_fast and out[-1].status == "failed":
                 break
         return out
