@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark import queries, shared
 from tidemark.functions import parsing as p
 from tidemark.functions import scalars as s
-from tidemark.operators import asof, cdc, load, quality
+from tidemark.operators import asof, cdc, load, quality, tables
 from tidemark.operators.tables import Conflict, Table, replace_day
 from tidemark.plans.models import Models
 from tidemark.sources import landing, seeds, star
@@ -125,6 +125,33 @@ def test_table_partitions_are_written_only_where_touched(spark, tmp_path):
     assert {tuple(r) for r in t.read().collect()} == {(5, day(4))}
 
 
+def test_a_merge_shuffles_rows_that_stay_once(spark, tmp_path, monkeypatch):
+    old = spark.range(400).select(F.when(F.col("id") % 50 == 0, None).otherwise(F.col("id") % 300).alias("k"), (F.col("id") % 7).alias("m"), F.concat(F.lit("old"), "id").alias("v"))
+    new = spark.range(100).select(F.when(F.col("id") == 0, None).otherwise(F.col("id") * 4).alias("k"), F.lit(2).cast("long").alias("m"), F.lit("new").alias("v"), F.when(F.col("id") % 10 == 1, 1).when(F.col("id") % 10 == 2, None).otherwise(0).alias("gone"))
+    t = Table(spark, str(tmp_path / "t"), "m")
+    t.replace(old)
+    monkeypatch.setattr(tables, "MERGED", 1 + sum(size for x in t.pointer()["folders"] for _, size in t.files(x)) // (3 * 7))
+    plans, stage = [], Table.stage
+    monkeypatch.setattr(Table, "stage", lambda self, df, **how: plans.append((how.get("dealt", False), df._jdf.queryExecution().optimizedPlan().toString())) or stage(self, df, **how))
+    t.merge(new, ["k"], "gone")
+    want = cdc.merge_by_key(old, new, ["k"], "gone")
+    assert want.count() == t.read().count() and not want.exceptAll(t.read()).count()
+    assert [dealt for dealt, _ in plans] == [True, False] and plans[0][1].count("RepartitionByExpression") == 1 and "LeftAnti" not in plans[0][1]
+
+
+def test_source_rows_make_the_same_newest_rows_and_tables(spark, tmp_path):
+    d = "/root/testdata/sf0.001"
+    for name, key in star.KEYS.items():
+        want, got = cdc.newest(star.raw(spark, d, name), key), star.of(star.newest(star.source(spark, d, name), name), name)
+        assert got.columns == want.columns and want.count() == got.count() > 0 and not want.exceptAll(got).count()
+    t, plain = (Table(spark, str(tmp_path / n), "m") for n in ("t", "plain"))
+    made = lambda df: df.select("id", (F.col("id") % 3).alias("m"), F.concat(F.lit("n"), "id").alias("v"))
+    t.replace(spark.range(50), part=(F.col("id") % 3).cast("string"), made=made)
+    plain.replace(made(spark.range(50)))
+    assert sorted(x["part"] for x in t.pointer()["folders"]) == ["0", "1", "2"] and t.pointer()["schema"] == plain.pointer()["schema"]
+    assert sorted(map(tuple, t.read().collect())) == sorted(map(tuple, plain.read().collect())) and t.frame(t.pointer(), lambda p: p == "1").count() == 17
+
+
 def test_lake_loads_are_atomic(spark, tmp_path):
     lake, e = load.Lake(spark, str(tmp_path / "lake")), landing.REGISTRY["offices"]
     frame = lambda rows: spark.createDataFrame([(i, None, name, None, None, None, None, None) for i, name in rows], ", ".join(["office_id long", "parent_id long", *[f"{c} string" for c in ("name", "name_decorated", "external_id", "parent_name", "hierarchy")], "opening_date date"])).select(*e.columns)
